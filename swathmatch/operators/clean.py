@@ -4,22 +4,16 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from swathmatch import constants as K
 from swathmatch.functions.decode import bits_clear, land_bit, osw_rejected, qc_good
 from swathmatch.functions.geo import as_col, in_box, split_antimeridian
+from swathmatch.operators.ordered import keep_first
 from swathmatch.operators.skew import salted_join
 
 
-def keep_first(df: DataFrame, keys: Sequence[str], order: Sequence[Column]) -> DataFrame:
-    """First row per key.  Spark limits each task's groups to one row before
-    the shuffle, so a key holding most of the rows does not gather in one task."""
-    w = Window.partitionBy(*keys).orderBy(*order)
-    return df.withColumn("_rn", F.row_number().over(w)).filter(F.col("_rn") == 1).drop("_rn")
-
-
 def qc_whitelist(df: DataFrame, codes: Sequence[str]) -> DataFrame:
     """Q1: value and quality code become NULL unless the code is a good one."""
     out = {}

@@ -93,21 +93,26 @@ def windows_overlap(a_start: str, a_end: str, b_start: str, b_end: str) -> Colum
     return (F.col(a_start) <= F.col(b_end)) & (F.col(b_start) <= F.col(a_end))
 
 
-def _day(t: Column) -> Column:
-    return F.floor(F.unix_micros(t.cast("timestamp")) / F.lit(DAY)).cast("bigint")
+def _day(t: Column, slot: int = DAY) -> Column:
+    return F.floor(F.unix_micros(t.cast("timestamp")) / F.lit(slot)).cast("bigint")
 
 
-def _with_days(df: DataFrame, lo: str, hi: str, name: str = "_day") -> DataFrame:
-    ordered = df.filter(F.col(lo) <= F.col(hi))
-    return ordered.withColumn(name, F.explode(F.sequence(_day(F.col(lo)), _day(F.col(hi)))))
+def _with_days(df: DataFrame, lo: str, hi: str, slot: int = DAY) -> DataFrame:
+    forward = df.filter(F.col(lo) <= F.col(hi))
+    return forward.withColumn("_day", F.explode(F.sequence(_day(F.col(lo), slot), _day(F.col(hi), slot))))
 
 
-def interval_overlap_join(left: DataFrame, right: DataFrame, by: Sequence[str] = ()) -> DataFrame:
-    """Windows that overlap, joined by day; each pair counts on its first common day."""
-    lhs, rhs = _with_days(left, "start", "end"), _with_days(right, "r_start", "r_end")
+def interval_overlap_join(left: DataFrame, right: DataFrame, by: Sequence[str] = (),
+                          slot: int = DAY) -> DataFrame:
+    """Windows that overlap; each pair counts in its first common time slot.
+
+    *slot* should be near the length of the longer windows: a window costs one
+    row per slot it touches.
+    """
+    lhs, rhs = _with_days(left, "start", "end", slot), _with_days(right, "r_start", "r_end", slot)
     return lhs.join(rhs, [*by, "_day"]).filter(
         windows_overlap("start", "end", "r_start", "r_end")
-        & (F.col("_day") == _day(F.greatest("start", "r_start")))
+        & (F.col("_day") == _day(F.greatest("start", "r_start"), slot))
     ).drop("_day")
 
 
@@ -150,10 +155,10 @@ def index_match(index: DataFrame, requests: DataFrame) -> DataFrame:
     """Platform files for requests: common parameter, time and box overlap.
 
     A file whose own box spans more than 180 degrees crossed the date line and
-    matches any longitude.  Joined by day, so long spans cost one row per day.
+    matches any longitude.  Platforms live for years, so time slots are 90 days.
     """
     rows = index.withColumnsRenamed({"time_start": "start", "time_end": "end"})
-    pairs = interval_overlap_join(rows, requests)
+    pairs = interval_overlap_join(rows, requests, slot=90 * DAY)
     across = F.when(
         F.col("r_min_lon") <= F.col("r_max_lon"),
         (F.col("lon_max") >= F.col("r_min_lon")) & (F.col("lon_min") <= F.col("r_max_lon")),

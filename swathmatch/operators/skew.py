@@ -1,7 +1,7 @@
 """Equi-joins that stay balanced when one key holds a large share of the rows.
 
-AQE's skew join splits oversized shuffle partitions by itself and is switched on
-in ``session.tune``; the two joins here spread a hot key before the shuffle.
+The salt spreads a hot key before the shuffle; AQE's skew join, switched on in
+``session.tune``, cuts what is still too large by the measured partition sizes.
 """
 
 from __future__ import annotations
@@ -11,46 +11,20 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# A key above this many rows is cut into pieces of about this size.
-PIECE_ROWS = 200_000
-# Only the heaviest keys are worth cutting: any key outside the heaviest 1000
-# holds less than a thousandth of the rows.  This also bounds what is broadcast.
-HEAVIEST = 1000
+# Lanes a hot key is spread over before AQE looks at partition sizes.
+LANES = 4
 
 
 def salted_join(big: DataFrame, small: DataFrame, keys: Sequence[str],
-                how: str = "inner", salts: int = 8) -> DataFrame:
-    """Join a big table with one that is much smaller, without counting first.
+                how: str = "inner", salts: int = LANES) -> DataFrame:
+    """Join where a key may hold a large share of *big*.
 
     Each row of *big* draws one of *salts* lanes and *small* is repeated in all
-    of them, so a key holding a third of *big* still spreads over *salts* tasks.
-    Spark broadcasts *small* by itself where its measured size allows.
+    of them, so a key holding a third of *big* spreads over *salts* tasks and
+    every pair of rows still meets exactly once.  Spark broadcasts *small* by
+    itself where its measured size allows.
     """
     lanes = F.explode(F.sequence(F.lit(0), F.lit(salts - 1)))
     lhs = big.withColumn("_lane", F.pmod(F.xxhash64(*big.columns), F.lit(salts)).cast("int"))
     rhs = small.withColumn("_lane", lanes)
     return lhs.join(rhs, [*keys, "_lane"], how).drop("_lane")
-
-
-def cut_join(left: DataFrame, right: DataFrame, keys: Sequence[str], counts: DataFrame,
-             count: str = "n_rows", piece_rows: int = PIECE_ROWS, how: str = "inner") -> DataFrame:
-    """Join two big tables where *counts* tells how many left rows each key has.
-
-    A heavy key is cut into pieces on the left and its right rows are repeated
-    once per piece; all other keys are joined as they are.  The table of heavy
-    keys has at most 1000 rows, which is why it may be broadcast.
-    """
-    keys = list(keys)
-    heavy = F.broadcast(
-        counts.filter(F.col(count) > piece_rows)
-        .orderBy(F.desc(count)).limit(HEAVIEST)
-        .select(*keys, F.ceil(F.col(count) / piece_rows).cast("int").alias("_pieces"))
-    )
-    pieces = F.coalesce("_pieces", F.lit(1))
-    lhs = left.join(heavy, keys, "left").withColumn(
-        "_piece", F.pmod(F.xxhash64(*left.columns), pieces).cast("int")
-    ).drop("_pieces")
-    rhs = right.join(heavy, keys, "left").withColumn(
-        "_piece", F.explode(F.sequence(F.lit(0), pieces - 1))
-    ).drop("_pieces")
-    return lhs.join(rhs, [*keys, "_piece"], how).drop("_piece")

@@ -20,8 +20,8 @@ from pyspark.sql import functions as F
 from swathmatch import constants as K
 from swathmatch.functions.geo import RadiusBins, haversine_km, project_radial
 from swathmatch.functions.weights import distance_weight
-from swathmatch.operators.ordered import micros, next_valid
-from swathmatch.operators.skew import cut_join, salted_join
+from swathmatch.operators.ordered import keep_first, micros, next_valid
+from swathmatch.operators.skew import salted_join
 
 MINUTE = 60_000_000
 TILE_DEG = 5.0
@@ -108,15 +108,13 @@ def radius_pairs(anchors: DataFrame, targets: DataFrame, radius_km: float,
     *anchors* carry ``a_lon, a_lat``, *targets* ``t_lon, t_lat``; *by* are extra
     equality keys.  Adds ``dist_km``.  The targets stay in one bin each and are
     shuffled once; the anchors are listed in the one to four bins they reach.
-    The targets of a crowded bin are cut into pieces and its anchors wait in each
-    of them; whoever aggregates per anchor combines the pieces.
+    The targets of a bin are spread over lanes and its anchors wait in each of
+    them; whoever aggregates per anchor combines the lanes.
     """
     bins = RadiusBins(radius_km)
     rhs = bins.place_targets(targets.dropna(subset=["t_lon", "t_lat"]), "t_lon", "t_lat")
     lhs = bins.spread_anchors(anchors.dropna(subset=["a_lon", "a_lat"]), "a_lon", "a_lat")
-    keys = [*by, "_lat_bin", "_lon_bin"]
-    crowd = rhs.groupBy(*keys).agg(F.count("*").alias("n_rows"))
-    joined = cut_join(rhs, lhs, keys, crowd).drop("_lat_bin", "_lon_bin")
+    joined = salted_join(rhs, lhs, [*by, "_lat_bin", "_lon_bin"]).drop("_lat_bin", "_lon_bin")
     # the latitude test is free and spares most of the trigonometry
     near_rows = F.abs(F.col("a_lat") - F.col("t_lat")) <= bins.half
     return (
@@ -196,12 +194,10 @@ def radius_join(cells: DataFrame, obs: DataFrame, sar_vars: Sequence[str], val_v
     obs_c = candidates(obs, scene_extents(cells), spec.spatial_tolerance_km / K.KM_PER_DEG_RADIUS_BUFFER,
                        spec.tolerance_us)
     place = ["scene", "a_lon", "a_lat"]
-    places = obs_c.withColumnsRenamed({"lon": "a_lon", "lat": "a_lat"}).groupBy(*place).agg(
-        F.count("*").alias("n_rows")
-    )
-    around = cells_around(places.select(*place), cells, sar_vars, spec)
+    places = obs_c.select("scene", F.col("lon").alias("a_lon"), F.col("lat").alias("a_lat")).distinct()
+    around = cells_around(places, cells, sar_vars, spec)
     obs_c = next_valid(obs_c, ["scene", "platform_id"], "obs_us", "obs_id", val_vars, spec.tolerance_us)
-    hits = cut_join(obs_c.withColumnsRenamed({"lon": "a_lon", "lat": "a_lat"}), around, place, places)
+    hits = salted_join(obs_c.withColumnsRenamed({"lon": "a_lon", "lat": "a_lat"}), around, place)
     measured = measurements(sar_vars)
     hits = hits.filter(_any_present([f"sar_{v}" for v in measured]) & _any_present(val_vars))
     val = {v: F.col(v) for v in val_vars}
@@ -264,20 +260,15 @@ def cells_around(anchors: DataFrame, cells: DataFrame, sar_vars: Sequence[str],
 def nearest_in_time(pairs: DataFrame) -> DataFrame:
     """Per station (or position) and scene the reading closest in time.
 
-    First in observation order on ties.  The minimum is taken before the
-    shuffle, so a station with very many readings collapses in every task.
+    First in observation order on ties.
     """
     station = F.coalesce(
         F.concat(F.lit("i"), "val_id"),
         F.concat_ws("|", F.lit("p"), F.col("val_lon").cast("string"), F.col("val_lat").cast("string")),
     )
     lag = F.abs(F.col("obs_us") - F.col("scene_us"))
-    ranked = pairs.withColumn("_station", station).withColumn(
-        "_rank", (lag.cast("decimal(19,0)") * F.lit("10000000000000000000").cast("decimal(20,0)")
-                  + F.col("obs_id").cast("decimal(19,0)")).cast("decimal(38,0)")
-    )
-    best = ranked.groupBy("sar_scene_name", "_station").agg(F.min("_rank").alias("_rank"))
-    return ranked.join(best, ["sar_scene_name", "_station", "_rank"], "left_semi").drop("_station", "_rank")
+    return keep_first(pairs.withColumn("_station", station), ["sar_scene_name", "_station"],
+                      [lag, F.col("obs_id")]).drop("_station")
 
 
 def cell_average_join(cells: DataFrame, obs: DataFrame, sar_vars: Sequence[str],

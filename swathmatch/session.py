@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import os
 import tempfile
 
 from pyspark.sql import DataFrame, SparkSession
@@ -16,6 +15,9 @@ _RUNTIME_CONF = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     # partials reach the reducers in pieces, so a split partition stays splittable
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
+    # inferring constraints over chains of renamed coordinates takes Catalyst
+    # seconds per query; the joins filter missing keys themselves
+    "spark.sql.constraintPropagation.enabled": "false",
 }
 
 
@@ -50,6 +52,6 @@ def durable(df: DataFrame) -> DataFrame:
     spark = df.sparkSession
     sc = spark.sparkContext
     if sc.getCheckpointDir() is None:
-        folder = spark.conf.get("spark.checkpoint.dir", None) or os.environ.get("SWATHMATCH_CHECKPOINT_DIR")
+        folder = spark.conf.get("spark.checkpoint.dir", None)
         sc.setCheckpointDir(folder or tempfile.mkdtemp(prefix="swathmatch-ckpt-"))
     return df.checkpoint(eager=True)
