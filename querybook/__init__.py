@@ -13,10 +13,11 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
 
 # how a column leaves a query, in both engines: i whole number, d number with six
-# decimals, s text, b boolean, t time as microseconds
-_SPARK = {"i": "CAST({c} AS BIGINT)", "d": "round(CAST({c} AS DOUBLE), 6) + 0e0", "s": "CAST({c} AS STRING)",
+# decimals (halves always up: the engines differ there), s text, b boolean, t time
+# as microseconds
+_SPARK = {"i": "CAST({c} AS BIGINT)", "d": "round(CAST({c} AS DOUBLE) + 1e-10, 6) + 0e0", "s": "CAST({c} AS STRING)",
           "b": "CAST({c} AS BOOLEAN)", "t": "unix_micros(CAST({c} AS TIMESTAMP))"}
-_DUCK = {"i": "CAST({c} AS BIGINT)", "d": "round(CAST({c} AS DOUBLE), 6) + 0e0", "s": "CAST({c} AS VARCHAR)",
+_DUCK = {"i": "CAST({c} AS BIGINT)", "d": "round(CAST({c} AS DOUBLE) + 1e-10, 6) + 0e0", "s": "CAST({c} AS VARCHAR)",
          "b": "CAST({c} AS BOOLEAN)", "t": "epoch_us({c})"}
 
 

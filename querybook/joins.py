@@ -314,7 +314,7 @@ def j11(t):
        + f"\n--select\nSELECT scene, y, x, owiWindSpeed, {SPEED_SQL} FROM vals WHERE u IS NOT NULL AND v IS NOT NULL",
        "model cells static")
 def j10(t):
-    cells = t.cells.select("scene", "y", "x", "lon", "lat", "time", *WIND).withColumn("place_id", F.struct("scene", "y", "x"))
+    cells = t.cells.select("scene", "y", "x", "lon", "lat", "time", *WIND)
     return model.individual_join(cells, t.model, WIND, ["u10", "v10"], static=t.static)
 
 
