@@ -59,7 +59,7 @@ def point_in_polygon_join(points: DataFrame, shapes: DataFrame, polygon: str = "
     """
     real = shapes.filter(F.size(polygon) >= 3)
     at = points.withColumns({"_tx": _tile(F.col("lon")), "_ty": _tile(F.col("lat"))})
-    return salted_join(at, polygon_frame(real, polygon).distinct(), ["_tx", "_ty"]).filter(
+    return salted_join(at, polygon_frame(real, polygon), ["_tx", "_ty"]).filter(
         point_in_polygon("lat", "lon", polygon)).drop("_tx", "_ty")
 
 
