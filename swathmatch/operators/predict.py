@@ -48,7 +48,7 @@ def polygon_frame(shapes: DataFrame, polygon: str = "polygon") -> DataFrame:
                 F.struct(F.lit(-180.0).alias("w"), (F.array_max(east) - 360.0).alias("e"))))
     framed = shapes.withColumns({"_s": F.array_min(lats), "_n": F.array_max(lats), "_span": F.explode(spans)})
     framed = framed.withColumns({"_w": F.col("_span.w"), "_e": F.col("_span.e")})
-    return _with_tiles(framed, "_w", "_e", "_s", "_n").drop("_w", "_e", "_s", "_n", "_span")
+    return _with_tiles(framed, "_w", "_e", "_s", "_n").drop("_span")
 
 
 def point_in_polygon_join(points: DataFrame, shapes: DataFrame, polygon: str = "polygon") -> DataFrame:
@@ -59,8 +59,10 @@ def point_in_polygon_join(points: DataFrame, shapes: DataFrame, polygon: str = "
     """
     real = shapes.filter(F.size(polygon) >= 3)
     at = points.withColumns({"_tx": _tile(F.col("lon")), "_ty": _tile(F.col("lat"))})
-    return salted_join(at, polygon_frame(real, polygon), ["_tx", "_ty"]).filter(
-        point_in_polygon("lat", "lon", polygon)).drop("_tx", "_ty")
+    # the frame of the ring first: it costs two comparisons
+    framed = F.col("lat").between(F.col("_s"), F.col("_n")) & F.col("lon").between(F.col("_w"), F.col("_e"))
+    return salted_join(at, polygon_frame(real, polygon), ["_tx", "_ty"]).filter(framed).filter(
+        point_in_polygon("lat", "lon", polygon)).drop("_tx", "_ty", "_s", "_n", "_w", "_e")
 
 
 def box_overlap_join(left: DataFrame, right: DataFrame, times: bool = False) -> DataFrame:
@@ -288,7 +290,10 @@ def _sees(offset: Column) -> Column:
         y, x = destination_point(lat, lon, F.col("heading") + p["side"], p["km"])
         return holds(y, x)
 
-    area = holds(lat, lon) | F.exists(places, swept)
+    # nothing the sweep reaches is further off in latitude than its length
+    reach = offset / F.lit(111.0)
+    close = lat.between(F.col("min_lat") - reach, F.col("max_lat") + reach)
+    area = close & (holds(lat, lon) | F.exists(places, swept))
     near = haversine_km("lon", "lat", "lon0", "lat0") <= offset
     for other in ("prev", "next"):
         seg = segment_distance_km("lat0", "lon0", "lat", "lon", f"{other}_lat", f"{other}_lon") \

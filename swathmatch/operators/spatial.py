@@ -184,15 +184,18 @@ def _pairs(df: DataFrame, sar_vars: Sequence[str], val_vars: Sequence[str]) -> D
 # --- J1 / J2 ----------------------------------------------------------------------
 
 def radius_join(cells: DataFrame, obs: DataFrame, sar_vars: Sequence[str], val_vars: Sequence[str],
-                spec: MatchSpec, label: str = "insitu") -> DataFrame:
+                spec: MatchSpec, label: str = "insitu", extents: DataFrame | None = None) -> DataFrame:
     """One row per observation and scene, scene cells averaged around it.
 
+    *extents* may bring a stored scene catalogue (see ``scene_extents``) instead
+    of one scan of the cells.
+
     Observations sharing a position in a scene share their cells, so the cells
     are averaged once per distinct position and joined back: a station with a
     million readings costs as much searching as one with a single reading.
     """
-    obs_c = candidates(obs, scene_extents(cells), spec.spatial_tolerance_km / K.KM_PER_DEG_RADIUS_BUFFER,
-                       spec.tolerance_us)
+    extents = scene_extents(cells) if extents is None else extents
+    obs_c = candidates(obs, extents, spec.spatial_tolerance_km / K.KM_PER_DEG_RADIUS_BUFFER, spec.tolerance_us)
     place = ["scene", "a_lon", "a_lat"]
     places = obs_c.select("scene", F.col("lon").alias("a_lon"), F.col("lat").alias("a_lat")).distinct()
     around = cells_around(places, cells, sar_vars, spec)

@@ -205,16 +205,34 @@ def harmonize(pairs: DataFrame, sar: str, val: str, sar_units: str, reference: s
 
 
 def rescaled_pairs(pairs: DataFrame, sar: str, val: str, sar_units: str,
-                   by: Sequence[str] = ("val_source",)) -> DataFrame:
+                   by: Sequence[str] = ("val_source",), reference: str = "ismn") -> DataFrame:
     """The scene column in each group's own domain, row by row.
 
-    Harmonised groups are there already, the others are matched on their own;
-    rows of groups without a map become NULL.
+    Sources due for harmonising go through the reference's map (both columns),
+    every other group through its own; rows without a map become NULL.  Grouped
+    by source the reference's map is the one its own group gets, so one fit and
+    one join serve all rows.
     """
+    if tuple(by) != ("val_source",):
+        return _rescaled_by(pairs, sar, val, sar_units, by)
+    due = F.coalesce(F.col("val_source").isin(*to_convert(sar_units, reference)), F.lit(False))
+    rows = pairs.withColumn("_due", due).withColumn(
+        "_map", F.when(F.col("_due"), F.lit(reference)).otherwise(group_key(by)))
+    knots = cdf_fit(rows.filter(~F.col("_due")), sar, val, ["_map"])
+    out = with_knots(rows, knots, ["_map"])
+    usable = F.col(sar).isNotNull() & F.col(val).isNotNull() & F.col("knots").isNotNull()
+    return out.withColumns({
+        "_s": F.when(usable, cdf_apply(F.col(sar), F.col("knots"))),
+        "_v": F.when(~F.col("_due"), F.col(val)).when(usable, cdf_apply(F.col(val), F.col("knots"))),
+    }).withColumns({sar: F.col("_s"), val: F.col("_v"),
+                    "harmonized": F.when(F.col("_due"), F.col("knots").isNotNull())}).drop("_s", "_v", "_due", "_map", "knots")
+
+
+def _rescaled_by(pairs: DataFrame, sar: str, val: str, sar_units: str, by: Sequence[str]) -> DataFrame:
+    """A11 for finer groups: harmonise by source first, then match each group."""
     rows = harmonize(pairs, sar, val, sar_units).withColumn("_group", group_key(by))
     done = F.coalesce(F.col("harmonized"), F.lit(False))
-    knots = cdf_fit(rows.filter(~done), sar, val, ["_group"])
-    out = with_knots(rows, knots, ["_group"])
+    out = with_knots(rows, cdf_fit(rows.filter(~done), sar, val, ["_group"]), ["_group"])
     both = F.col(sar).isNotNull() & F.col(val).isNotNull()
     new = F.when(both, F.when(done, F.col(sar)).when(
         F.col("knots").isNotNull(), cdf_apply(F.col(sar), F.col("knots"))))
