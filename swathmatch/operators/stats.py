@@ -42,7 +42,7 @@ def _valid(pairs: DataFrame, sar: str, val: str, by: Sequence[str]) -> DataFrame
 
 
 def _ratio(rmse: Column, mean: Column) -> Column:
-    return F.when(F.abs(mean) > K.MEAN_EPSILON, rmse / F.abs(mean))
+    return F.when(F.abs(mean) > K.MEAN_EPSILON, rmse / F.nullif(F.abs(mean), F.lit(0.0)))
 
 
 def linear_metrics(pairs: DataFrame, sar: str, val: str, by: Sequence[str] = ("val_source",),
@@ -55,11 +55,13 @@ def linear_metrics(pairs: DataFrame, sar: str, val: str, by: Sequence[str] = ("v
         F.when(F.count("*") > 1, F.stddev_samp(d)).alias("std"),
         F.sqrt(F.avg(d * d)).alias("rmse"), F.avg("v").alias("_mean"),
         F.stddev_pop("s").alias("_ss"), F.stddev_pop("v").alias("_sv"),
-        F.corr("s", "v").alias("_corr"), F.stddev_pop(d).alias("_ub"),
+        F.covar_pop("s", "v").alias("_cov"), F.stddev_pop(d).alias("_ub"),
     )
+    # written out, because corr() fails on a constant series in ANSI mode
+    corr = F.col("_cov") / F.nullif(F.col("_ss") * F.col("_sv"), F.lit(0.0))
     extra = [F.when(F.col("N") > 1, F.col("_ub")).alias("ubrmsd")] if ubrmsd else []
     return grouped.select(
-        "source", "N", "bias", "std", "rmse", F.when(enough, F.col("_corr")).alias("correlation"),
+        "source", "N", "bias", "std", "rmse", F.when(enough, corr).alias("correlation"),
         _ratio(F.col("rmse"), F.col("_mean")).alias("scatter_index"), *extra,
     )
 
@@ -100,7 +102,7 @@ def circular_metrics(pairs: DataFrame, sar: str, val: str, by: Sequence[str] = (
     floor = F.col("N") * F.lit(1e-13)
     corr = F.when(
         (F.col("N") >= K.MIN_N_FOR_CORRELATION) & (spread_a > floor) & (spread_b > floor),
-        cross / F.sqrt(spread_a * spread_b),
+        cross / F.nullif(F.sqrt(spread_a * spread_b), F.lit(0.0)),
     )
     length = F.least(F.lit(1.0), F.hypot("dc", "ds"))
     bias = F.pmod(F.degrees(F.atan2("ds", "dc")) + 180.0, F.lit(360.0)) - 180.0
