@@ -315,7 +315,7 @@ def j11(t):
        "model cells static")
 def j10(t):
     cells = t.cells.select("scene", "y", "x", "lon", "lat", "time", *WIND)
-    return model.individual_join(cells, t.model, WIND, ["u10", "v10"], static=t.static)
+    return model.individual_join(cells, t.model, WIND, ["u10", "v10"], "era5", static=t.static)
 
 
 @query("j9_model_cell_average_join", "scene:s sar_y_idx:i sar_x_idx:i val_lon:d val_lat:d spatial_distance_km:d sar_owiWindSpeed:d "

@@ -19,7 +19,7 @@ from swathmatch.functions.geo import (
     bearing_deg, destination_point, haversine_km, in_box, point_in_polygon, segment_distance_km,
 )
 from swathmatch.operators.ordered import micros, run_numbers, with_neighbours
-from swathmatch.operators.skew import salted_join
+from swathmatch.operators.skew import attach_single, salted_join
 from swathmatch.operators.spatial import MINUTE, radius_pairs
 
 TILE = 5.0
@@ -464,13 +464,12 @@ def verdict(sources: DataFrame, matches: DataFrame, n_footprints: DataFrame) ->
     """One row per source.
 
     *sources*: ``source_type, bucket, listing_failed``; *matches*: ``source_type,
-    fp_id, window_id``; *n_footprints*: one row ``n``.  No footprint at all or a
+    fp_id, window_id``; *n_footprints*: one row ``n`` (``footprints.agg(count)``).  No footprint at all or a
     failed listing leaves the verdict open.
     """
     found = matches.groupBy("source_type").agg(
         F.count_distinct("fp_id").alias("n_footprints"), F.count("*").alias("n_windows"))
-    total = n_footprints.select(F.col("n").alias("_total"), F.lit(0).alias("_k"))
-    rows = salted_join(sources.join(found, "source_type", "left").withColumn("_k", F.lit(0)), total, ["_k"])
+    rows = attach_single(sources.join(found, "source_type", "left"), n_footprints.select(F.col("n").alias("_total")))
     hits = F.coalesce("n_windows", F.lit(0))
     return rows.select(
         "source_type", "bucket",
@@ -492,15 +491,15 @@ def model_coverage(footprints: DataFrame, coverage: DataFrame) -> DataFrame:
 
     *coverage*: ``source_type, coverage_start, coverage_end`` (a few rows).
     """
-    span = footprints.groupBy(F.lit(0).alias("_k")).agg(F.count("*").alias("n"))
-    inside = salted_join(
-        footprints.withColumn("_k", F.lit(0)), coverage.withColumn("_k", F.lit(0)), ["_k"]
-    ).filter(
-        (F.col("coverage_start").isNull() | (F.col("sensing_end") >= F.col("coverage_start")))
-        & (F.col("coverage_end").isNull() | (F.col("sensing_start") <= F.col("coverage_end")))
-    ).groupBy("source_type").agg(F.count("*").alias("n_footprints"))
-    total = span.select("_k", F.col("n").alias("_n"))
-    rows = salted_join(coverage.join(inside, "source_type", "left").withColumn("_k", F.lit(0)), total, ["_k"], "left")
+    # an open end reaches as far as any footprint does
+    limits = footprints.agg(F.min("sensing_start").alias("_first"), F.max("sensing_end").alias("_last"))
+    spans = attach_single(coverage, limits).select(
+        "source_type", F.coalesce("coverage_start", "_first").alias("r_start"),
+        F.coalesce("coverage_end", "_last").alias("r_end"))
+    seen = footprints.select(F.col("sensing_start").alias("start"), F.col("sensing_end").alias("end"))
+    inside = interval_overlap_join(seen, spans, slot=30 * DAY).groupBy("source_type").agg(
+        F.count("*").alias("n_footprints"))
+    rows = attach_single(coverage.join(inside, "source_type", "left"), footprints.agg(F.count("*").alias("_n")))
     n = F.coalesce("n_footprints", F.lit(0))
     return rows.select("source_type", F.when(F.coalesce("_n", F.lit(0)) == 0, "unknown")
                        .when(n > 0, "collocated").otherwise("none-predicted").alias("verdict"), n.alias("n_footprints"))

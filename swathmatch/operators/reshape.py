@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from swathmatch import constants as K
-from swathmatch.operators.skew import salted_join
+from swathmatch.operators.skew import attach_single, salted_join
 
 
 def pivot_variables(long: DataFrame, ids: Sequence[str], codes: Sequence[str], order: str) -> DataFrame:
@@ -97,17 +97,17 @@ def units_pooling(pairs: DataFrame, units: DataFrame) -> DataFrame:
     """
     present = pairs.select("val_source").distinct()
     known = units.join(present, "val_source", "left_semi")
-    one = known.groupBy(F.lit(0).alias("_all")).agg(
+    one = known.agg(
         F.min("units").alias("_units"), F.min_by("long_name", "val_source").alias("_name"),
         (F.count_distinct("units") > 1).alias("mixed"))
     rows = salted_join(pairs, known.select("val_source", "units", "long_name"), ["val_source"], "left")
-    rows = salted_join(rows.withColumn("_all", F.lit(0)), one, ["_all"], "left")
+    rows = attach_single(rows, one)
     mixed = F.coalesce("mixed", F.lit(False))
     return rows.withColumns({
         "val_units": F.when(mixed, F.coalesce("units", F.lit(""))).otherwise(F.col("_units")),
         "val_long_name": F.when(mixed, F.coalesce("long_name", F.lit(""))).otherwise(F.col("_name")),
         "mixed": mixed,
-    }).drop("_all", "_units", "_name", "units", "long_name")
+    }).drop("_units", "_name", "units", "long_name")
 
 
 def cutover_split(requests: DataFrame, cutover: str) -> DataFrame:

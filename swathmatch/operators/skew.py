@@ -28,3 +28,13 @@ def salted_join(big: DataFrame, small: DataFrame, keys: Sequence[str],
     lhs = big.withColumn("_lane", F.pmod(F.xxhash64(*big.columns), F.lit(salts)).cast("int"))
     rhs = small.withColumn("_lane", lanes)
     return lhs.join(rhs, [*keys, "_lane"], how).drop("_lane")
+
+
+def attach_single(df: DataFrame, single: DataFrame) -> DataFrame:
+    """Add the columns of a table with exactly one row, without a shuffle.
+
+    *single* comes from an aggregation without groups (``df.agg(...)``), so one
+    row is what it has by construction, and it may be broadcast.
+    """
+    one = F.broadcast(single.withColumn("_one", F.lit(0)))
+    return df.withColumn("_one", F.lit(0)).join(one, "_one").drop("_one")

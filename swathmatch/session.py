@@ -15,8 +15,9 @@ _RUNTIME_CONF = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     # partials reach the reducers in pieces, so a split partition stays splittable
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
-    # broadcast by measured size only: estimates of derived tables are far off
-    "spark.sql.autoBroadcastJoinThreshold": "-1",
+    # estimates of derived tables are far off: before a job starts only tables of
+    # small files are broadcast, the rest by the size measured in the shuffle
+    "spark.sql.autoBroadcastJoinThreshold": "1m",
     "spark.sql.adaptive.autoBroadcastJoinThreshold": "20m",
     # inferring constraints over chains of renamed coordinates takes Catalyst
     # seconds per query; the joins filter missing keys themselves

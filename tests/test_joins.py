@@ -205,7 +205,7 @@ def test_bilinear_and_parabola_are_exact_for_their_polynomials(spark):
         return lat + 0.5 * lon + 0.1 * lat * lon + h * h - 3 * h, 4.0
 
     places = [(0.3, 50.2), (5.9, 52.99), (6.0, 53.0), (0.0, 50.0), (6.1, 51.0), (3.0, 49.9)]
-    r = individual_join(cells_at(spark, places, 4.5), field(spark, range(8), f), ["owiWindSpeed"], ["u10", "v10"]).collect()
+    r = individual_join(cells_at(spark, places, 4.5), field(spark, range(8), f), ["owiWindSpeed"], ["u10", "v10"], "m").collect()
     got = {x.x: x.WSPD for x in r}
     assert set(got) == {0, 1, 2, 3}  # the last two are outside
     for k, v in got.items():
@@ -217,14 +217,14 @@ def test_direction_follows_the_vector_through_the_whole_circle(spark):
     for deg in range(0, 360, 60):
         rad = math.radians(deg)
         r = individual_join(cells_at(spark, [(1.0, 51.0)], 3.25), field(spark, range(8), lambda *_: (-5 * math.sin(rad), -5 * math.cos(rad))),
-                            ["owiWindSpeed"], ["u10", "v10"]).first()
+                            ["owiWindSpeed"], ["u10", "v10"], "m").first()
         assert (r.WDIR - deg + 180) % 360 - 180 == pytest.approx(0, abs=1e-6) and 0 <= r.WDIR < 360 and r.WSPD == pytest.approx(5)
 
 
 def test_irregular_or_missing_model_times_give_nothing(spark):
     model = field(spark, [0, 3, 9], lambda *_: (1.0, 1.0))
     for hour in (1.0, 4.0, 9.5):
-        assert individual_join(cells_at(spark, [(1.0, 51.0)], hour), model, ["owiWindSpeed"], ["u10", "v10"]).count() == 0
+        assert individual_join(cells_at(spark, [(1.0, 51.0)], hour), model, ["owiWindSpeed"], ["u10", "v10"], "m").count() == 0
     times = spark.createDataFrame([(dt.datetime(2026, 1, 1, 4, 30),)], "time timestamp")
     regular = field(spark, [0, 3, 6], lambda *_: (1.0, 1.0)).select("source", "time")
     assert temporal_bracket(times, regular).agg(F.sum("factor")).first()[0] == pytest.approx(1.0)
@@ -234,7 +234,7 @@ def test_land_hides_model_values_above_one_half_only(spark):
     static = spark.createDataFrame([("m", i, j, 50.0 + i, 2.0 * j, 0.5 if j < 2 else 0.51) for i in range(4) for j in range(4)],
                                    "source string, lat_idx int, lon_idx int, lat double, lon double, lsm double")
     r = individual_join(cells_at(spark, [(1.0, 51.0), (5.0, 51.0)], 3.0), field(spark, range(8), lambda *_: (1.0, 1.0)),
-                        ["owiWindSpeed"], ["u10", "v10"], static=static).collect()
+                        ["owiWindSpeed"], ["u10", "v10"], "m", static=static).collect()
     assert [x.x for x in r] == [0]
 
 
