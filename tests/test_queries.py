@@ -8,6 +8,7 @@ import duckdb
 import pytest
 
 import __spark_entry__ as book
+from querybook import QUERIES
 
 FOLDER = "/root/testdata/sf0.001"
 pytestmark = pytest.mark.skipif(not os.path.isdir(FOLDER), reason="no test tables")
@@ -30,7 +31,7 @@ def tidy(rows):
     return sorted((tuple(one(v) for v in r) for r in rows), key=repr)
 
 
-@pytest.mark.parametrize("name", sorted(book.queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query_equals_its_sql(spark, con, name):
     df = book.queries()[name](spark, FOLDER)
     cols = sorted(df.columns)
