@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from swathmatch.llm import bpe, ngram_join, packing
+from swathmatch.llm import bpe, ngram_join, packing, repeats
 from swathmatch.llm.shared import ship, table
 
 QUERIES = {}
@@ -38,3 +38,9 @@ def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op8_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.near_duplicates(table(spark, sf_dir, "documents"))
+
+
+@query
+def op3_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = repeats.without_repeats(table(spark, sf_dir, "documents"))
+    return out.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
