@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from swathmatch.llm import bpe, ngram_join, packing, repeats
+from swathmatch.llm import bpe, ngram_join, packing, repeats, toxicity
 from swathmatch.llm.shared import ship, table
 
 QUERIES = {}
@@ -44,3 +44,10 @@ def op8_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op3_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = repeats.without_repeats(table(spark, sf_dir, "documents"))
     return out.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
+@query
+def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    held_out = toxicity.held_out()
+    out = toxicity.toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), ~held_out)
+    return out.select("doc_id", held_out.alias("held_out"), "score", "predicted")
