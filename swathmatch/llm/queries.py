@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from swathmatch.llm import bpe, ngram_join, packing, repeats, toxicity
+from swathmatch.llm import bpe, knn, ngram_join, packing, repeats, toxicity
 from swathmatch.llm.shared import ship, table
 
 QUERIES = {}
@@ -51,3 +51,17 @@ def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     held_out = toxicity.held_out()
     out = toxicity.toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), ~held_out)
     return out.select("doc_id", held_out.alias("held_out"), "score", "predicted")
+
+
+@query
+def op1_knn(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return knn.top_k(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0)
+
+
+SQL["op1_knn"] = """
+    WITH v AS (SELECT vec_id, list_transform(embedding, lambda x: floor(1024 * CAST(x AS DOUBLE))) AS v FROM embeddings
+               WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+    scored AS (SELECT q.vec_id AS query_id, c.vec_id AS vec_id, CAST(list_inner_product(q.v, c.v) AS BIGINT) AS score
+               FROM v AS q JOIN v AS c ON q.vec_id <> c.vec_id WHERE q.vec_id % 100 = 0),
+    ranked AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM scored)
+    SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score FROM ranked WHERE rank <= 10"""
