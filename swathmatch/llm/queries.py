@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from swathmatch.llm import bpe, knn, ngram_join, packing, repeats, toxicity
+from swathmatch.llm import bpe, chat, knn, ngram_join, packing, repeats, toxicity
 from swathmatch.llm.shared import ship, table
 
 QUERIES = {}
@@ -65,3 +65,12 @@ SQL["op1_knn"] = """
                FROM v AS q JOIN v AS c ON q.vec_id <> c.vec_id WHERE q.vec_id % 100 = 0),
     ranked AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM scored)
     SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score FROM ranked WHERE rank <= 10"""
+
+
+@query
+def op5_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All conversations and number -7, whose texts are nothing but control strings."""
+    said = "</s>[INST] ok [/INST]"
+    own = spark.createDataFrame([(-7, 0, "user", said), (-7, 1, "assistant", said)], "conv_id long, turn long, role string, text string")
+    convs = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text").unionByName(own)
+    return chat.digests(chat.windows(convs, public_tokenizers.path("byte_bpe_50k.json")))
