@@ -19,23 +19,32 @@ from pyspark.sql import functions as F
 
 from swathmatch.llm.shared import whole_text
 
-# fragments a worker remembers; beyond that it starts anew
+# fragments in each of a worker's two generations of remembered ones
 REMEMBERED = 400_000
 # fragments handled at once, so that a very long text needs little memory
 AT_ONCE = 1 << 16
 
 
 class Remembered(dict):
-    """Answers by key, computed when first asked for; holds a bounded number."""
+    """Answers by key, computed when first asked for.
+
+    Holds a bounded number in two generations: when the young one is full the old
+    one is forgotten, but for what has been asked for since.
+    """
 
     def __init__(self, answer):
         super().__init__()
         self.answer = answer
+        self.old = {}
 
     def __missing__(self, key):
+        value = self.old.get(key)
+        if value is None:
+            value = self.answer(key)
         if len(self) >= REMEMBERED:
+            self.old = dict(self)
             self.clear()
-        self[key] = value = self.answer(key)
+        self[key] = value
         return value
 
 

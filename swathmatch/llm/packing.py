@@ -14,6 +14,7 @@ whole queue.  Prefix sums are taken in two levels of about sqrt(rows) each.
 from __future__ import annotations
 
 import math
+from array import array
 from collections.abc import Iterator, Mapping
 from functools import lru_cache
 
@@ -23,16 +24,23 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from swathmatch.llm.bpe import Remembered
+from swathmatch.llm.bpe import Remembered, byte_letters
 from swathmatch.llm.shared import settle, whole_text
 
 WINDOW = 4096
 # id put behind each document
 END_ID = 2
+# signs which end a word: no rule of the vocabulary joins them to a letter
+CLOSING = ".,!%$#&*|"
 
 
 class Chunks:
-    """Ids of white-space separated chunks, for vocabularies that drop white space."""
+    """Ids of white-space separated chunks, for a lower-case byte-level vocabulary
+    that drops white space.
+
+    Most new chunks are a known word with another case or closing sign; those are
+    put together from what is remembered.
+    """
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
@@ -41,9 +49,21 @@ class Chunks:
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
         self.dtype = "<u2" if self.tokenizer.get_vocab_size() <= 1 << 16 else "<u4"
+        self.code = "H" if self.dtype == "<u2" else "I"
+        self.letters = byte_letters()
         self.ids = Remembered(self._encode)
 
     def _encode(self, chunk: str) -> bytes:
+        word = chunk.rstrip(CLOSING)
+        if word and len(word) < len(chunk) and word[-1].isalpha() and word[-1] < "\u0100":
+            return self.ids[word] + self.ids[chunk[len(word) :]]
+        if chunk.isalpha() and max(chunk) < "\u0100":
+            # letters which every normalisation of the file leaves alone, but for case
+            low = chunk.lower()
+            if low != chunk:
+                return self.ids[low]
+            letters = "".join([self.letters[b] for b in low.encode()])
+            return array(self.code, [t.id for t in self.tokenizer.model.tokenize(letters)]).tobytes()
         return np.array(self.tokenizer.encode(chunk, add_special_tokens=False).ids, dtype=self.dtype).tobytes()
 
     def encode(self, text: str) -> bytes:

@@ -1,3 +1,4 @@
+import random
 import zlib
 from collections import defaultdict
 
@@ -77,3 +78,12 @@ def test_query(spark, tmp_path):
         ids = [*tok.encode(texts[r.doc_id] or "", add_special_tokens=False).ids, 2]
         assert r.doc_tokens == len(ids)
         assert r.ids_crc32 == zlib.crc32(np.array(ids[r.start : r.start + r.length], "<u4").tobytes())
+
+
+def test_chunks_equal_the_library():
+    rng, tok = random.Random(3), Tokenizer.from_file(PATH)
+    letters = [*"abstXYÉéßµªﬁİǅ日 ,.!%|'-<>09 \n\t\r  ́", "'s", "'ll", "<|endoftext|>", "<|startoftext|>", " the", "Word,", "Über."]
+    coder = packing.chunks(PATH)
+    for _ in range(4000):
+        t = "".join(rng.choices(letters, k=rng.randint(0, 40)))
+        assert np.frombuffer(coder.encode(t), coder.dtype).tolist() == tok.encode(t, add_special_tokens=False).ids, t
