@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from swathmatch.llm import bpe, chat, knn, ngram_join, packing, repeats, toxicity
+from swathmatch.llm import bpe, chat, knn, ngram_join, packing, quality, repeats, secrets, toxicity
 from swathmatch.llm.shared import ship, table
 
 QUERIES = {}
@@ -74,3 +74,13 @@ def op5_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
     own = spark.createDataFrame([(-7, 0, "user", said), (-7, 1, "assistant", said)], "conv_id long, turn long, role string, text string")
     convs = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text").unionByName(own)
     return chat.digests(chat.windows(convs, public_tokenizers.path("byte_bpe_50k.json")))
+
+
+@query
+def op6_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secrets.listed(secrets.scan(table(spark, sf_dir, "documents")))
+
+
+@query
+def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.judged(table(spark, sf_dir, "documents"))
