@@ -67,9 +67,10 @@ def lowest_in_windows(h: np.ndarray, w: int) -> np.ndarray:
     return (np.minimum(behind[:n], ahead[w - 1 : w - 1 + n]) & low).astype(np.int64)
 
 
-def suffixes(data: bytes, length: int, q: int) -> Iterator[tuple[int, bytes, int, int, int]]:
+def suffixes(data: bytes, length: int, q: int) -> Iterator[list[int]]:
     """bucket, identifier of the reach, position, first and last start of the strings
-    which pick this suffix."""
+    which pick this suffix, how many follow each other with the same reach (as in a
+    text of one repeated word), and the last start of those."""
     for at in range(0, len(data) - length + 1, SEGMENT):
         b = np.frombuffer(data[at : at + SEGMENT + length - 1], dtype=np.uint8)
         h = gram_hashes(b, q)
@@ -77,9 +78,18 @@ def suffixes(data: bytes, length: int, q: int) -> Iterator[tuple[int, bytes, int
         first = np.flatnonzero(np.concatenate([[True], picked[1:] != picked[:-1]]))
         last = np.append(first[1:], len(picked)) - 1
         pos = picked[first]
+        run: list[int] | None = None
         for g, p, lo, hi in zip(h[pos].view(np.int64).tolist(), pos.tolist(), first.tolist(), last.tolist(), strict=True):
             reach = hashlib.blake2b(data[at + lo : at + hi + length], digest_size=8, salt=(p - lo).to_bytes(4, "little")).digest()
-            yield g, int.from_bytes(reach, "little", signed=True), at + p, at + lo, at + hi
+            name = int.from_bytes(reach, "little", signed=True)
+            if run and run[:2] == [g, name]:
+                run[5:] = run[5] + 1, at + hi
+            else:
+                if run:
+                    yield run
+                run = [g, name, at + p, at + lo, at + hi, 1, at + hi]
+        if run:
+            yield run
 
 
 def _bytes(text: Column) -> Column:
@@ -98,10 +108,10 @@ def _sampled(keyed: DataFrame, length: int, q: int) -> DataFrame:
         for frame in frames:
             for doc, mark, data in zip(frame["doc"], frame["mark"], frame["data"], strict=True):
                 if len(data) >= length:
-                    out = pd.DataFrame(list(suffixes(data, length, q)), columns=["bucket", "reach", "pos", "lo", "hi"])
+                    out = pd.DataFrame(list(suffixes(data, length, q)), columns=["bucket", "reach", "pos", "lo", "hi", "n", "till"])
                     yield out.assign(doc=doc, mark=mark)
 
-    return keyed.mapInPandas(_joined(run), "bucket long, reach long, pos int, lo int, hi int, doc long, mark int")
+    return keyed.mapInPandas(_joined(run), "bucket long, reach long, pos int, lo int, hi int, n int, till int, doc long, mark int")
 
 
 def _joined(run, rows: int = 50_000):
@@ -157,7 +167,7 @@ def _refined(reaches: DataFrame, length: int, rounds: tuple[int, ...]) -> list[D
         cut = reaches.join(open_, "member").mapInPandas(
             _blocks(size, length), "member long, bucket long, one boolean, core binary, whole binary, a int, b int")
         blocks = settle(cut)
-        equal = blocks.groupBy("bucket", "core", "whole").agg(F.count("*").alias("n"), F.min("member").alias("first"))
+        equal = settle(blocks.groupBy("bucket", "core", "whole").agg(F.count("*").alias("n"), F.min("member").alias("first")))
         shared = equal.groupBy("bucket", "core").agg(F.count("*").alias("kinds"))
         seen = blocks.join(equal, ["bucket", "core", "whole"])
         found = seen.filter("n > 1 AND one").join(reaches.select("member", "doc", "mark", "pos"), "member")
@@ -176,11 +186,12 @@ def repeated_spans(docs: DataFrame, length: int = LENGTH) -> DataFrame:
     q = max(1, length // 4)
     keyed = _keyed(docs)
     sampled = settle(_sampled(keyed, length, q))
-    often = sampled.groupBy("bucket").agg(F.count("*").alias("n")).filter("n > 1").select("bucket")
+    # written before it is joined: Spark splits hot keys between plain exchanges only
+    often = settle(sampled.groupBy("bucket").agg(F.sum("n").alias("n")).filter("n > 1").select("bucket"))
     sampled = settle(sampled.join(often, "bucket", "left_semi"))
-    kinds = settle(sampled.groupBy("bucket", "reach").agg(F.count("*").alias("n"), F.min(F.struct("doc", "mark", "pos", "lo", "hi")).alias("m")))
-    whole = sampled.join(kinds.filter("n > 1").select("bucket", "reach"), ["bucket", "reach"], "left_semi").select("doc", "mark", "lo", "hi")
-    several = kinds.groupBy("bucket").agg(F.count("*").alias("k")).filter("k > 1").select("bucket")
+    kinds = settle(sampled.groupBy("bucket", "reach").agg(F.sum("n").alias("n"), F.min(F.struct("doc", "mark", "pos", "lo", "hi")).alias("m")))
+    whole = sampled.join(kinds.filter("n > 1").select("bucket", "reach"), ["bucket", "reach"], "left_semi").select("doc", "mark", "lo", F.col("till").alias("hi"))
+    several = settle(kinds.groupBy("bucket").agg(F.count("*").alias("k")).filter("k > 1").select("bucket"))
     members = settle(kinds.join(several, "bucket", "left_semi").select(
         F.monotonically_increasing_id().alias("member"), "bucket", (F.col("n") == 1).alias("one"), "m.*"))
     reaches = settle(_reaches(members, keyed, length))
