@@ -32,7 +32,7 @@ COMMON = {
 # words from which shares of character classes and of common words mean something
 CLASS_WORDS, COMMON_WORDS = 50, 200
 # distances (0 to 1) beyond which a text is too far from every language
-CLASS_LIMIT, COMMON_LIMIT = 0.35, 0.75
+CLASS_LIMIT, COMMON_LIMIT = 0.30, 0.27
 
 
 def _repeated_words(words: Column) -> Column:
