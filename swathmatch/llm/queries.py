@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from swathmatch.llm import bpe, chat, knn, ngram_join, packing, quality, repeats, secrets, toxicity
+from swathmatch.llm import bpe, chat, html_text, knn, ngram_join, packing, quality, repeats, secrets, toxicity
 from swathmatch.llm.shared import ship, table
 
 QUERIES = {}
@@ -84,3 +84,8 @@ def op6_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.judged(table(spark, sf_dir, "documents"))
+
+
+@query
+def op10_html(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_text.extract(table(spark, sf_dir, "pages"))
