@@ -19,6 +19,7 @@ from functools import lru_cache
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -236,6 +237,32 @@ def with_spans(docs: DataFrame, length: int = LENGTH) -> DataFrame:
     return own.join(spans, ["_doc", "_mark"], "left").drop("_doc", "_mark")
 
 
+def cut_texts(docs: DataFrame, length: int = LENGTH) -> DataFrame:
+    """All rows and columns of *docs*, their texts without the repeated bytes.  A
+    character of which only a part repeats stays.  A NULL text stays NULL."""
+    rows, names = with_spans(docs, length), docs.columns
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            texts = batch.column("text").to_pylist()
+            for i, spans in enumerate(batch.column("repeated_spans").to_pylist()):
+                if spans:
+                    data, at, kept = texts[i].encode(), 0, []
+                    for span in spans:
+                        start, end = span["start"], span["end"]
+                        while start < end and data[start] & 0xC0 == 0x80:
+                            start += 1
+                        while end > start and end < len(data) and data[end] & 0xC0 == 0x80:
+                            end -= 1
+                        kept.append(data[at:start])
+                        at = end
+                    texts[i] = b"".join([*kept, data[at:]]).decode()
+            columns = {**dict(zip(batch.schema.names, batch.columns, strict=True)), "text": pa.array(texts, pa.string())}
+            yield pa.RecordBatch.from_arrays([columns[c] for c in names], names=names)
+
+    return rows.mapInArrow(run, docs.schema)
+
+
 def without_repeats(docs: DataFrame, length: int = LENGTH) -> DataFrame:
     """doc_id, n_bytes, n_removed, n_spans, kept (binary): each text without the
     bytes of its ``repeated_spans``.  See ``with_spans`` for the corner cases."""

@@ -147,10 +147,10 @@ def _tested(runs: Column, taken: Column) -> Column:
     return tests
 
 
-def _limits(scanned: DataFrame) -> DataFrame:
+def _limits(tested: DataFrame) -> DataFrame:
     """One row, limits: by length class the least bin whose candidates are accepted
     (Benjamini-Hochberg on the bins of each class)."""
-    bins = scanned.select(F.explode("candidates").alias("c")).groupBy("c.size", "c.bin").agg(F.count("*").alias("n"))
+    bins = tested.select(F.explode("candidates").alias("c")).groupBy("c.size", "c.bin").agg(F.count("*").alias("n"))
     down = Window.partitionBy("size").orderBy(F.desc("bin"))
     ranked = bins.select("size", "bin", F.sum("n").over(down).alias("k"), F.sum("n").over(Window.partitionBy("size")).alias("m"))
     good = ranked.filter(F.exp(-F.col("bin") * BIN) <= RATE * F.col("k") / F.col("m")).groupBy("size").agg(F.min("bin").alias("bin"))
@@ -167,6 +167,21 @@ def _as(spans: Column, kind: int) -> Column:
     return F.transform(spans, lambda s: F.struct(s["start"].alias("start"), F.lit(kind).alias("kind"), s["end"].alias("end")))
 
 
+def scanned(docs: DataFrame, keep: list[str]) -> DataFrame:
+    """One row for each row of *docs*: row (a struct of the columns in *keep*), base,
+    spans (arrays of start, kind, end); see ``scan``."""
+    text = F.col("text")
+    assign, access, hexes = base_spans(text)
+    rows = docs.select(F.struct(*keep).alias("row"), whole_text())
+    rows = rows.select("row", assign.alias("a"), access.alias("k"), hexes.alias("h"), found(text, CANDIDATE).alias("runs"))
+    bare = rows.select("row", *[F.transform(c, lambda m: F.struct(m["start"].alias("start"), m["end"].alias("end"))).alias(c) for c in "akh"], "runs")
+    tested = settle(bare.select("row", "a", "k", "h", _tested(F.col("runs"), F.concat("a", "k", "h")).alias("candidates")))
+    limit = lambda m: F.coalesce(F.element_at(F.col("limits"), m["size"]), F.lit(LAST_BIN + 1))
+    random = F.filter("candidates", lambda m: (m["p"] >= ALPHA) & (m["bin"] >= limit(m)))
+    base = F.concat(_as(F.col("a"), 0), _as(F.col("k"), 1), _as(F.col("h"), 2))
+    return attach_single(tested, _limits(tested)).select("row", F.array_sort(base).alias("base"), F.array_sort(F.concat(base, _as(random, 3))).alias("spans"))
+
+
 def scan(docs: DataFrame) -> DataFrame:
     """One row for each row of *docs*: doc_id, n_assign, n_access, n_hex, base, spans
     (arrays of start, kind, end; code points, end exclusive; kind as in KINDS).
@@ -176,21 +191,32 @@ def scan(docs: DataFrame) -> DataFrame:
     span; a NULL doc_id stays NULL; repeated rows each count; columns beside doc_id
     and text are not read.
     """
-    text = F.col("text")
-    assign, access, hexes = base_spans(text)
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), whole_text())
-    rows = rows.select("doc_id", assign.alias("a"), access.alias("k"), hexes.alias("h"), found(text, CANDIDATE).alias("runs"))
-    bare = rows.select("doc_id", *[F.transform(c, lambda m: F.struct(m["start"].alias("start"), m["end"].alias("end"))).alias(c) for c in "akh"], "runs")
-    scanned = settle(bare.select("doc_id", "a", "k", "h", _tested(F.col("runs"), F.concat("a", "k", "h")).alias("candidates")))
-    limit = lambda m: F.coalesce(F.element_at(F.col("limits"), m["size"]), F.lit(LAST_BIN + 1))
-    out = attach_single(scanned, _limits(scanned))
-    random = F.filter("candidates", lambda m: (m["p"] >= ALPHA) & (m["bin"] >= limit(m)))
-    base = F.concat(_as(F.col("a"), 0), _as(F.col("k"), 1), _as(F.col("h"), 2))
-    return out.select("doc_id", F.size("a").cast("long").alias("n_assign"), F.size("k").cast("long").alias("n_access"),
-                      F.size("h").cast("long").alias("n_hex"), F.array_sort(base).alias("base"), F.array_sort(F.concat(base, _as(random, 3))).alias("spans"))
+    def count(kind: int) -> Column:
+        return F.size(F.filter("base", lambda s: s["kind"] == kind)).cast("long").alias(f"n_{KINDS[kind]}")
+
+    out = scanned(docs, ["doc_id"])
+    counts = [count(k) for k in range(3)]
+    return out.select(F.col("row.doc_id").cast("long").alias("doc_id"), *counts, "base", "spans")
+
+
+def redacted(docs: DataFrame, mask: str = "[SECRET]") -> DataFrame:
+    """All rows and columns of *docs*, with *mask* in the place of each span of
+    ``scan`` in the text (spans which overlap share one).  A NULL text stays NULL."""
+    out = scanned(docs, docs.columns)
+    text = F.coalesce("row.text", F.lit(""))
+
+    def cut(acc: Column, s: Column) -> Column:
+        gap = F.concat(F.substring(text, acc["at"] + 1, s["start"] - acc["at"]), F.lit(mask))
+        new = F.when(s["start"] >= acc["at"], F.concat(acc["out"], gap)).otherwise(acc["out"])
+        return F.struct(F.greatest(acc["at"], s["end"]).alias("at"), new.alias("out"))
+
+    start = F.struct(F.lit(0).alias("at"), F.lit("").alias("out"))
+    clean = F.aggregate("spans", start, cut, lambda acc: F.concat(acc["out"], F.substring(text, acc["at"] + 1, F.length(text))))
+    return out.withColumn("clean", F.when(F.size("spans") == 0, F.col("row.text")).otherwise(clean)).select(
+        *[F.col("clean").alias(c) if c == "text" else F.col("row").getField(c).alias(c) for c in docs.columns])
 
 
-def listed(scanned: DataFrame) -> DataFrame:
+def listed(found_spans: DataFrame) -> DataFrame:
     """The result of ``scan`` with its spans as text (``kind:start:end``, by comma)."""
-    return scanned.select("doc_id", "n_assign", "n_access", "n_hex", F.sha2(_listed(F.col("base")), 256).alias("base_sha256"),
+    return found_spans.select("doc_id", "n_assign", "n_access", "n_hex", F.sha2(_listed(F.col("base")), 256).alias("base_sha256"),
                           _listed(F.col("spans")).alias("spans"))
