@@ -36,14 +36,14 @@ def filled_sql(cols, minutes: int = 180, source: str = "cand", by: str = "scene,
 
 
 def radius_sql(sar, val, radius: float, weight: str = "1e0", extra: str = "", minutes: int = 180,
-               buffer_deg: str = "0.25e0", more: str = "") -> str:
+               buffer_deg: str = "0.25e0", more: str = "", by: str = "scene, platform_id", val_id: str = "f.platform_id") -> str:
     """Brute force over all cells of the scene; the same rules as the radius join."""
     mean = ", ".join(f"sum({v} * wt) / nullif(sum(CASE WHEN {v} IS NOT NULL THEN wt END), 0) AS sar_{v}" for v in sar)
     measured = [v for v in sar if v != "rvlHeading"]
     any_sar = " OR ".join(f"sar_{v} IS NOT NULL" for v in measured)
     any_val = " OR ".join(f"f_{c} IS NOT NULL" for c in val)
     return f"""WITH {candidate_sql(buffer_deg, minutes)},
-        filled AS ({filled_sql(val, minutes)}),
+        filled AS ({filled_sql(val, minutes, by=by)}),
         pairs0 AS (SELECT o.obs_id, o.scene, c.y, c.x, c.lon AS c_lon, c.lat AS c_lat, {', '.join('c.' + v for v in sar)},
                           {hav('o.lon', 'o.lat', 'c.lon', 'c.lat')} AS d
                    FROM cand AS o JOIN cells AS c ON c.scene = o.scene AND c.lat BETWEEN o.lat - 0.4e0 AND o.lat + 0.4e0),
@@ -54,7 +54,7 @@ def radius_sql(sar, val, radius: float, weight: str = "1e0", extra: str = "", mi
         matched AS (SELECT n.c_lon AS sar_lon, n.c_lat AS sar_lat, f.lon AS val_lon, f.lat AS val_lat,
                    n.d AS spatial_distance_km, abs(epoch_us(f.time) - epoch_us(f.scene_time)) / 6e7 AS temporal_distance_minutes,
                    f.platform_type AS val_source, n.y AS sar_y_idx, n.x AS sar_x_idx, f.scene AS sar_scene_name,
-                   f.scene_time AS time, f.time AS val_time, f.platform_id AS val_id, f.obs_id,
+                   f.scene_time AS time, f.time AS val_time, {val_id} AS val_id, f.obs_id,
                    {', '.join(f'a.sar_{v}' for v in sar)}, {', '.join(f'f.f_{c} AS val_{c}' for c in val)}{more}
             FROM filled AS f JOIN around AS a USING (obs_id, scene) JOIN near AS n USING (obs_id, scene)
             WHERE ({any_sar}) AND ({any_val}))"""
@@ -69,6 +69,12 @@ def j1(t):
     return spatial.radius_join(t.cells, t.obs, WIND, ["WSPD", "WDIR"], EQUAL_25)
 
 
+@query("j1_radius_join_no_platform", PAIR_COLS + "sar_owiWindSpeed:d val_WSPD:d",
+       radius_sql(("owiWindSpeed",), ("WSPD",), 25, by="scene", val_id="CAST(NULL AS VARCHAR)") + "\n--select\nSELECT * FROM matched", "obs cells")
+def j1_no_platform(t):
+    return spatial.radius_join(t.cells, t.obs.drop("platform_id"), ["owiWindSpeed"], ["WSPD"], EQUAL_25)
+
+
 @query("j1_radius_join_gaussian", PAIR_COLS + "sar_owiWindSpeed:d val_WSPD:d",
        radius_sql(("owiWindSpeed",), ("WSPD",), 30, "exp(-(d * d) / 200e0)", buffer_deg="0.3e0") + "\n--select\nSELECT * FROM matched",
        "obs cells")
@@ -225,6 +231,16 @@ def w1(t):
     return next_valid(rows, ["platform_type", "platform_id"], "us", "obs_id", ["WSPD"], 600 * spatial.MINUTE)
 
 
+@query("j6_forward_fill_whole_group", "obs_id:i WSPD:d",
+       """WITH filled AS (SELECT *, coalesce(WSPD, first_value(WSPD IGNORE NULLS) OVER (PARTITION BY platform_type
+          ORDER BY time RANGE BETWEEN INTERVAL 1 MICROSECOND FOLLOWING AND INTERVAL 600 MINUTE FOLLOWING)) AS f FROM obs)
+--select
+SELECT obs_id, f AS WSPD FROM filled""", "obs")
+def j6_whole_group(t):
+    rows = t.obs.withColumn("us", micros("time"))
+    return next_valid(rows, ["platform_type"], "us", "obs_id", ["WSPD"], 600 * spatial.MINUTE, platform=None)
+
+
 # --- models ------------------------------------------------------------------------
 
 BRACKET_SQL = """
@@ -268,32 +284,33 @@ def j8_nearest(t):
 
 
 def _bilinear_sql(places: str, key: str, cols: str, lsm: bool, where: str = "TRUE") -> str:
-    """Four corner look-ups per place; the degree grid gives the lower corner."""
-    def at(v, src):
-        return (f"{src}00.{v} * (1 - fi) * (1 - fj) + {src}01.{v} * (1 - fi) * fj + {src}10.{v} * fi * (1 - fj) + {src}11.{v} * fi * fj")
-
-    joins = []
-    for di in (0, 1):
-        for dj in (0, 1):
-            joins.append(f"LEFT JOIN fields AS g{di}{dj} ON g{di}{dj}.st = l.time AND g{di}{dj}.lat_idx = l.i + {di}"
-                         f" AND g{di}{dj}.lon_idx = l.j + {dj}")
-            if lsm:
-                joins.append(f"LEFT JOIN static AS s{di}{dj} ON s{di}{dj}.lat_idx = l.i + {di} AND s{di}{dj}.lon_idx = l.j + {dj}")
-    land = f"coalesce({at('lsm', 's')} > 0.5, FALSE)" if lsm else "FALSE"
+    """Each place fetches its four corners at three model times by equality.
+
+    The degree grid gives the lower corner; a value needs all four corners, and a
+    corner all three times."""
+    land = """LEFT JOIN (SELECT pid, sum(lsm * w) AS lsm FROM corners AS c JOIN static AS s ON s.lat_idx = c.ci AND s.lon_idx = c.cj
+                  GROUP BY pid HAVING count(lsm) = 4) AS d USING (pid)""" if lsm else ""
+    wet = "NOT coalesce(d.lsm > 0.5, FALSE)" if lsm else "TRUE"
     return f"""
-    loc AS (SELECT *, lat - 47.25e0 AS py, lon + 12.75e0 AS px FROM {places} WHERE {where}),
-    l AS (SELECT *, CAST(least(8, floor(py)) AS INT) AS i, CAST(least(12, floor(px)) AS INT) AS j,
-                 py - least(8, floor(py)) AS fi, px - least(12, floor(px)) AS fj FROM loc
+    loc AS MATERIALIZED (SELECT *, row_number() OVER () AS pid, lat - 47.25e0 AS py, lon + 12.75e0 AS px FROM {places} WHERE {where}),
+    l AS MATERIALIZED (SELECT loc.*, br.t1, br.t2, br.t3, br.p, CAST(least(8, floor(py)) AS INT) AS i, CAST(least(12, floor(px)) AS INT) AS j,
+                 py - least(8, floor(py)) AS fi, px - least(12, floor(px)) AS fj FROM loc JOIN br ON br.st = loc.time
           WHERE py BETWEEN 0 AND 9 AND px BETWEEN 0 AND 13),
-    vals AS (SELECT {key}, {cols}, CASE WHEN NOT {land} THEN {at('u10', 'g')} END AS u, CASE WHEN NOT {land} THEN {at('v10', 'g')} END AS v
-             FROM l {' '.join(joins)})"""
+    corners AS MATERIALIZED (SELECT pid, t1, t2, t3, p, i + di AS ci, j + dj AS cj,
+                 CASE di WHEN 0 THEN 1 - fi ELSE fi END * CASE dj WHEN 0 THEN 1 - fj ELSE fj END AS w
+                 FROM l, (VALUES (0, 0), (0, 1), (1, 0), (1, 1)) AS step(di, dj)),
+    blended AS MATERIALIZED (SELECT k.pid, sum(({_blend_sql('u10')}) * w) AS u, sum(({_blend_sql('v10')}) * w) AS v FROM corners AS k
+                 JOIN model AS a ON a.time = k.t1 AND a.lat_idx = k.ci AND a.lon_idx = k.cj
+                 JOIN model AS b ON b.time = k.t2 AND b.lat_idx = k.ci AND b.lon_idx = k.cj
+                 JOIN model AS c ON c.time = k.t3 AND c.lat_idx = k.ci AND c.lon_idx = k.cj GROUP BY k.pid HAVING count(*) = 4),
+    vals AS (SELECT {key}, {cols}, u, v FROM l JOIN blended USING (pid) {land} WHERE {wet})"""
 
 
 SPEED_SQL = f"sqrt(u * u + v * v) AS WSPD, {mod('270 - degrees(atan2(v, u))')} AS WDIR"
 
 
 @query("j7_bilinear_join", "place_id:i WSPD:d WDIR:d",
-       "WITH " + BRACKET_SQL.format(places="points") + "," + FIELDS_SQL + "," + _bilinear_sql("points", "place_id", "l.time", False)
+       "WITH " + BRACKET_SQL.format(places="points") + "," + _bilinear_sql("points", "place_id", "l.time", False)
        + f"\n--select\nSELECT place_id, {SPEED_SQL} FROM vals WHERE u IS NOT NULL AND v IS NOT NULL", "model points")
 def j7(t):
     places = t.points.select("place_id", "lon", "lat", "time").withColumn("source", F.lit("era5"))
@@ -301,7 +318,7 @@ def j7(t):
 
 
 @query("j11_land_mask_join", "place_id:i WSPD:d WDIR:d",
-       "WITH " + BRACKET_SQL.format(places="points") + "," + FIELDS_SQL + "," + _bilinear_sql("points", "place_id", "l.time", True)
+       "WITH " + BRACKET_SQL.format(places="points") + "," + _bilinear_sql("points", "place_id", "l.time", True)
        + f"\n--select\nSELECT place_id, {SPEED_SQL} FROM vals WHERE u IS NOT NULL AND v IS NOT NULL", "model points static")
 def j11(t):
     places = t.points.select("place_id", "lon", "lat", "time").withColumn("source", F.lit("era5"))
@@ -309,7 +326,7 @@ def j11(t):
 
 
 @query("j10_model_individual_join", "scene:s y:i x:i owiWindSpeed:d WSPD:d WDIR:d",
-       "WITH " + BRACKET_SQL.format(places="cells") + "," + FIELDS_SQL + ","
+       "WITH " + BRACKET_SQL.format(places="cells") + ","
        + _bilinear_sql("cells", "scene", "y, x, owiWindSpeed", True, "owiWindSpeed IS NOT NULL OR owiWindDirection IS NOT NULL")
        + f"\n--select\nSELECT scene, y, x, owiWindSpeed, {SPEED_SQL} FROM vals WHERE u IS NOT NULL AND v IS NOT NULL",
        "model cells static")

@@ -33,6 +33,15 @@ def j12(t):
     return predict.point_in_polygon_join(t.globe, rings)
 
 
+@query("j12_rings_below_three_vertices", "point_id:i fp_id:i",
+       f"""SELECT point_id, fp_id FROM globe AS g JOIN footprints AS f ON CASE WHEN fp_id % 50 = 0 THEN TRUE
+           ELSE g.lat BETWEEN f.min_lat AND f.max_lat AND {edges_sql('g.lat', 'g.lon', 'f.')} END""", "globe footprints")
+def j12_vague(t):
+    ring = F.array(*[F.struct(F.col(f"lat{i}").alias("lat"), F.col(f"lon{i}").alias("lon")) for i in range(1, 5)])
+    size = F.when(F.col("fp_id") % 50 == 0, (F.col("fp_id") / 50 % 3).cast("int")).otherwise(4)
+    return predict.point_in_polygon_join(t.globe, t.footprints.select("fp_id", F.slice(ring, F.lit(1), size).alias("polygon")))
+
+
 @query("j13_bbox_overlap_join", "fp_id:i item_id:i",
        """SELECT fp_id, item_id FROM footprints JOIN catalog ON max_lon >= r_min_lon AND min_lon <= r_max_lon AND max_lat >= r_min_lat AND min_lat <= r_max_lat""",
        "footprints catalog")
@@ -59,6 +68,18 @@ def j15(t):
     return predict.interval_overlap_join(left, right, by=["k"])
 
 
+@query("j15_open_windows", "fp_id:i item_id:i",
+       """WITH c AS (SELECT item_id, CASE WHEN item_id % 101 <> 0 THEN r_start END AS r_start, CASE WHEN item_id % 103 <> 0 THEN r_end END AS r_end FROM catalog)
+--select
+SELECT fp_id, item_id FROM footprints JOIN c ON c_nationkey = item_id % 25 AND coalesce(sensing_start <= r_end, TRUE) AND coalesce(r_start <= sensing_end, TRUE)
+WHERE NOT coalesce(r_end < r_start, FALSE)""", "footprints catalog")
+def j15_open(t):
+    left = t.footprints.select("fp_id", F.col("c_nationkey").cast("bigint").alias("k"), F.col("sensing_start").alias("start"), F.col("sensing_end").alias("end"))
+    right = t.catalog.select("item_id", (F.col("item_id") % 25).alias("k"), F.when(F.col("item_id") % 101 != 0, F.col("r_start")).alias("r_start"),
+                             F.when(F.col("item_id") % 103 != 0, F.col("r_end")).alias("r_end"))
+    return predict.interval_overlap_join(left, right, by=["k"])
+
+
 @query("j16_index_match", "file_id:i request_id:i",
        """SELECT file_id, request_id FROM platform_index JOIN requests ON time_start <= r_end AND r_start <= time_end AND lat_max >= r_min_lat AND lat_min <= r_max_lat
           AND (lon_max - lon_min > 180 OR CASE WHEN r_min_lon <= r_max_lon THEN lon_max >= r_min_lon AND lon_min <= r_max_lon
@@ -157,12 +178,12 @@ def j19(t):
 
 
 @query("j21_granule_day_exists", "window_id:i source:s",
-       """WITH g AS (SELECT DISTINCT o_orderpriority AS source, CAST(o_orderdate AS DATE) AS day FROM orders WHERE o_orderstatus = 'P'),
+       """WITH g AS (SELECT DISTINCT o_orderpriority AS source, CAST(o_orderdate AS DATE) AS day FROM orders),
           w AS (SELECT l_orderkey * 10 + l_linenumber AS window_id, CASE l_returnflag WHEN 'A' THEN '5-LOW' ELSE '1-URGENT' END AS source, l_shipdate AS s FROM lineitem)
 --select
 SELECT DISTINCT window_id, w.source FROM w JOIN g ON g.source = w.source AND g.day BETWEEN CAST(s - INTERVAL 90 MINUTE AS DATE) AND CAST(s + INTERVAL 90 MINUTE AS DATE)""")
 def j21(t):
-    g = t.orders.filter("o_orderstatus = 'P'").select(F.col("o_orderpriority").alias("source"), F.to_date("o_orderdate").alias("day"))
+    g = t.orders.select(F.col("o_orderpriority").alias("source"), F.to_date("o_orderdate").alias("day"))
     s = F.col("l_shipdate").cast("timestamp")
     w = t.lineitem.select((F.col("l_orderkey") * 10 + F.col("l_linenumber")).alias("window_id"),
                           F.when(F.col("l_returnflag") == "A", "5-LOW").otherwise("1-URGENT").alias("source"), s.alias("start"), s.alias("end"))

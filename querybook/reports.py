@@ -6,9 +6,10 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from querybook import query
+from querybook.joins import EQUAL_25, radius_sql
 from querybook.statistics import LAND_QA_SQL, _RESCALED, circular_sql, linear_sql
 from querybook.tables import mod
-from swathmatch.operators import predict, report, stats
+from swathmatch.operators import predict, report, spatial, stats
 from swathmatch.operators.ordered import keep_first, micros, with_neighbours
 
 S, V = "sar_owiWindSpeed", "val_WSPD"
@@ -21,6 +22,14 @@ def t1(t):
     return report.dedupe_observations(t.pairs, S, V)
 
 
+@query("t1_dedupe_first_row", f"val_source:s val_id:s val_time:t val_lat:d val_lon:d {S}:d {V}:d n_pixels:i kind:s sar_lon:d",
+       f"""SELECT *, {V} AS v0 FROM (SELECT val_source, val_id, val_time, val_lat, val_lon, avg({S}) OVER w AS {S}, count(*) OVER w AS n_pixels,
+             {V}, kind, sar_lon, row_number() OVER (w ORDER BY {V}, kind, sar_lon) AS rn FROM pairs WHERE {S} IS NOT NULL AND {V} IS NOT NULL
+             WINDOW w AS (PARTITION BY val_source, val_id, val_time, val_lat, val_lon)) WHERE rn = 1""", "pairs")
+def t1_first_row(t):
+    return report.dedupe_observations(t.pairs, S, V, ["kind", "sar_lon"])
+
+
 @query("t2_scatter_annotations", "N:i bias:d rmse:d correlation:d n_raw:i",
        f"""SELECT count(*) AS N, avg({S} - {V}) AS bias, sqrt(avg(pow({S} - {V}, 2))) AS rmse, corr({S}, {V}) AS correlation, sum(n_pixels) AS n_raw FROM {DEDUPED}""", "pairs")
 def t2(t):
@@ -116,27 +125,31 @@ def t8_scales(t):
 
 # --- matched and unmatched observations ----------------------------------------------------
 
-CLASSIFIED = """WITH cat AS (SELECT *, CASE platform_type WHEN 'click' THEN 'Scatterometer' WHEN 'view' THEN 'Radiometer' WHEN 'error' THEN 'Hf_Radar' ELSE 'In-situ' END AS category FROM obs),
-    mt AS (SELECT DISTINCT category, round(lon, 6) AS lo, round(lat, 6) AS la FROM cat WHERE obs_id % 5 = 0),
+CLASSIFIED = radius_sql(("owiWindSpeed",), ("WSPD",), 25) + """,
+    cat AS (SELECT *, CASE platform_type WHEN 'click' THEN 'Scatterometer' WHEN 'view' THEN 'Radiometer' WHEN 'error' THEN 'Hf_Radar' ELSE 'In-situ' END AS category FROM obs),
+    mt AS (SELECT DISTINCT category, round(val_lon, 6) AS lo, round(val_lat, 6) AS la FROM matched JOIN cat USING (obs_id)),
     win AS (SELECT DISTINCT time AS st FROM cells),
     cls AS (SELECT c.obs_id, c.category, c.lon, c.lat, m.lo IS NOT NULL AS matched FROM cat AS c LEFT JOIN mt AS m ON m.category = c.category
             AND m.lo = round(c.lon, 6) AND m.la = round(c.lat, 6)
             WHERE m.lo IS NOT NULL OR c.obs_id % 7 = 0 OR EXISTS (SELECT 1 FROM win WHERE c.time BETWEEN st - INTERVAL 180 MINUTE AND st + INTERVAL 180 MINUTE))"""
 
 
-def _classified(t):
+def _classified(t, with_times=True):
     p = F.col("platform_type")
     kind = F.when(p == "click", "scatterometer").when(p == "view", "smap_ssm").when(p == "error", "hf_radar").otherwise("mooring")
     obs = t.obs.withColumns({"platform_type": kind, "tolerance_us": F.lit(180 * 60_000_000)})
-    pairs = obs.filter("obs_id % 5 = 0").select(kind_source().alias("val_source"), F.col("lon").alias("val_lon"), F.col("lat").alias("val_lat"))
+    pairs = spatial.radius_join(t.cells, obs, ["owiWindSpeed"], ["WSPD"], EQUAL_25).select(
+        kind_source("val_source").alias("val_source"), "val_lon", "val_lat")
     timed = obs.withColumn("time", F.when(F.col("obs_id") % 7 != 0, F.col("time")))
     windows = t.cells.groupBy("scene").agg(F.min("time").alias("start"), F.max("time").alias("end"))
+    if not with_times:
+        windows = windows.withColumns({"start": F.lit(None).cast("timestamp"), "end": F.lit(None).cast("timestamp")})
     return predict.matched_unmatched(timed, pairs, windows)
 
 
-def kind_source():
+def kind_source(column):
     # matches of one soil source carry its own name, readings the satellite family
-    p = F.col("platform_type")
+    p = F.col(column)
     return F.when(p == "smap_ssm", "radiometer_ssm").otherwise(p)
 
 
@@ -145,6 +158,12 @@ def j20(t):
     return _classified(t)
 
 
+@query("j20_without_scene_times", "obs_id:i category:s lon:d lat:d matched:b",
+       CLASSIFIED.rsplit("WHERE m.lo IS NOT NULL OR", 1)[0] + ")\n--select\nSELECT * FROM cls", "obs cells")
+def j20_without_times(t):
+    return _classified(t, with_times=False)
+
+
 @query("t9_match_coverage", "category:s n_matched:i n_unmatched:i",
        CLASSIFIED + "\n--select\nSELECT category, count(*) FILTER (matched) AS n_matched, count(*) FILTER (NOT matched) AS n_unmatched FROM cls GROUP BY category", "obs cells")
 def t9(t):
@@ -232,11 +251,9 @@ def w4(t):
     return report.seeded_sample(t.obs, "obs_id", 1000, seed=7)
 
 
-@query("w5_stride_decimate", "scene:s y:i x:i", """WITH k AS (SELECT scene, greatest(1, ceil(greatest(max(y) + 1, max(x) + 1) / 12e0)) AS k FROM cells GROUP BY scene)
---select
-SELECT scene, y, x FROM cells JOIN k USING (scene) WHERE y % k = 0 AND x % k = 0""", "cells")
+@query("w5_stride_decimate", "scene:s y:i x:i", "SELECT scene, y, x FROM cells WHERE y % 3 = 0 AND x % 3 = 0", "cells")
 def w5(t):
-    return report.stride_decimate(t.cells, 12)
+    return report.stride_decimate(t.cells, 3)
 
 
 @query("w6_ordered_per_source", "source:s N:i position:i",

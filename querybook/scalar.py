@@ -187,7 +187,7 @@ def f18(t):
        """SELECT obs_id, CASE WSPD_QC WHEN 0 THEN 'good' WHEN 1 THEN 'medium' WHEN 2 THEN 'low' WHEN 5 THEN 'bad' ELSE 'unknown' END AS label
           FROM obs""", "obs")
 def f19(t):
-    return t.obs.select("obs_id", D.decode_flag_labels("WSPD_QC", [0, 1, 2, 5], "good medium low bad").alias("label"))
+    return t.obs.select("obs_id", D.decode_flag_labels("WSPD_QC", D.paired_labels([0, 1, 2, 5], "good medium low bad")).alias("label"))
 
 
 @query("f20_resolution_from_name", "p_partkey:i km:d",

@@ -179,7 +179,7 @@ def duck(sql: str, using: list[str], out: str) -> str:
         text = _dialect(DERIVED[name], "make_timestamp", "epoch_us")
         for t in BASE_TABLES:
             text = text.replace("{" + t + "}", t)
-        parts.append(f"{name} AS ({text})")
+        parts.append(f"{name} AS MATERIALIZED ({text})")
     body = _dialect(sql, "make_timestamp", "epoch_us").strip()
     if body.upper().startswith("WITH "):
         parts.append(body[5:].rsplit("\n--select\n", 1)[0].rstrip().rstrip(","))

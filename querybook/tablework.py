@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from querybook import query
-from swathmatch.operators import reshape
+from swathmatch.operators import reshape, stats
+from swathmatch.session import scratch_folder
 from swathmatch.sources import readers, sinks
 
 TYPES = ("click", "view", "error", "signup", "purchase")
@@ -230,6 +231,29 @@ def s11(t):
     return readers.union_segments([late, early]).groupBy("source").agg(F.count("*").alias("n"), F.avg("u10").alias("u10"))
 
 
+@query("s12_sink_pairs", "method:s val_source:s n:i wind:d",
+       """SELECT m.method, val_source, count(*) AS n, avg(val_WSPD) AS wind FROM pairs, (VALUES ('cell-averaging'), ('individual')) AS m(method)
+          GROUP BY ALL""", "pairs")
+def s12(t):
+    path = scratch_folder(t.spark)
+    for method in ("cell-averaging", "individual", "cell-averaging"):  # a method written again replaces its own part only
+        sinks.sink_pairs(t.pairs, path, method)
+    return t.spark.read.parquet(path).groupBy("method", "val_source").agg(F.count("*").alias("n"), F.avg("val_WSPD").alias("wind"))
+
+
+@query("s13_sink_statistics", "form:s source:s N:i bias:d rmse:d",
+       """WITH m AS (SELECT CASE WHEN val_source IN ('mooring', 'buoy') THEN 'buoy_family' ELSE val_source END AS source, count(*) AS N, avg(sar_owiWindSpeed - val_WSPD) AS bias, sqrt(avg(pow(sar_owiWindSpeed - val_WSPD, 2))) AS rmse
+          FROM pairs WHERE sar_owiWindSpeed IS NOT NULL AND val_WSPD IS NOT NULL GROUP BY 1)
+--select
+SELECT f.form, m.* FROM m, (VALUES ('csv'), ('parquet')) AS f(form)""", "pairs")
+def s13(t):
+    path = scratch_folder(t.spark)
+    sinks.sink_statistics(stats.linear_metrics(t.pairs, "sar_owiWindSpeed", "val_WSPD"), path)
+    parquet = t.spark.read.parquet(f"{path}.parquet").withColumn("form", F.lit("parquet"))
+    csv = t.spark.read.schema(parquet.drop("form").schema).option("header", True).csv(f"{path}.csv").withColumn("form", F.lit("csv"))
+    return parquet.unionByName(csv)
+
+
 @query("s14_prediction_json", "source_type:s json:s",
        """SELECT user_id AS source_type, '{"source_type":"' || user_id || '","verdict":"' || (CASE WHEN count(*) % 2 = 0 THEN 'collocated' ELSE 'none-predicted' END)
           || '","first":"' || strftime(min(ts), '%Y-%m-%dT%H:%M:%S') || '"}' AS json FROM events GROUP BY user_id""")

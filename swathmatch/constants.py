@@ -81,8 +81,16 @@ UNITS_FAMILY = {
     "smos_ssm": "volumetric",
     "era5_soil_moisture": "volumetric",
 }
-UNITS_PERCENT = ("%", "percent")
-UNITS_VOLUMETRIC = ("m3 m-3", "m3/m3", "cm3 cm-3", "cm3/cm3", "1")
+UNIT_FAMILIES = {
+    "": "unknown",
+    "%": "percent_saturation",
+    "percent": "percent_saturation",
+    "m3 m-3": "volumetric",
+    "m3/m3": "volumetric",
+    "cm3 cm-3": "volumetric",
+    "cm3/cm3": "volumetric",
+    "1": "volumetric",
+}
 LAYER_DATA_TYPES = (
     "scatterometer", "altimeter", "hf_radar", "hf_radar_grid", "radiometer",
     "scatterometer_ssm", "radiometer_ssm", "cds_ssm",
@@ -103,6 +111,36 @@ SOIL_CATEGORY = {
     "scatterometer_ssm": "Scatterometer",
     "radiometer_ssm": "Radiometer",
 }
+# the data type a step of a node's path stands for, in the order they are tried
+PATH_DATA_TYPES = {
+    "scatterometer": "scatterometer",
+    "osi_saf_winds": "scatterometer",
+    "winds": "scatterometer",
+    "altimeter": "altimeter",
+    "radiometer": "radiometer",
+    "hf_radar": "hf_radar",
+    "hfr_noaa": "hf_radar_grid",
+    "hf_radar_grid": "hf_radar_grid",
+    "amsr_ssm": "amsr_ssm",
+    "smap_ssm": "smap_ssm",
+    "smos_ssm": "smos_ssm",
+}
+DEFAULT_FREQUENCY = "1hz"
+# data type, step of the path (if any), key of the layer table
+LAYER_RULES = (
+    ("scatterometer", "scatterometer_hy2b", "scatterometer_hy2b"),
+    ("scatterometer", "scatterometer_hy2c", "scatterometer_hy2c"),
+    ("scatterometer", "scatterometer_oceansat3", "scatterometer_oceansat3"),
+    ("altimeter", None, "altimeter_{frequency}"),
+    ("radiometer", None, "radiometer_{sensor}"),
+    ("radiometer_ssm", None, "{sensor}_ssm"),
+)
+# relays and the sources whose stations they pass on; a waterfall with its relay
+RELAYS = {
+    "buoy_gts": ("mooring", "buoy_cmems"),
+    "ship_gts": ("ship_cmems_family",),
+}
+WATERFALL_PAIR = {"buoy_gts", "buoy_waterfall"}
 HISTORICAL_FIRST_PAIRS = {"hf_radar": "hf_radar_historical", "drifter": "drifter_historical"}
 TOLERANCE_ALIASES = {"ascat_ssm": "scatterometer_ssm"}
 

@@ -90,26 +90,31 @@ def acquisition_time(attribute, name, prefer_name: bool = False) -> Column:
     return F.coalesce(from_name, from_attr) if prefer_name else F.coalesce(from_attr, from_name)
 
 
+# date, then perhaps a time with or without colons, fractions and a zone
+_DATETIME = r"^\s*(\d{4}-\d{2}-\d{2})(?:[T ](\d{2}):?(\d{2})(?::?(\d{2})(?:\.\d*)?)?\s*(?:Z+|[+-]\d{2}:?\d{2})?)?\s*$"
+
+
 def normalize_datetime(text) -> Column:
-    """six accepted spellings to ``YYYY-MM-DDTHH:MM:SS``."""
-    t = F.trim(as_col(text))
-    t = F.when(F.length(t) > 10, F.regexp_replace(t, r"[+-]\d{2}:?\d{2}$", "")).otherwise(t)
-    t = F.split_part(F.regexp_replace(t, "Z+$", ""), F.lit("."), F.lit(1))
-    t = F.translate(t, " ", "T")
-    t = F.regexp_replace(t, r"^([^T]*)T(\d{2})(\d{2})(\d{2})$", "$1T$2:$3:$4")
-    return F.when((F.length(t) == 10) & ~t.contains("T"), F.concat(t, F.lit("T00:00:00"))).otherwise(t)
+    """six accepted spellings to ``YYYY-MM-DDTHH:MM:SS``; others stay as they are.
 
+    A missing time is midnight, missing seconds are none."""
+    t = as_col(text)
+    date, hour, minute, second = (F.regexp_extract(t, _DATETIME, i) for i in range(1, 5))
+    clock = F.concat_ws(":", *[F.when(part == "", "00").otherwise(part) for part in (hour, minute, second)])
+    return F.when(t.rlike(_DATETIME), F.concat(date, F.lit("T"), clock)).otherwise(F.trim(t))
 
-def decode_flag_labels(flag, values: Sequence[int] | None, meanings: str | None) -> Column | None:
-    """integer flag to label; values without a label are ``unknown``.
 
-    ``None`` when the metadata does not pair up, so nothing can be decoded.
-    """
-    names = meanings.split() if meanings else []
-    if not names or values is None or len(names) != len(values):
+def paired_labels(values: Sequence[int] | None, meanings: str | None) -> dict[int, str] | None:
+    """Labels by flag value, or ``None`` when the metadata does not pair up."""
+    names = (meanings or "").split()
+    if values is None or not names or len(values) != len(names):
         return None
-    pairs = [F.lit(x) for pair in zip((int(v) for v in values), names) for x in pair]
-    table = F.create_map(*pairs)
+    return dict(zip(map(int, values), names, strict=True))
+
+
+def decode_flag_labels(flag, labels: Mapping[int, str]) -> Column:
+    """integer flag to label; values without a label are ``unknown``."""
+    table = F.create_map(*[F.lit(x) for pair in labels.items() for x in pair])
     return F.coalesce(F.try_element_at(table, as_col(flag).cast("int")), F.lit("unknown"))
 
 

@@ -139,7 +139,7 @@ def dedupe_scene_seam(east: DataFrame, west: DataFrame, keys: Sequence[str] = ("
 def drop_nondirectional(pairs: DataFrame, val: str) -> DataFrame:
     """Q21: sources which never carry *val*."""
     useful = pairs.groupBy("val_source").agg(F.count(val).alias("_n")).filter(F.col("_n") > 0).select("val_source")
-    return salted_join(pairs, useful, ["val_source"])
+    return salted_join(pairs, useful, ["val_source"], salts=None)
 
 
 def scene_filter(pairs: DataFrame, scene: str) -> DataFrame:

@@ -77,42 +77,36 @@ def run_numbers(df: DataFrame, by: Sequence[str], order: Sequence[str], starts:
 
 
 def next_valid(df: DataFrame, by: Sequence[str], axis: str, tie: str, cols: Sequence[str],
-               tolerance: int, pieces: int = 16) -> DataFrame:
+               tolerance: int, pieces: int = 16, platform: str | None = "platform_id") -> DataFrame:
     """Fill NULLs of *cols* from the next later valid reading.
 
     Strictly later on *axis* (BIGINT), the first valid one only, no further than
-    *tolerance* away.  *by* must name the platform; rows whose platform is NULL
-    stay as they are and take no part.
+    *tolerance* away.  With a *platform* column only readings of the same platform
+    count, and rows whose platform is NULL stay as they are; without one (``None``)
+    the whole group does.  Readings of one time are reduced to one first.
     """
-    by = list(by)
+    by = [*by, *([platform] if platform and platform not in by else [])]
     width = max(1, tolerance // pieces)
     rows = df.withColumn("_chunk", F.floor(F.col(axis) / F.lit(width)).cast("bigint"))
-    known = rows.filter(F.col(by[-1]).isNotNull())
-    # walking back in time keeps the frame a growing one, linear in the rows
-    inside = (
-        Window.partitionBy(*by, "_chunk").orderBy(F.desc(axis))
-        .rangeBetween(Window.unboundedPreceding, -1)
-    )
+    known = rows.filter(F.col(platform).isNotNull()) if platform else rows
 
     def reading(c: str) -> Column:
         # equal times: the row with the smallest tie column speaks
         return F.when(F.col(c).isNotNull(), F.struct(F.col(axis), F.col(tie), F.col(c).alias("v")))
 
-    firsts = known.groupBy(*by, "_chunk").agg(*[F.min(reading(c)).alias(f"_f_{c}") for c in cols])
-    later = (
-        Window.partitionBy(*by).orderBy(F.desc("_chunk"))
-        .rowsBetween(Window.unboundedPreceding, -1)
-    )
-    firsts = firsts.select(
-        *by, "_chunk",
-        *[F.last(f"_f_{c}", ignorenulls=True).over(later).alias(f"_l_{c}") for c in cols],
-    )
+    # one row for each time, however many readings it has
+    times = known.groupBy(*by, "_chunk", axis).agg(*[F.min(reading(c)).alias(f"_r_{c}") for c in cols])
+    firsts = times.groupBy(*by, "_chunk").agg(*[F.min(f"_r_{c}").alias(f"_f_{c}") for c in cols])
+    later = Window.partitionBy(*by).orderBy(F.desc("_chunk")).rowsBetween(Window.unboundedPreceding, -1)
+    firsts = firsts.select(*by, "_chunk", *[F.last(f"_f_{c}", ignorenulls=True).over(later).alias(f"_l_{c}") for c in cols])
+    inside = Window.partitionBy(*by, "_chunk").orderBy(F.desc(axis)).rowsBetween(Window.unboundedPreceding, -1)
     for c in cols:
-        known = known.withColumn(f"_n_{c}", F.min(reading(c)).over(inside))
-    filled = known.join(firsts, [*by, "_chunk"])
+        times = times.withColumn(f"_n_{c}", F.min(f"_r_{c}").over(inside))
+    nexts = times.join(firsts, [*by, "_chunk"]).select(
+        *by, axis, *[F.coalesce(f"_n_{c}", f"_l_{c}").alias(f"_n_{c}") for c in cols])
+    # a row without a platform meets no time and keeps what it has
+    filled = rows.drop("_chunk").join(nexts, [*by, axis], "left")
     for c in cols:
-        nxt = F.coalesce(f"_n_{c}", f"_l_{c}")
-        close = nxt[axis] - F.col(axis) <= F.lit(tolerance)
-        filled = filled.withColumn(c, F.coalesce(F.col(c), F.when(close, nxt["v"])))
-    unknown = rows.filter(F.col(by[-1]).isNull())
-    return filled.select(*df.columns).unionByName(unknown.select(*df.columns))
+        nxt = F.col(f"_n_{c}")
+        filled = filled.withColumn(c, F.coalesce(F.col(c), F.when(nxt[axis] - F.col(axis) <= F.lit(tolerance), nxt["v"])))
+    return filled.select(*df.columns)

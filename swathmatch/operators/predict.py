@@ -54,15 +54,19 @@ def polygon_frame(shapes: DataFrame, polygon: str = "polygon") -> DataFrame:
 def point_in_polygon_join(points: DataFrame, shapes: DataFrame, polygon: str = "polygon") -> DataFrame:
     """Points inside polygons, by shared tile and then the exact rule.
 
-    Shapes with fewer than three vertices cannot be judged; they match every
-    point and are the caller's to leave out (``filter(size(polygon) >= 3)``).
+    A shape with fewer than three vertices cannot be judged and matches every
+    point; a shape without a polygon matches none.
     """
     real = shapes.filter(F.size(polygon) >= 3)
+    vague = shapes.filter(F.size(polygon).between(0, 2))
     at = points.withColumns({"_tx": _tile(F.col("lon")), "_ty": _tile(F.col("lat"))})
     # the frame of the ring first: it costs two comparisons
     framed = F.col("lat").between(F.col("_s"), F.col("_n")) & F.col("lon").between(F.col("_w"), F.col("_e"))
-    return salted_join(at, polygon_frame(real, polygon), ["_tx", "_ty"]).filter(framed).filter(
+    inside = salted_join(at, polygon_frame(real, polygon), ["_tx", "_ty"]).filter(framed).filter(
         point_in_polygon("lat", "lon", polygon)).drop("_tx", "_ty", "_s", "_n", "_w", "_e")
+    # all points for each of these shapes is the answer, not a step on the way
+    everywhere = salted_join(points.withColumn("_all", F.lit(0)), vague.withColumn("_all", F.lit(0)), ["_all"], salts=None).drop("_all")
+    return inside.unionByName(everywhere)
 
 
 def box_overlap_join(left: DataFrame, right: DataFrame, times: bool = False) -> DataFrame:
@@ -83,6 +87,7 @@ def box_overlap_join(left: DataFrame, right: DataFrame, times: bool = False) ->
         & (F.col("max_lat") >= F.col("r_min_lat")) & (F.col("min_lat") <= F.col("r_max_lat"))
     )
     if times:
+        lhs, rhs = _closed(lhs, rhs)
         lhs, rhs = _with_days(lhs, "start", "end"), _with_days(rhs, "r_start", "r_end")
         keys.append("_day")
         home = home & (F.col("_day") == _day(F.greatest("start", "r_start")))
@@ -104,13 +109,29 @@ def _with_days(df: DataFrame, lo: str, hi: str, slot: int = DAY) -> DataFrame:
     return forward.withColumn("_day", F.explode(F.sequence(_day(F.col(lo), slot), _day(F.col(hi), slot))))
 
 
+def _closed(left: DataFrame, right: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Both sides with the open (NULL) ends of their windows moved out to the first
+    start and the last end there is, so far that they cut nothing off."""
+    ends = left.select(F.col("start").alias("s"), F.col("end").alias("e")).unionByName(
+        right.select(F.col("r_start").alias("s"), F.col("r_end").alias("e")))
+    limits = ends.agg(F.min(F.least("s", "e")).alias("_first"), F.max(F.greatest("s", "e")).alias("_last"))
+
+    def close(df: DataFrame, lo: str, hi: str) -> DataFrame:
+        return attach_single(df, limits).withColumns({
+            lo: F.coalesce(lo, "_first"), hi: F.coalesce(hi, "_last")}).drop("_first", "_last")
+
+    return close(left, "start", "end"), close(right, "r_start", "r_end")
+
+
 def interval_overlap_join(left: DataFrame, right: DataFrame, by: Sequence[str] = (),
                           slot: int = DAY) -> DataFrame:
     """Windows that overlap; each pair counts in its first common time slot.
 
-    *slot* should be near the length of the longer windows: a window costs one
-    row per slot it touches.
+    A NULL start or end is open: it meets whatever there is on that side.  A window
+    that ends before it starts meets nothing.  *slot* should be near the length of
+    the longer windows: a window costs one row per slot it touches.
     """
+    left, right = _closed(left, right)
     lhs, rhs = _with_days(left, "start", "end", slot), _with_days(right, "r_start", "r_end", slot)
     return lhs.join(rhs, [*by, "_day"]).filter(
         windows_overlap("start", "end", "r_start", "r_end")
@@ -362,7 +383,8 @@ def matched_unmatched(obs: DataFrame, pairs: DataFrame, windows: DataFrame) -> D
     *obs*: ``obs_id, lon, lat, time, platform_type, tolerance_us``; *windows*:
     ``start, end`` of every scene.  Matched means its position, rounded to six
     decimals, is among the matched ones of its category.  Unmatched ones count
-    only where some scene was within their tolerance; an unknown time is eligible.
+    only where some scene was within their tolerance; an unknown time is eligible,
+    and every time is where no scene has one.
     """
     def place(lon: str, lat: str) -> list[Column]:
         return [F.round(lon, 6).alias("_lon"), F.round(lat, 6).alias("_lat")]
@@ -372,21 +394,31 @@ def matched_unmatched(obs: DataFrame, pairs: DataFrame, windows: DataFrame) -> D
     keys = ["category", "_lon", "_lat"]
     matched = rows.join(done, keys, "left_semi").withColumn("matched", F.lit(True))
     rest = rows.join(done, keys, "left_anti").withColumn("t_us", micros("time"))
-    spans = merged_windows(windows)
-    timed = rest.filter(F.col("t_us").isNotNull()).withColumns({
-        "start": F.timestamp_micros(F.col("t_us") - F.col("tolerance_us")),
-        "end": F.timestamp_micros(F.col("t_us") + F.col("tolerance_us"))})
-    # the merged spans do not overlap, so few of them can meet one reading
-    hit = interval_overlap_join(timed, spans).select("obs_id").distinct()
-    eligible = timed.join(hit, "obs_id", "left_semi").drop("start", "end").unionByName(
-        rest.filter(F.col("t_us").isNull()))
+    known = windows.filter(F.col("start").isNotNull() & F.col("end").isNotNull())
+    rest = attach_single(rest, known.agg((F.count("*") > 0).alias("_timed")))
+    timed = rest.filter(F.col("t_us").isNotNull() & F.col("_timed"))
+    # the merged spans of a day do not overlap: few of them can meet one reading
+    from_us, to_us = F.col("t_us") - F.col("tolerance_us"), F.col("t_us") + F.col("tolerance_us")
+    days = timed.select("obs_id", from_us.alias("from_us"), to_us.alias("to_us"), F.explode(F.sequence(
+        F.floor(from_us / F.lit(DAY)), F.floor(to_us / F.lit(DAY)))).alias("_day"))
+    meets = salted_join(days, merged_windows(known), ["_day"]).filter(
+        (F.col("from_us") <= F.col("w_to")) & (F.col("to_us") >= F.col("w_from")))
+    eligible = timed.join(meets.select("obs_id").distinct(), "obs_id", "left_semi").unionByName(
+        rest.filter(F.col("t_us").isNull() | ~F.col("_timed")))
     cols = ["obs_id", "category", "lon", "lat", "platform_type", "matched"]
     return matched.select(*cols).unionByName(eligible.withColumn("matched", F.lit(False)).select(*cols))
 
 
-def merged_windows(windows: DataFrame) -> DataFrame:
-    """Scene windows as distinct (start, end) spans with prefix ``r_``."""
-    return windows.select(F.col("start").alias("r_start"), F.col("end").alias("r_end")).distinct()
+def merged_windows(windows: DataFrame, slot: int = DAY) -> DataFrame:
+    """Windows cut into days and merged inside each: ``_day, w_from, w_to`` (microseconds),
+    no two of a day overlapping.  A day at a time, so no task sees all windows."""
+    cut = windows.select(micros("start").alias("s"), micros("end").alias("e")).filter("s <= e").distinct().select(
+        "s", "e", F.explode(F.sequence(F.floor(F.col("s") / F.lit(slot)), F.floor(F.col("e") / F.lit(slot)))).alias("_day"))
+    cut = cut.select("_day", F.greatest(F.col("s"), F.col("_day") * slot).alias("s"), F.least(F.col("e"), (F.col("_day") + 1) * slot - 1).alias("e"))
+    order = Window.partitionBy("_day").orderBy("s", "e")
+    fresh = F.coalesce(F.col("s") > F.max("e").over(order.rowsBetween(Window.unboundedPreceding, -1)), F.lit(True))
+    runs = cut.withColumn("_new", fresh.cast("int")).withColumn("_run", F.sum("_new").over(order))
+    return runs.groupBy("_day", "_run").agg(F.min("s").alias("w_from"), F.max("e").alias("w_to")).drop("_run")
 
 
 # --- A17, A19-A25 ------------------------------------------------------------------------

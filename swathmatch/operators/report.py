@@ -12,7 +12,7 @@ from swathmatch.functions.geo import circular_diff_deg
 from swathmatch.operators import stats
 from swathmatch.operators.predict import category
 from swathmatch.operators.quantiles import exact_quantiles
-from swathmatch.operators.skew import salted_join
+from swathmatch.operators.skew import attach_single, salted_join
 
 OBSERVATION = ("val_source", "val_id", "val_time", "val_lat", "val_lon")
 
@@ -25,14 +25,17 @@ def residual(sar: str, val: str) -> Column:
 
 
 def dedupe_observations(pairs: DataFrame, sar: str, val: str, others: Sequence[str] = ()) -> DataFrame:
-    """One row per observation: scene values averaged, the rest as it is.
+    """One row per observation: scene values averaged, the rest from its first row.
 
-    Missing parts of the identity are equal to each other.
+    Missing parts of the identity are equal to each other.  First is the row with
+    the least observed value, then the least of *others* in their order, so all
+    columns come from one row.
     """
     ids = [c for c in OBSERVATION if c in pairs.columns]
-    return pairs.filter(F.col(sar).isNotNull() & F.col(val).isNotNull()).groupBy(*ids).agg(
-        F.avg(sar).alias(sar), F.min(val).alias(val), F.count("*").alias("n_pixels"),
-        *[F.min(c).alias(c) for c in others])
+    rest = [val, *[c for c in others if c != val]]
+    rows = pairs.filter(F.col(sar).isNotNull() & F.col(val).isNotNull()).groupBy(*ids).agg(
+        F.avg(sar).alias(sar), F.count("*").alias("n_pixels"), F.min(F.struct(*rest)).alias("_first"))
+    return rows.select(*ids, sar, F.col(f"_first.{val}").alias(val), "n_pixels", *[F.col(f"_first.{c}").alias(c) for c in rest[1:]])
 
 
 def scatter_annotations(pairs: DataFrame, sar: str, val: str) -> DataFrame:
@@ -83,8 +86,7 @@ def residual_histogram(pairs: DataFrame, sar: str, val: str, mode: str = "shared
     """
     rows = pairs.filter(F.col(sar).isNotNull() & F.col(val).isNotNull()).select(
         "val_source", residual(sar, val).alias("r"))
-    by = ["val_source"] if mode == "source" else ["_k"]
-    rows = rows.withColumn("_k", F.lit(0))
+    by = ["val_source"] if mode == "source" else []
     if fixed is not None:
         rows = rows.withColumns({"lo": F.lit(float(fixed[0])), "hi": F.lit(float(fixed[1]))})
     else:
@@ -92,7 +94,7 @@ def residual_histogram(pairs: DataFrame, sar: str, val: str, mode: str = "shared
         flat = F.col("_a") == F.col("_b")
         spans = spans.select(*by, F.when(flat, F.col("_a") - 0.5).otherwise(F.col("_a")).alias("lo"),
                              F.when(flat, F.col("_b") + 0.5).otherwise(F.col("_b")).alias("hi"))
-        rows = salted_join(rows, spans, by)
+        rows = salted_join(rows, spans, by, salts=None) if by else attach_single(rows, spans)
     width = (F.col("hi") - F.col("lo")) / bins
     hits = rows.filter(F.col("r").between(F.col("lo"), F.col("hi"))).withColumn(
         "bin", F.least(F.floor((F.col("r") - F.col("lo")) / width), F.lit(bins - 1)).cast("int"))
@@ -141,7 +143,7 @@ def difference_grid(pairs: DataFrame, sar: str, val: str) -> tuple[DataFrame, Da
     )
     at = salted_join(rows.select("val_source", "sar_lon", "sar_lat", "diff"),
                      scales.filter("cell_km > 0").select("val_source", "wraps", "lat0", "lon0", "dlat", "dlon"),
-                     ["val_source"])
+                     ["val_source"], salts=None)
     lon = F.when(F.col("wraps"), shifted).otherwise(F.col("sar_lon"))
     grid = at.select(
         "val_source",
@@ -221,7 +223,7 @@ def report_sections(pairs: DataFrame, sar: str, val: str, sar_units: str) -> dic
 
 # --- W4, W5 ------------------------------------------------------------------------------
 
-def seeded_sample(df: DataFrame, key: str, n: int = 1000, seed: int = 0) -> DataFrame:
+def seeded_sample(df: DataFrame, key: str, n: int, seed: int = 0) -> DataFrame:
     """At most *n* points, always the same ones for a seed.
 
     Ordered by a hash and cut: a distributed top-n, no global sort.
@@ -230,19 +232,11 @@ def seeded_sample(df: DataFrame, key: str, n: int = 1000, seed: int = 0) -> Data
     return df.orderBy(lot, key).limit(n)
 
 
-def stride_decimate(cells: DataFrame, max_dim: int) -> DataFrame:
-    """Every k-th row and column, k from the larger side of each scene."""
-    sizes = cells.groupBy("scene").agg(
-        F.greatest(F.lit(1), F.ceil(F.greatest(F.max("y") + 1, F.max("x") + 1) / max_dim)).cast("int").alias("_k"))
-    return salted_join(cells, sizes, ["scene"]).filter(
-        (F.col("y") % F.col("_k") == 0) & (F.col("x") % F.col("_k") == 0)).drop("_k")
+def stride_decimate(cells: DataFrame, stride: int) -> DataFrame:
+    """Every *stride*-th row and column, whatever the size of a scene."""
+    return cells.filter((F.col("y") % stride == 0) & (F.col("x") % stride == 0))
 
 
 def ordered(df: DataFrame, *cols: str) -> DataFrame:
     """Sorted output, at the sink only."""
     return df.orderBy(*cols)
-
-
-def coverage_by_category(pairs: DataFrame) -> DataFrame:
-    """T9, matched side only."""
-    return pairs.groupBy(category("val_source").alias("category")).count()

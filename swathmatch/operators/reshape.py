@@ -52,7 +52,7 @@ def union_sources(parts: Sequence[DataFrame]) -> DataFrame:
 
 def merge_sibling_nodes(obs: DataFrame, source_of_node: DataFrame) -> DataFrame:
     """Files of one source become one, so overpasses are averaged together."""
-    return salted_join(obs, source_of_node.select("source_node", "source_type"), ["source_node"]).drop(
+    return salted_join(obs, source_of_node.select("source_node", "source_type"), ["source_node"], salts=None).drop(
         "source_node").withColumnRenamed("source_type", "source_node")
 
 
@@ -100,7 +100,7 @@ def units_pooling(pairs: DataFrame, units: DataFrame) -> DataFrame:
     one = known.agg(
         F.min("units").alias("_units"), F.min_by("long_name", "val_source").alias("_name"),
         (F.count_distinct("units") > 1).alias("mixed"))
-    rows = salted_join(pairs, known.select("val_source", "units", "long_name"), ["val_source"], "left")
+    rows = salted_join(pairs, known.select("val_source", "units", "long_name"), ["val_source"], "left", salts=None)
     rows = attach_single(rows, one)
     mixed = F.coalesce("mixed", F.lit(False))
     return rows.withColumns({

@@ -16,16 +16,22 @@ LANES = 4
 
 
 def salted_join(big: DataFrame, small: DataFrame, keys: Sequence[str],
-                how: str = "inner", salts: int = LANES) -> DataFrame:
+                how: str = "inner", salts: int | None = LANES) -> DataFrame:
     """Join where a key may hold a large share of *big*.
 
     Each row of *big* draws one of *salts* lanes and *small* is repeated in all
     of them, so a key holding a third of *big* spreads over *salts* tasks and
-    every pair of rows still meets exactly once.  Spark broadcasts *small* by
+    every pair of rows still meets exactly once.  With ``None`` there are as many
+    lanes as shuffle partitions: for a *small* of a few rows, whose few keys would
+    otherwise be all the tasks there are.  The lane depends on the row and on the
+    partition it comes from, so equal rows spread too.  Spark broadcasts *small* by
     itself where its measured size allows.
     """
+    if salts is None:
+        salts = int(big.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     lanes = F.explode(F.sequence(F.lit(0), F.lit(salts - 1)))
-    lhs = big.withColumn("_lane", F.pmod(F.xxhash64(*big.columns), F.lit(salts)).cast("int"))
+    lane = F.pmod(F.xxhash64(*big.columns, F.spark_partition_id()), F.lit(salts))
+    lhs = big.withColumn("_lane", lane.cast("int"))
     rhs = small.withColumn("_lane", lanes)
     return lhs.join(rhs, [*keys, "_lane"], how).drop("_lane")
 

@@ -199,7 +199,9 @@ def radius_join(cells: DataFrame, obs: DataFrame, sar_vars: Sequence[str], val_v
     place = ["scene", "a_lon", "a_lat"]
     places = obs_c.select("scene", F.col("lon").alias("a_lon"), F.col("lat").alias("a_lat")).distinct()
     around = cells_around(places, cells, sar_vars, spec)
-    obs_c = next_valid(obs_c, ["scene", "platform_id"], "obs_us", "obs_id", val_vars, spec.tolerance_us)
+    # a source without platforms is filled as a whole, and its matches have no val_id
+    platform = "platform_id" if "platform_id" in obs.columns else None
+    obs_c = next_valid(obs_c, ["scene"], "obs_us", "obs_id", val_vars, spec.tolerance_us, platform=platform)
     hits = salted_join(obs_c.withColumnsRenamed({"lon": "a_lon", "lat": "a_lat"}), around, place)
     measured = measurements(sar_vars)
     hits = hits.filter(_any_present([f"sar_{v}" for v in measured]) & _any_present(val_vars))
@@ -222,7 +224,7 @@ def radius_join(cells: DataFrame, obs: DataFrame, sar_vars: Sequence[str], val_v
         F.col("near_y").alias("sar_y_idx"), F.col("near_x").alias("sar_x_idx"),
         F.col("scene").alias("sar_scene_name"),
         F.col("scene_time").alias("time"), F.col("time").alias("val_time"),
-        F.col("platform_id").alias("val_id"), "obs_id", "obs_us", "scene_us",
+        (F.col(platform) if platform else F.lit(None).cast("string")).alias("val_id"), "obs_id", "obs_us", "scene_us",
         *[F.col(f"sar_{v}") for v in sar_vars], *[c.alias(f"val_{v}") for v, c in val.items()],
     )
     if spec.dedup_nearest_in_time:

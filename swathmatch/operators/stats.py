@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from swathmatch import constants as K
 from swathmatch.functions.geo import circular_diff_deg
 from swathmatch.operators.quantiles import exact_quantiles
-from swathmatch.operators.skew import salted_join
+from swathmatch.operators.skew import attach_single, salted_join
 
 
 def group_key(by: Sequence[str]) -> Column:
@@ -138,7 +138,7 @@ def cdf_fit(pairs: DataFrame, sar: str, val: str, by: Sequence[str]) -> DataFram
     bins = F.greatest(F.lit(K.CDF_MIN_BINS),
                       F.least(F.lit(K.CDF_MAX_BINS), F.floor(F.col("_n") / K.CDF_ROWS_PER_BIN).cast("int")))
     probs = n.select(*by, F.transform(F.sequence(F.lit(0), bins), lambda i: i / bins).alias("_p"))
-    q = exact_quantiles(salted_join(sides, probs, by), [*by, "side"], "x", "_p")
+    q = exact_quantiles(salted_join(sides, probs, by, salts=None), [*by, "side"], "x", "_p")
     both = q.groupBy(*by).agg(
         F.max(F.when(F.col("side") == "s", F.col("n"))).alias("n"),
         F.min_by("q", F.when(F.col("side") == "s", 0)).alias("qs"),
@@ -160,18 +160,15 @@ def cdf_apply(x: Column, knots: Column) -> Column:
 
 def with_knots(pairs: DataFrame, knots: DataFrame, by: Sequence[str]) -> DataFrame:
     """Rows with the map of their group, NULL where the group has none."""
-    return salted_join(pairs, knots, by, how="left")
+    return salted_join(pairs, knots, by, how="left", salts=None)
 
 
 # --- A9-A13: soil moisture -----------------------------------------------------------
 
-def units_family(units: str) -> str:
-    u = (units or "").strip().lower()
-    if u in K.UNITS_PERCENT:
-        return "percent_saturation"
-    if u in K.UNITS_VOLUMETRIC:
-        return "volumetric"
-    return u or "unknown"
+def units_family(units: str | None) -> str:
+    """Family of a units text; units of no family are their own."""
+    text = str(units or "").strip().lower()
+    return K.UNIT_FAMILIES.get(text, text)
 
 
 def to_convert(sar_units: str, reference: str = "ismn") -> list[str]:
@@ -192,8 +189,9 @@ def harmonize(pairs: DataFrame, sar: str, val: str, sar_units: str, reference: s
     names = to_convert(sar_units, reference)
     if not names:
         return pairs.withColumn("harmonized", F.lit(None).cast("boolean"))
-    fit = cdf_fit(pairs.filter(F.col("val_source") == reference).withColumn("_g", F.lit(0)), sar, val, ["_g"])
-    rows = with_knots(pairs.withColumn("_g", F.lit(0)), fit, ["_g"]).drop("_g")
+    fit = cdf_fit(pairs.filter(F.col("val_source") == reference), sar, val, ["val_source"])
+    # one group, so one map or none: the aggregation makes it one row
+    rows = attach_single(pairs, fit.agg(F.first("knots").alias("knots")))
     due = F.col("val_source").isin(*names)
     usable = F.col(sar).isNotNull() & F.col(val).isNotNull() & F.col("knots").isNotNull()
 

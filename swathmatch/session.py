@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -50,12 +52,27 @@ def build_session(app: str = "swathmatch", cores: str = "*", memory: str = "8g",
 def durable(df: DataFrame) -> DataFrame:
     """Cut the lineage of *df* with a reliable checkpoint.
 
-    The directory is the one the cluster names in ``spark.checkpoint.dir``;
-    only where that is unset (tests, a laptop) a fresh local one is made.
+    The folder is the one the cluster names in ``spark.checkpoint.dir`` (or that
+    the session has been given).  Without one this is an error: a folder that
+    executors do not share would lose the checkpoint.
     """
     spark = df.sparkSession
     sc = spark.sparkContext
     if sc.getCheckpointDir() is None:
         folder = spark.conf.get("spark.checkpoint.dir", None)
-        sc.setCheckpointDir(folder or tempfile.mkdtemp(prefix="swathmatch-ckpt-"))
+        if not folder:
+            raise ValueError("name a folder that all executors share in spark.checkpoint.dir")
+        sc.setCheckpointDir(folder)
     return df.checkpoint(eager=True)
+
+
+def scratch_folder(spark: SparkSession) -> str:
+    """A new path for files which driver and executors share.
+
+    Below ``spark.checkpoint.dir``; a session on one machine may do without it."""
+    folder = spark.conf.get("spark.checkpoint.dir", None)
+    if not folder:
+        if not re.fullmatch(r"local(\[[^]]*\])?", spark.sparkContext.master):
+            raise ValueError("name a folder that all executors share in spark.checkpoint.dir")
+        folder = tempfile.mkdtemp(prefix="swathmatch-")
+    return f"{folder.rstrip('/')}/{uuid.uuid4().hex}"

@@ -9,7 +9,8 @@ from swathmatch import build_session  # noqa: E402
 
 
 @pytest.fixture(scope="session")
-def spark():
+def spark(tmp_path_factory):
     session = build_session("tests", "4", "4g", shuffle_partitions=4)
+    session.sparkContext.setCheckpointDir(str(tmp_path_factory.mktemp("checkpoints")))
     yield session
     session.stop()

@@ -118,7 +118,7 @@ def test_cleaning_rules(spark):
     assert [r.VHM0 for r in out] == [1.0, None, None, None] and [r.VHM0_QC for r in out] == [1, None, 1, None]
     assert [r.VAVH for r in clean.precedence_null_out(df).collect()] == [None, None, 2.0, None]
     assert D.reject_bits([1, 2, 4], "a some_portion_of_wvc_is_over_land distance_to_gmf_too_large") == 6
-    assert D.decode_flag_labels("x", [0, 1], "only_one") is None
+    assert D.paired_labels([0, 1], "only_one") is None and D.paired_labels([0, 2], "a b") == {0: "a", 2: "b"}
     with pytest.raises(ValueError, match="required column"):
         readers.canonical_obs(df)
 
