@@ -4,12 +4,33 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from swathmatch.operators.skew import salted_join
+from swathmatch.operators.skew import attach_single, salted_join
 
-BINS = 4096
+BINS = 16_384
+
+
+def _stretched(v: Column) -> Column:
+    """A scale on which values of every magnitude have room: one fill value of 1e36
+    does not push all others into one bin.  Never falls where the value rises."""
+    return F.signum(v) * F.log1p(F.abs(v))
+
+
+def value_bins(df: DataFrame, by: Sequence[str], value: str, bins: int = BINS) -> tuple[DataFrame, DataFrame]:
+    """``(by, _bin, _v, _c)``: distinct values of each group with their counts and bin;
+    ``(by, n, _lo, _hi)``: the groups.  Bins rise with the value."""
+    by = list(by)
+    # equal values become one row before anything is joined
+    counted = df.filter(F.col(value).isNotNull()).groupBy(*by, F.col(value).cast("double").alias("_v")).agg(F.count("*").alias("_c"))
+    groups = counted.groupBy(*by).agg(F.sum("_c").alias("n"), F.min("_v").alias("_lo"), F.max("_v").alias("_hi"))
+    ends = groups.select(*by, "_lo", "_hi")
+    known = salted_join(counted, ends, by, salts=None) if by else attach_single(counted, ends)
+    width = (_stretched(F.col("_hi")) - _stretched(F.col("_lo"))) / bins
+    place = F.floor((_stretched(F.col("_v")) - _stretched(F.col("_lo"))) / F.nullif(width, F.lit(0.0)))
+    binned = known.withColumn("_bin", F.coalesce(F.least(place, F.lit(bins - 1)), F.lit(0)).cast("int")).drop("_lo", "_hi")
+    return binned, groups
 
 
 def exact_quantiles(df: DataFrame, by: Sequence[str], value: str, probs, bins: int = BINS) -> DataFrame:
@@ -19,28 +40,20 @@ def exact_quantiles(df: DataFrame, by: Sequence[str], value: str, probs, bins: i
     which is constant within a group.  Also returns ``n``, the rows used.
 
     Spark's own exact percentile gathers all distinct values of a group in one
-    task.  Here a group is cut into *bins* of equal width; counting them tells
-    in which bin each wanted rank lies, and only the values of those few bins
-    are counted and ordered, one bin per task.
+    task.  Here a group is cut into *bins* (see ``value_bins``); counting them tells
+    in which bin each wanted rank lies, and only the values of those few bins are
+    ordered, one bin per task.
     """
     by = list(by)
     if not by:
         everything = df.withColumn("_all", F.lit(0))
         return exact_quantiles(everything, ["_all"], value, probs, bins).drop("_all")
     wanted = probs if isinstance(probs, str) else None
-    extra = [wanted] if wanted else []
-    rows = df.filter(F.col(value).isNotNull()).select(*by, *extra, F.col(value).cast("double").alias("_v"))
-    stats = rows.groupBy(*by).agg(
-        F.count("_v").alias("n"), F.min("_v").alias("_lo"), F.max("_v").alias("_hi"),
-        *([F.first(wanted).alias("_probs")] if wanted else []),
-    )
-    if not wanted:
+    binned, stats = value_bins(df, by, value, bins)
+    if wanted:
+        stats = stats.join(df.filter(F.col(value).isNotNull()).groupBy(*by).agg(F.first(wanted).alias("_probs")), by)
+    else:
         stats = stats.withColumn("_probs", F.array(*[F.lit(float(p)) for p in probs]))
-    width = (F.col("_hi") - F.col("_lo")) / bins
-    bin_of = F.when(F.col("_hi") > F.col("_lo"),
-                    F.least(F.floor((F.col("_v") - F.col("_lo")) / F.nullif(width, F.lit(0.0))), F.lit(bins - 1))).otherwise(F.lit(0))
-    binned = salted_join(rows, stats.select(*by, "_lo", "_hi"), by).withColumn("_bin", bin_of.cast("int"))
-    binned = binned.groupBy(*by, "_bin", "_v").agg(F.count("*").alias("_c"))
 
     # ranks below and above each quantile
     ranks = stats.select(

@@ -4,6 +4,7 @@ import datetime as dt
 import math
 import random
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -255,3 +256,24 @@ def test_neighbours_and_runs_do_not_depend_on_the_chunk(spark):
             for r in sorted((r for r in runs if r.g == g), key=lambda r: r.u):
                 n += r.u % 7 == 0
                 assert r.run == n
+
+
+def test_quantiles_survive_outliers(spark):
+    from swathmatch.operators.quantiles import exact_quantiles, value_bins
+
+    rows = [("g", i / 1e4) for i in range(100_000)] + [("g", 9.97e36), ("g", -1e20), ("g", 5.0), ("h", 7.0), ("n", None)]
+    df = spark.createDataFrame(rows, "k string, v double")
+    binned, _ = value_bins(df, ["k"], "v")
+    assert binned.groupBy("k", "_bin").agg(F.sum("_c").alias("n")).agg(F.max("n")).first()[0] < 1000
+    got = {r.k: r.q for r in exact_quantiles(df, ["k"], "v", [0.0, 0.5, 0.9, 1.0]).collect()}
+    want = np.quantile([v for k, v in rows if k == "g"], [0.0, 0.5, 0.9, 1.0])
+    assert np.allclose(got["g"], want) and got["h"] == [7.0] * 4 and "n" not in got
+
+
+def test_hot_keys_and_equal_rows_spread_over_lanes(spark):
+    from swathmatch.operators.skew import salted_join
+
+    big = spark.range(0, 4000, 1, 8).select(F.lit("hot").alias("k"), F.lit(1).alias("x"))
+    small = spark.createDataFrame([("hot", 5), ("cold", 6)], "k string, y int")
+    out = salted_join(big, small, ["k"], salts=None)
+    assert out.count() == 4000 and {r.y for r in out.distinct().collect()} == {5}
