@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from querybook import query
 from querybook.joins import EQUAL_25, radius_sql
-from querybook.statistics import LAND_QA_SQL, _RESCALED, circular_sql, linear_sql
+from querybook.statistics import CIRCULAR_LAST, LAND_QA_SQL, _RESCALED, circular_steps, linear_sql
 from querybook.tables import mod
 from swathmatch.operators import predict, report, spatial, stats
 from swathmatch.operators.ordered import keep_first, micros, with_neighbours
@@ -41,8 +41,9 @@ _DIRS = """SELECT 'all' AS k, avg(sar_owiWindDirection) AS s, min(val_WDIR) AS v
 
 
 @query("t2_scatter_annotations_circular", "N:i bias:d rmse:d correlation:d",
-       circular_sql(_DIRS, "k").replace("\n--select\n", f", pm AS (SELECT avg(d) AS mb FROM rows)\n--select\nSELECT N, mb AS bias, rmse, correlation FROM (", 1)
-       + ") AS q, pm", "pairs")
+       f"""{circular_steps(_DIRS, "k")}, pm AS (SELECT avg(d) AS mb FROM rows)
+--select
+SELECT N, mb AS bias, rmse, correlation FROM ({CIRCULAR_LAST}) AS q, pm""", "pairs")
 def t2_circular(t):
     return report.scatter_annotations(t.pairs, "sar_owiWindDirection", "val_WDIR")
 

@@ -42,18 +42,23 @@ def a1_small(t):
     return stats.linear_metrics(rows, "sar_owiWindSpeed", "val_WSPD", ["day"])
 
 
-def circular_sql(rows: str, group: str) -> str:
+CIRCULAR_LAST = f"""SELECT g AS source, N, {mod('degrees(d0) + 180')} - 180 AS bias, CASE WHEN N > 1 AND len > 0 THEN degrees(sqrt(-2 * ln(len))) END AS std, rmse,
+       CASE WHEN N >= 10 AND sqrt(aa * bb) > 1e-12 THEN ab / sqrt(aa * bb) END AS correlation,
+       CASE WHEN abs({mod('degrees(b0)')}) > 1e-10 THEN rmse / abs({mod('degrees(b0)')}) END AS scatter_index FROM c JOIN m USING (g)"""
+
+
+def circular_steps(rows: str, group: str) -> str:
     """Two passes: mean directions per group, then deviations from them."""
     return f"""WITH rows AS (SELECT {group} AS g, s, v, {mod('s - v + 180')} - 180 AS d FROM ({rows}) AS r0 WHERE s IS NOT NULL AND v IS NOT NULL),
     m AS (SELECT g, atan2(avg(sin(radians(s))), avg(cos(radians(s)))) AS a0, atan2(avg(sin(radians(v))), avg(cos(radians(v)))) AS b0,
                  atan2(avg(sin(radians(d))), avg(cos(radians(d)))) AS d0,
                  least(1e0, sqrt(pow(avg(sin(radians(d))), 2) + pow(avg(cos(radians(d))), 2))) AS len FROM rows GROUP BY g),
     c AS (SELECT g, sum(sin(radians(s) - a0) * sin(radians(v) - b0)) AS ab, sum(pow(sin(radians(s) - a0), 2)) AS aa,
-                 sum(pow(sin(radians(v) - b0), 2)) AS bb, count(*) AS N, sqrt(avg(d * d)) AS rmse FROM rows JOIN m USING (g) GROUP BY g)
---select
-SELECT g AS source, N, {mod('degrees(d0) + 180')} - 180 AS bias, CASE WHEN N > 1 AND len > 0 THEN degrees(sqrt(-2 * ln(len))) END AS std, rmse,
-       CASE WHEN N >= 10 AND sqrt(aa * bb) > 1e-12 THEN ab / sqrt(aa * bb) END AS correlation,
-       CASE WHEN abs({mod('degrees(b0)')}) > 1e-10 THEN rmse / abs({mod('degrees(b0)')}) END AS scatter_index FROM c JOIN m USING (g)"""
+                 sum(pow(sin(radians(v) - b0), 2)) AS bb, count(*) AS N, sqrt(avg(d * d)) AS rmse FROM rows JOIN m USING (g) GROUP BY g)"""
+
+
+def circular_sql(rows: str, group: str) -> str:
+    return f"{circular_steps(rows, group)}\n--select\n{CIRCULAR_LAST}"
 
 
 @query("a2_circular_metrics", METRICS,
@@ -70,8 +75,7 @@ def a3(t):
 
 
 @query("a4_circular_corr", "source:s correlation:d",
-       circular_sql("SELECT platform_id AS k, WDIR AS s, (obs_id * 17 % 360) * 1e0 AS v FROM obs", "k")
-       .replace("SELECT g AS source, N, ", "SELECT g AS source, N, "), "obs")
+       circular_sql("SELECT platform_id AS k, WDIR AS s, (obs_id * 17 % 360) * 1e0 AS v FROM obs", "k"), "obs")
 def a4(t):
     rows = t.obs.withColumn("other", (F.col("obs_id") * 17 % 360).cast("double"))
     return stats.circular_metrics(rows, "WDIR", "other", ["platform_id"]).select("source", "correlation")

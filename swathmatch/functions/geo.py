@@ -36,11 +36,6 @@ def unit_xyz(lon, lat) -> tuple[Column, Column, Column]:
     return F.cos(phi) * F.cos(lam), F.cos(phi) * F.sin(lam), F.sin(phi)
 
 
-def chord_radius(km: float) -> float:
-    """straight-line length on the unit sphere of a great-circle distance."""
-    return 2.0 * math.sin(km / (2.0 * R))
-
-
 def bearing_deg(lat1, lon1, lat2, lon2) -> Column:
     """initial great-circle bearing in [0, 360)."""
     lat1, lon1, lat2, lon2 = map(as_col, (lat1, lon1, lat2, lon2))

@@ -2,14 +2,14 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from swathmatch import constants as K
 from swathmatch.functions.decode import bits_clear, land_bit, osw_rejected, qc_good
-from swathmatch.functions.geo import as_col, in_box, split_antimeridian
+from swathmatch.functions.geo import as_col, split_antimeridian
 from swathmatch.operators.ordered import keep_first
 from swathmatch.operators.skew import salted_join
 
@@ -227,8 +227,3 @@ def granule_padded_bbox(df: DataFrame, name: str, min_lon: float, max_lon: float
         & (F.col("g_time") >= F.to_timestamp(F.lit(start)))
         & ((F.col("g_time") < hi) if end_exclusive else (F.col("g_time") <= hi))
     )
-
-
-def plain_box(df: DataFrame, box: Mapping[str, float]) -> DataFrame:
-    """Inclusive box on ``lon, lat``, date line included."""
-    return df.filter(in_box("lon", "lat", box["min_lon"], box["max_lon"], box["min_lat"], box["max_lat"]))

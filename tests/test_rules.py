@@ -220,3 +220,18 @@ def test_long_csv_keeps_ids_as_text(spark, tmp_path):
                                     "6600021,MO,2026-01-01T00:00:00,1.5,50.0,0.0,WSPD,NaN,1,x\n")
     r = readers.scan_obs_long(spark, str(tmp_path / "o.csv")).first()
     assert r.platform_id == "6600021" and r.value is None and r.lon == 1.5
+
+
+def test_index_and_station_files_are_read_from_disk(spark, tmp_path):
+    index = tmp_path / "index.txt"
+    index.write_text("# comment\nMO/a.nc,40,41,-3,-2,2024-01-01T00:00:00Z,2024-02-01T00:00:00Z,inst,WSPD  WDIR\nbad,line\n")
+    row = readers.scan_index(spark, str(index)).collect()
+    assert [(r.file_name, r.lat_min, r.lon_max, r.parameters) for r in row] == [("MO/a.nc", 40.0, -2.0, ["WSPD", "WDIR"])]
+    for station, lines in {"s1": ["head", "2024/01/02 03:00 0.1 U", "2024/01/05 00:00 0.2 G"], "s2": ["head", "no time here"]}.items():
+        folder = tmp_path / "stations" / "net" / station
+        folder.mkdir(parents=True)
+        (folder / "depth1.stm").write_text("\n".join(lines))
+    lines = readers.station_files(spark, str(tmp_path / "stations"))
+    assert lines.count() == 5
+    got = {r.dir_prefix.rstrip("/").split("/")[-1]: r for r in readers.station_date_ranges(lines).collect()}
+    assert [str(v)[:10] for v in list(got["s1"].asDict().values())[1:3]] == ["2024-01-02", "2024-01-05"]
