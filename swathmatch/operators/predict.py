@@ -23,6 +23,7 @@ from swathmatch.operators.skew import attach_single, salted_join
 from swathmatch.operators.spatial import MINUTE, radius_pairs
 
 TILE = 5.0
+BAND_DEG = 10.0
 DAY = 86_400_000_000
 
 
@@ -59,7 +60,8 @@ def point_in_polygon_join(points: DataFrame, shapes: DataFrame, polygon: str = "
     """
     real = shapes.filter(F.size(polygon) >= 3)
     vague = shapes.filter(F.size(polygon).between(0, 2))
-    at = points.withColumns({"_tx": _tile(F.col("lon")), "_ty": _tile(F.col("lat"))})
+    placed = points.filter(F.col("lon").isNotNull() & F.col("lat").isNotNull())
+    at = placed.withColumns({"_tx": _tile(F.col("lon")), "_ty": _tile(F.col("lat"))})
     # the frame of the ring first: it costs two comparisons
     framed = F.col("lat").between(F.col("_s"), F.col("_n")) & F.col("lon").between(F.col("_w"), F.col("_e"))
     inside = salted_join(at, polygon_frame(real, polygon), ["_tx", "_ty"]).filter(framed).filter(
@@ -134,7 +136,7 @@ def interval_overlap_join(left: DataFrame, right: DataFrame, by: Sequence[str] =
     """
     left, right = _closed(left, right)
     lhs, rhs = _with_days(left, "start", "end", slot), _with_days(right, "r_start", "r_end", slot)
-    return lhs.join(rhs, [*by, "_day"]).filter(
+    return salted_join(lhs, rhs, [*by, "_day"]).filter(
         windows_overlap("start", "end", "r_start", "r_end")
         & (F.col("_day") == _day(F.greatest("start", "r_start"), slot))
     ).drop("_day")
@@ -168,7 +170,7 @@ def point_in_box_join(points: DataFrame, boxes: DataFrame) -> DataFrame:
                 F.struct(F.lit(-180.0).alias("w"), F.col("max_lon").alias("e"))))
     split = boxes.select("*", F.explode(spans).alias("_r")).withColumns({"_w": F.col("_r.w"), "_e": F.col("_r.e")})
     tiled = _with_tiles(split, "_w", "_e", "min_lat", "max_lat")
-    at = points.withColumns({"_tx": _tile(F.col("lon")), "_ty": _tile(F.col("lat"))})
+    at = points.filter(F.col("lon").isNotNull() & F.col("lat").isNotNull()).withColumns({"_tx": _tile(F.col("lon")), "_ty": _tile(F.col("lat"))})
     hit = F.col("lon").between(F.col("_w"), F.col("_e")) & F.col("lat").between(F.col("min_lat"), F.col("max_lat"))
     return salted_join(at, tiled, ["_tx", "_ty"]).filter(hit).drop("_tx", "_ty", "_w", "_e", "_r")
 
@@ -277,7 +279,7 @@ def track_match(samples: DataFrame, targets: DataFrame, swaths: DataFrame, margi
     track = track_neighbours(samples)
     known = targets.join(swaths, "satellite")
     asked = known.withColumn("offset_km", F.col("swath_half_width_km") + margin_km)
-    joined = _in_window(track, asked)
+    joined = _in_window(track, asked, bands=True)
     hits = joined.withColumn("matched", _sees(F.col("offset_km")))
     runs = hits.filter("matched")
     order = Window.partitionBy("target_id").orderBy("t_us")
@@ -291,13 +293,26 @@ def track_match(samples: DataFrame, targets: DataFrame, swaths: DataFrame, margi
     return windows.unionByName(_unjudged(track, targets, swaths))
 
 
-def _in_window(track: DataFrame, targets: DataFrame) -> DataFrame:
+def _in_window(track: DataFrame, targets: DataFrame, bands: bool = False) -> DataFrame:
+    """Samples of a target's satellite inside its window, by half hour; with *bands* only
+    those in the latitude bands which an area can be seen from (a point may be met
+    between two samples, so it is listed under all)."""
     spans = targets.withColumns({"start_us": micros("start"), "end_us": micros("end")})
     spans = spans.withColumn("_slot", F.explode(F.sequence(
         F.floor(F.col("start_us") / MINUTE / 30).cast("bigint"), F.floor(F.col("end_us") / MINUTE / 30).cast("bigint"))))
     rows = track.withColumn("_slot", F.floor(F.col("t_us") / MINUTE / 30).cast("bigint"))
-    return rows.join(spans, ["satellite", "_slot"]).filter(
-        F.col("t_us").between(F.col("start_us"), F.col("end_us"))).drop("_slot")
+    keys = ["satellite", "_slot"]
+    if bands:
+        keys.append("_band")
+        reach = F.col("offset_km") / F.lit(111.0)
+        lo, hi = (F.when(F.col("shape") != "point", x) for x in (F.col("min_lat") - reach, F.col("max_lat") + reach))
+        spans = spans.withColumn("_band", F.explode(F.sequence(_band(F.coalesce(lo, F.lit(-90.0))), _band(F.coalesce(hi, F.lit(90.0))))))
+        rows = rows.filter(F.col("lat").isNotNull()).withColumn("_band", _band(F.col("lat")))
+    return rows.join(spans, keys).filter(F.col("t_us").between(F.col("start_us"), F.col("end_us"))).drop("_slot", "_band")
+
+
+def _band(lat: Column) -> Column:
+    return F.floor(lat / F.lit(BAND_DEG)).cast("bigint")
 
 
 def _sees(offset: Column) -> Column:

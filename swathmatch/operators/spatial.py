@@ -77,7 +77,8 @@ def candidates(obs: DataFrame, extents: DataFrame, buffer_deg: float, tolerance_
         .withColumn("_tx", F.explode(_span(F.col("w"), F.col("e"), TILE_DEG)))
         .withColumn("_ty", F.explode(_span(F.col("s"), F.col("n"), TILE_DEG)))
     )
-    readings = obs.withColumn("obs_us", micros("time")).withColumns({
+    known = obs.dropna(subset=["time", "lon", "lat"])
+    readings = known.withColumn("obs_us", micros("time")).withColumns({
         "_slot": _cell(F.col("obs_us"), slot),
         "_tx": _cell(F.col("lon"), TILE_DEG),
         "_ty": _cell(F.col("lat"), TILE_DEG),
