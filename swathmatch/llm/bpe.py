@@ -11,6 +11,7 @@ import hashlib
 import json
 from collections.abc import Iterator
 from functools import lru_cache
+from weakref import WeakValueDictionary
 
 import numpy as np
 import pandas as pd
@@ -32,16 +33,26 @@ class Remembered(dict):
     one is forgotten, but for what has been asked for since.
     """
 
-    def __init__(self, answer):
+    alive: WeakValueDictionary[int, Remembered] = WeakValueDictionary()
+
+    def __init__(self, answer, most: int = REMEMBERED):
         super().__init__()
-        self.answer = answer
+        self.answer, self.most = answer, most
         self.old = {}
+        self.alive[id(self)] = self
+
+    def only(self) -> None:
+        """Let all others of this worker forget: one operator's memory at a time."""
+        for other in list(self.alive.values()):
+            if other is not self:
+                other.clear()
+                other.old = {}
 
     def __missing__(self, key):
         value = self.old.get(key)
         if value is None:
             value = self.answer(key)
-        if len(self) >= REMEMBERED:
+        if len(self) >= self.most:
             self.old = dict(self)
             self.clear()
         self[key] = value
@@ -129,6 +140,7 @@ def encode_documents(docs: DataFrame, path: str, id_col: str = "doc_id", text_co
     """
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         coder = boundaries(path)
+        coder.fragment_ids.only()
         for frame in frames:
             ids = [b"".join(coder.encode(t)) for t in frame["text"]]
             texts = [coder.decode(x).decode("utf-8", "replace") for x in ids]
@@ -143,6 +155,7 @@ def digests(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str =
     these need not leave the worker: n_tokens, ids_sha256, decoded_sha256."""
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         coder = boundaries(path)
+        coder.fragment_ids.only()
         for frame in frames:
             out = []
             for text in frame["text"]:

@@ -62,6 +62,7 @@ def turn_text(role: str, text: str) -> str:
 def _counted(convs: DataFrame, path: str) -> DataFrame:
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         coder = boundaries(path)
+        coder.fragment_ids.only()
         for frame in frames:
             n = [sum(len(x) for x in coder.encode(turn_text(r, t))) // 4 for r, t in zip(frame["role"], frame["text"], strict=True)]
             yield frame.assign(tokens=n)

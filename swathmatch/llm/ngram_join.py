@@ -27,6 +27,8 @@ SIMILARITY = 0.8
 RECALL = 0.9999
 # members of a bucket that one side of a comparison holds
 BLOCK = 256
+# words whose hashes a worker remembers
+WORDS = 150_000
 
 
 def choose_bands(similarity: float, recall: float, most: int = 128) -> tuple[int, int]:
@@ -51,7 +53,8 @@ class Shingles:
 
     def __init__(self, n: int, bands: int, rows: int):
         self.n, self.bands, self.rows = n, bands, rows
-        self.word = Remembered(lambda w: int.from_bytes(hashlib.blake2b(w.encode(), digest_size=8).digest(), "little"))
+        self.word = Remembered(lambda w: int.from_bytes(hashlib.blake2b(w.encode(), digest_size=8).digest(), "little"), WORDS)
+        self.word.only()
         rng = np.random.default_rng(8)
         self.xors = rng.integers(0, 1 << 64, bands * rows, dtype=np.uint64)
         self.odds = rng.integers(0, 1 << 64, bands * rows, dtype=np.uint64) | np.uint64(1)

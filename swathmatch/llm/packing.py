@@ -79,6 +79,7 @@ def tokenized(docs: DataFrame, path: str) -> DataFrame:
     """row, doc_id, source, n, ids: each row of *docs* under a key of its own."""
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         coder = chunks(path)
+        coder.ids.only()
         row = TaskContext.get().partitionId() << 40
         end = np.array([END_ID], dtype=coder.dtype).tobytes()
         width = len(end)

@@ -7,6 +7,7 @@ import tempfile
 import uuid
 import zipfile
 from collections.abc import Iterator
+from contextlib import contextmanager
 from pathlib import Path
 
 import numpy as np
@@ -39,10 +40,32 @@ def settle(df: DataFrame) -> DataFrame:
     expensive pass from running once for each of its readers.
     """
     path = scratch(df.sparkSession)
+    for paths in _RECORDING:
+        paths.append(path)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+_RECORDING: list[list[str]] = []
+
+
+@contextmanager
+def recorded(paths: list[str]) -> Iterator[None]:
+    """Note in *paths* what ``settle`` writes meanwhile."""
+    _RECORDING.append(paths)
+    try:
+        yield
+    finally:
+        _RECORDING.remove(paths)
+
+
+def forget(spark: SparkSession, paths: list[str]) -> None:
+    """Delete intermediate tables which nothing reads any more."""
+    while paths:
+        path = spark._jvm.org.apache.hadoop.fs.Path(paths.pop())
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def whole_text(col: str = "text") -> Column:
     """The text, or an empty one where there is none."""
     return F.coalesce(F.col(col), F.lit("")).alias(col)
@@ -93,12 +116,15 @@ def group_bounds(frame: pd.DataFrame, keys: list[str]) -> list[tuple[int, int]]:
 
 
 def ship(spark: SparkSession) -> SparkSession:
-    """Send the package to the Python workers where their path does not hold it.
+    """Make the session ready for operators that run Python: texts reach it in small
+    batches, and the package is sent to the workers where their path does not hold it.
 
     A cluster job submitted with ``--py-files``, or an environment that names the
     folder in ``PYTHONPATH``, needs nothing; a session opened from a script that
     only changed its own ``sys.path`` does.
     """
+    for key, value in BATCHES.items():
+        spark.conf.set(key, value)
     root = Path(__file__).resolve().parents[2]
     on_path = [Path(p).resolve() for p in os.environ.get("PYTHONPATH", "").split(os.pathsep) if p]
     sc = spark.sparkContext
@@ -113,3 +139,5 @@ def ship(spark: SparkSession) -> SparkSession:
 
 
 _SHIPPED: set[str] = set()
+# a batch is held several times over (Arrow, Python strings, results)
+BATCHES = {"spark.sql.execution.arrow.maxBytesPerBatch": "8m", "spark.sql.execution.arrow.maxRecordsPerBatch": "2000"}
