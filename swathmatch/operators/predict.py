@@ -181,23 +181,21 @@ def index_match(index: DataFrame, requests: DataFrame) -> DataFrame:
     """Platform files for requests: common parameter, time and box overlap.
 
     A file whose own box spans more than 180 degrees crossed the date line and
-    matches any longitude.  Files and requests meet by tile and slot; platforms live
-    for years, so time slots are 90 days.  A request across the date line has two
-    parts, and a pair counts in the first it meets.
+    matches any longitude.  Platforms live for years, so time slots are 90 days.
+    Their boxes are as wide as oceans: tiles would list each under thousands, so
+    time slots and lanes are the keys.
     """
-    wide = F.col("lon_max") - F.col("lon_min") > 180
-    rows = index.withColumnsRenamed({"time_start": "start", "time_end": "end"}).withColumns({
-        "min_lon": F.when(wide, -180.0).otherwise(F.col("lon_min")), "max_lon": F.when(wide, 180.0).otherwise(F.col("lon_max")),
-        "min_lat": F.col("lat_min"), "max_lat": F.col("lat_max")})
-    west, east = F.col("r_min_lon"), F.col("r_max_lon")
-    parts = F.when(west <= east, F.array(F.struct(west.alias("w"), east.alias("e")))).otherwise(F.array(
-        F.struct(west.alias("w"), F.lit(180.0).alias("e")), F.struct(F.lit(-180.0).alias("w"), east.alias("e"))))
-    asked = requests.select("*", F.posexplode(parts).alias("_part", "_span")).withColumns({
-        "_west": west, "_east": east, "r_min_lon": F.col("_span.w"), "r_max_lon": F.col("_span.e")}).drop("_span")
-    pairs = box_overlap_join(rows, asked, times=True, slot=90 * DAY).filter(F.arrays_overlap("parameters", "wanted"))
-    pairs = pairs.filter((F.col("_part") == 0) | (F.col("max_lon") < F.col("_west")))
-    return pairs.withColumns({"r_min_lon": F.col("_west"), "r_max_lon": F.col("_east")}).drop(
-        "_part", "_west", "_east", "min_lon", "max_lon", "min_lat", "max_lat")
+    rows = index.withColumnsRenamed({"time_start": "start", "time_end": "end"})
+    pairs = interval_overlap_join(rows, requests, slot=90 * DAY)
+    across = F.when(
+        F.col("r_min_lon") <= F.col("r_max_lon"),
+        (F.col("lon_max") >= F.col("r_min_lon")) & (F.col("lon_min") <= F.col("r_max_lon")),
+    ).otherwise((F.col("lon_max") >= F.col("r_min_lon")) | (F.col("lon_min") <= F.col("r_max_lon")))
+    return pairs.filter(
+        F.arrays_overlap("parameters", "wanted")
+        & (F.col("lat_max") >= F.col("r_min_lat")) & (F.col("lat_min") <= F.col("r_max_lat"))
+        & ((F.col("lon_max") - F.col("lon_min") > 180) | across)
+    )
 
 
 def station_window_match(stations: DataFrame, footprints: DataFrame, tolerance_minutes: float,
