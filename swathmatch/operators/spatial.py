@@ -286,14 +286,13 @@ def cell_average_join(cells: DataFrame, obs: DataFrame, sar_vars: Sequence[str],
 # --- J3 ----------------------------------------------------------------------------
 
 def nearest_join(cells: DataFrame, obs: DataFrame, sar_vars: Sequence[str], val_vars: Sequence[str],
-                 spec: MatchSpec, label: str, rings: Sequence[float] = (0.25, 1.0)) -> DataFrame:
+                 spec: MatchSpec, label: str) -> DataFrame:
     """Every cell with a measurement takes its nearest observation.
 
     Observations are first reduced to one per scene and position (the lowest
-    ``obs_id``: at equal distance the first one wins).  Then the search runs in
-    *rings*, fractions of the tolerance: a cell which finds something within the
-    small radius is settled, only the others look further.  Where observations
-    are dense almost no cell gets to the large radius.
+    ``obs_id``: at equal distance the first one wins).  One search then reaches as
+    far as the tolerance; the nearest is a minimum, taken in every task before the
+    shuffle, so dense observations cost comparisons but no rows.
     """
     obs_c = candidates(obs, scene_extents(cells), spec.spatial_tolerance_km / K.KM_PER_DEG_NEAREST_BUFFER,
                        spec.tolerance_us)
@@ -302,17 +301,11 @@ def nearest_join(cells: DataFrame, obs: DataFrame, sar_vars: Sequence[str], val_
     )
     measured = measurements(sar_vars) or list(sar_vars)
     usable = cells.filter(_any_present(measured)).withColumnsRenamed({"lon": "a_lon", "lat": "a_lat"})
-    open_cells = usable.select("scene", "y", "x", "a_lon", "a_lat")
-    found = None
-    for ring in rings:
-        pairs = radius_pairs(open_cells, places, spec.spatial_tolerance_km * ring)
-        ranked = pairs.withColumn("_rank", _rank(F.col("dist_km"), F.col("obs_id")))
-        got = ranked.groupBy("scene", "y", "x").agg(
-            F.min("_rank").alias("_rank"), F.min("dist_km").alias("dist_km")
-        ).withColumn("obs_id", (F.col("_rank") % F.lit("10000000000000000000").cast("decimal(20,0)"))
-                     .cast("bigint")).drop("_rank")
-        found = got if found is None else found.unionByName(got)
-        open_cells = open_cells.join(got.select("scene", "y", "x"), ["scene", "y", "x"], "left_anti")
+    pairs = radius_pairs(usable.select("scene", "y", "x", "a_lon", "a_lat"), places, spec.spatial_tolerance_km)
+    ranked = pairs.withColumn("_rank", _rank(F.col("dist_km"), F.col("obs_id")))
+    found = ranked.groupBy("scene", "y", "x").agg(
+        F.min("_rank").alias("_rank"), F.min("dist_km").alias("dist_km")
+    ).withColumn("obs_id", (F.col("_rank") % F.lit("10000000000000000000").cast("decimal(20,0)")).cast("bigint")).drop("_rank")
     spacing = native_spacing(cells, K.KM_PER_DEG_GRID)
     hits = (
         usable.join(found, ["scene", "y", "x"])
