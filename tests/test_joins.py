@@ -118,7 +118,7 @@ def test_bins_find_every_pair_of_a_brute_force_search(spark, radius):
     assert len(rows) == len(set(rows)) and set(rows) == want and len(want) > 50
 
 
-def test_nearest_join_equals_brute_force_and_rings_do_not_matter(spark):
+def test_nearest_join_equals_brute_force(spark):
     rnd = random.Random(5)
     cells = [("S", i // 12, i % 12, rnd.uniform(178.5, 179.9), rnd.uniform(70, 71), NOON, 1.0 + i) for i in range(144)]
     obs = [(i, "p", "m", NOON, rnd.uniform(178.5, 179.9), rnd.uniform(70, 71), float(i)) for i in range(60)]
@@ -129,9 +129,8 @@ def test_nearest_join_equals_brute_force_and_rings_do_not_matter(spark):
         if d <= 9e6:
             want[(y, x)] = k
     table = spark.createDataFrame(cells, "scene string, y int, x int, lon double, lat double, time timestamp, owiWindSpeed double")
-    for rings in ((1.0,), (0.25, 1.0), (0.1, 0.5, 1.0)):
-        r = spatial.nearest_join(table, observations(spark, obs), ["owiWindSpeed"], ["WSPD"], MatchSpec(30, 9, 5, "equal"), "x", rings).collect()
-        assert {(q.sar_y_idx, q.sar_x_idx): int(q.val_WSPD) % 100 for q in r} == {k: v % 100 for k, v in want.items()}
+    r = spatial.nearest_join(table, observations(spark, obs), ["owiWindSpeed"], ["WSPD"], MatchSpec(30, 9, 5, "equal"), "x").collect()
+    assert {(q.sar_y_idx, q.sar_x_idx): int(q.val_WSPD) % 100 for q in r} == {k: v % 100 for k, v in want.items()}
 
 
 def test_result_does_not_depend_on_partitions(spark):
