@@ -25,8 +25,8 @@ from swathmatch.llm.shared import group_bounds, runs_of_keys, settle, whole_text
 NGRAM = 5
 SIMILARITY = 0.8
 RECALL = 0.9999
-# members of a bucket that one side of a comparison holds
-BLOCK = 256
+# members of a bucket that one side of a comparison holds, and n-grams of them all
+BLOCK, GRAMS = 1024, 1 << 20
 # words whose hashes a worker remembers
 WORDS = 150_000
 
@@ -116,8 +116,8 @@ def _by_band(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for frame in frames:
         if len(frame):
             each = np.frombuffer(b"".join(frame["bands"]), np.int64)
-            rows = frame.loc[frame.index.repeat(len(each) // len(frame)), ["key", "doc_id", "copies", "bands"]].reset_index(drop=True)
-            yield rows.assign(bucket=each)[["bucket", "key", "doc_id", "copies", "bands"]]
+            rows = frame.loc[frame.index.repeat(len(each) // len(frame)), ["key", "doc_id", "copies", "size", "bands"]].reset_index(drop=True)
+            yield rows.assign(bucket=each)[["bucket", "key", "doc_id", "copies", "size", "bands"]]
 
 
 def _first_shared(bands_a: np.ndarray, bands_b: np.ndarray, bucket: np.uint64) -> np.ndarray:
@@ -239,11 +239,13 @@ def near_duplicates(docs: DataFrame, n: int = NGRAM, similarity: float = SIMILAR
     signed = settle(_signed(docs, n, bands, rows))
     filled = signed.filter(F.col("size") > 0)
     classes = settle(filled.groupBy("key").agg(F.min("doc_id").alias("doc_id"), F.count("*").alias("copies"),
-                                               F.first("bands").alias("bands")))
+                                               F.first("size").alias("size"), F.first("bands").alias("bands")))
     # buckets of two classes or more, each member in its block
-    members = classes.mapInPandas(_by_band, "bucket long, key binary, doc_id long, copies long, bands binary")
-    buckets = members.groupBy("bucket").agg(F.count("*").alias("m")).filter("m > 1")
-    members = members.join(buckets, "bucket").withColumn("nb", F.ceil(F.col("m") / BLOCK))
+    members = classes.mapInPandas(_by_band, "bucket long, key binary, doc_id long, copies long, size int, bands binary")
+    # blocks hold few members and few n-grams: long texts meet in smaller ones
+    blocks = F.ceil(F.greatest(F.count("*") / BLOCK, F.sum("size") / GRAMS))
+    buckets = members.groupBy("bucket").agg(F.count("*").alias("m"), blocks.alias("nb")).filter("m > 1")
+    members = members.join(buckets, "bucket")
     members = members.withColumn("block", F.pmod(F.xxhash64("key"), F.col("nb")))
     # block b meets every block: as the first of a pair or as the second
     other = F.explode(F.sequence(F.lit(0).cast("long"), F.col("nb") - 1)).alias("o")

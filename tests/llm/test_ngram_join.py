@@ -71,6 +71,7 @@ def table(spark, rows):
 def test_equals_all_pairs(spark, monkeypatch):
     ship(spark)
     monkeypatch.setattr(ngram_join, "BLOCK", 64)
+    monkeypatch.setattr(ngram_join, "GRAMS", 20_000)
     rows = corpus()
     got = ngram_join.near_duplicates(table(spark, rows)).collect()
     assert sorted(((r.doc_id, r.class_id, r.n_links, r.class_size) for r in got), key=repr) == brute(rows)
