@@ -315,8 +315,8 @@ def a24(t):
 
     r = Recipe("r", "wind", sources=(Source("altimeter_1hz", collocation_kwargs={"time_tolerance_minutes": 45}),))
     names = {"click": ("ascat_ssm",), "view": ("altimeter_1hz",), "error": ("mooring",), "signup": ("hycom", "scatterometer"), "purchase": ("ascat_ssm", "era5")}
-    table = F.create_map(*[F.lit(x) for k, v in names.items() for x in (k, float(r.tolerance_minutes(*v)))])
-    return t.events.select("event_id", F.try_element_at(table, F.col("event_type")).alias("minutes"))
+    table = F.create_map(*[x for k, v in names.items() for x in (F.lit(k), F.array(*map(F.lit, v)))])
+    return r.with_tolerance(t.events.select("event_id", F.try_element_at(table, F.col("event_type")).alias("sources")))
 
 
 @query("a25_day_footprint", "record_id:i sensing_start:t sensing_end:t n_windows:i",
