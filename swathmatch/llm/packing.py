@@ -24,7 +24,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from swathmatch.llm.bpe import Remembered, byte_letters
+from swathmatch.llm.bpe import REMEMBERED, Remembered, byte_letters
 from swathmatch.llm.shared import settle, whole_text
 
 WINDOW = 4096
@@ -42,7 +42,7 @@ class Chunks:
     put together from what is remembered.
     """
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, remembered: int):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
@@ -51,7 +51,7 @@ class Chunks:
         self.dtype = "<u2" if self.tokenizer.get_vocab_size() <= 1 << 16 else "<u4"
         self.code = "H" if self.dtype == "<u2" else "I"
         self.letters = byte_letters()
-        self.ids = Remembered(self._encode)
+        self.ids = Remembered(self._encode, remembered)
 
     def _encode(self, chunk: str) -> bytes:
         word = chunk.rstrip(CLOSING)
@@ -71,14 +71,14 @@ class Chunks:
 
 
 @lru_cache(maxsize=4)
-def chunks(path: str) -> Chunks:
-    return Chunks(path)
+def chunks(path: str, remembered: int = REMEMBERED) -> Chunks:
+    return Chunks(path, remembered)
 
 
-def tokenized(docs: DataFrame, path: str) -> DataFrame:
+def tokenized(docs: DataFrame, path: str, remembered: int = REMEMBERED) -> DataFrame:
     """row, doc_id, source, n, ids: each row of *docs* under a key of its own."""
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        coder = chunks(path)
+        coder = chunks(path, remembered)
         coder.ids.only()
         row = TaskContext.get().partitionId() << 40
         end = np.array([END_ID], dtype=coder.dtype).tobytes()
@@ -161,7 +161,8 @@ def pieces_of(place: int, n: int, total: int, window: int, tail: list[int]) -> l
     return out
 
 
-def pack(docs: DataFrame, path: str, window: int = WINDOW, targets: Mapping[str, float] | None = None) -> DataFrame:
+def pack(docs: DataFrame, path: str, window: int = WINDOW, targets: Mapping[str, float] | None = None,
+         remembered: int = REMEMBERED) -> DataFrame:
     """Pieces of all documents: doc_id, source, start, length, doc_tokens, sequence_id,
     offset, ids (binary, little-endian unsigned 32-bit).
 
@@ -170,17 +171,18 @@ def pack(docs: DataFrame, path: str, window: int = WINDOW, targets: Mapping[str,
     whose lengths are powers of two, so nothing is padded.  *targets* are token
     shares by source (default: each source's share of all tokens, so that all
     queues end together); a queue that ends early leaves its room to the others.
+    A worker remembers the ids of up to twice *remembered* chunks.
 
     A NULL text counts as empty (one closing id); a NULL source is the source
     ``''``; a NULL doc_id stays NULL; repeated rows are packed as often as they
     occur; columns beside doc_id, source and text are not read.
     """
-    rows = tokenized(docs, path)
+    rows = tokenized(docs, path, remembered)
     places, total = placed(rows.select("row", "source", "n"), targets, window)
     tail = window_starts(total, window)
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        dtype = chunks(path).dtype
+        dtype = chunks(path, remembered).dtype
         for frame in frames:
             out = []
             for doc, source, n, place, ids in zip(frame["doc_id"], frame["source"], frame["n"], frame["place"], frame["ids"], strict=True):
