@@ -33,8 +33,10 @@ def dedupe_observations(pairs: DataFrame, sar: str, val: str, others: Sequence[s
     """
     ids = [c for c in OBSERVATION if c in pairs.columns]
     rest = [val, *[c for c in others if c != val]]
-    rows = pairs.filter(F.col(sar).isNotNull() & F.col(val).isNotNull()).groupBy(*ids).agg(
-        F.avg(sar).alias(sar), F.count("*").alias("n_pixels"), F.min(F.struct(*rest)).alias("_first"))
+    groups = pairs.filter(F.col(sar).isNotNull() & F.col(val).isNotNull()).groupBy(*ids)
+    if len(rest) == 1:
+        return groups.agg(F.avg(sar).alias(sar), F.min(val).alias(val), F.count("*").alias("n_pixels"))
+    rows = groups.agg(F.avg(sar).alias(sar), F.count("*").alias("n_pixels"), F.min(F.struct(*rest)).alias("_first"))
     return rows.select(*ids, sar, F.col(f"_first.{val}").alias(val), "n_pixels", *[F.col(f"_first.{c}").alias(c) for c in rest[1:]])
 
 
