@@ -9,12 +9,15 @@ the whole reach of a suffix, then of blocks of ever fewer strings.  Identifiers
 settle a block in either direction: if another member has the same bytes all over
 it, all its strings repeat; if none shares the bytes common to all its strings,
 none does.  What an earlier round settled is not looked at again.
+
+Strings are of bytes, or of words: then each word is one sign, an identifier of
+eight bytes, and what stands between words does not count.
 """
 
 from __future__ import annotations
 
 import hashlib
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from functools import lru_cache
 
 import numpy as np
@@ -23,13 +26,16 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from swathmatch.llm.shared import settle, whole_text
+from swathmatch.llm.bpe import Remembered
+from swathmatch.llm.shared import forget, recorded, settle, whole_text
 
 LENGTH = 400
 # strings in a block, by round
 ROUNDS = (48, 7, 1)
 # bytes of a text handled at once
 SEGMENT = 1 << 19
+# identifiers of words that a worker remembers
+REMEMBERED_WORDS = 60_000
 
 
 @lru_cache(maxsize=1)
@@ -46,11 +52,28 @@ def _tables() -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return np.random.default_rng(3).integers(0, 1 << 64, 256, dtype=np.uint64), powers(base), powers(pow(base, -1, 1 << 64))
 
 
-def gram_hashes(b: np.ndarray, q: int) -> np.ndarray:
-    number, up, down = _tables()
-    sums = np.zeros(len(b) + 1, np.uint64)
-    np.cumsum(number[b] * up[: len(b)], out=sums[1:])
-    h = (sums[q:] - sums[:-q]) * down[: len(b) - q + 1]
+@lru_cache(maxsize=1)
+def _identifiers() -> Remembered:
+    return Remembered(lambda word: hashlib.blake2b(word, digest_size=8).digest(), REMEMBERED_WORDS)
+
+
+def word_ids(data: bytes) -> bytes:
+    """Eight bytes for each word; white space is as in ``word_bounds``."""
+    return b"".join(map(_identifiers().__getitem__, data.split()))
+
+
+def word_bounds(data: bytes) -> tuple[np.ndarray, np.ndarray]:
+    """Where words start and end; they stand between blanks and the signs 9 to 13."""
+    b = np.frombuffer(data, dtype=np.uint8)
+    space = np.concatenate([[True], (b == 32) | ((b >= 9) & (b <= 13)), [True]])
+    return np.flatnonzero(space[:-1] & ~space[1:]), np.flatnonzero(~space[:-1] & space[1:])
+
+
+def gram_hashes(numbers: np.ndarray, q: int) -> np.ndarray:
+    _, up, down = _tables()
+    sums = np.zeros(len(numbers) + 1, np.uint64)
+    np.cumsum(numbers * up[: len(numbers)], out=sums[1:])
+    h = (sums[q:] - sums[:-q]) * down[: len(numbers) - q + 1]
     h ^= h >> np.uint64(29)
     h *= np.uint64(0xBF58476D1CE4E5B9)
     return h ^ (h >> np.uint64(32))
@@ -68,20 +91,23 @@ def lowest_in_windows(h: np.ndarray, w: int) -> np.ndarray:
     return (np.minimum(behind[:n], ahead[w - 1 : w - 1 + n]) & low).astype(np.int64)
 
 
-def suffixes(data: bytes, length: int, q: int) -> Iterator[list[int]]:
+def suffixes(data: bytes, length: int, q: int, words: bool = False) -> Iterator[list[int]]:
     """bucket, identifier of the reach, position, first and last start of the strings
     which pick this suffix, how many follow each other with the same reach (as in a
-    text of one repeated word), and the last start of those."""
-    for at in range(0, len(data) - length + 1, SEGMENT):
-        b = np.frombuffer(data[at : at + SEGMENT + length - 1], dtype=np.uint8)
-        h = gram_hashes(b, q)
+    text of one repeated word), and the last start of those.
+
+    *data*: a byte for each sign, or the eight of each word."""
+    width = 8 if words else 1
+    for at in range(0, len(data) // width - length + 1, SEGMENT):
+        b = np.frombuffer(data[at * width : (at + SEGMENT + length - 1) * width], dtype="<u8" if words else np.uint8)
+        h = gram_hashes(b if words else _tables()[0][b], q)
         picked = lowest_in_windows(h, length - q + 1)
         first = np.flatnonzero(np.concatenate([[True], picked[1:] != picked[:-1]]))
         last = np.append(first[1:], len(picked)) - 1
         pos = picked[first]
         run: list[int] | None = None
         for g, p, lo, hi in zip(h[pos].view(np.int64).tolist(), pos.tolist(), first.tolist(), last.tolist(), strict=True):
-            reach = hashlib.blake2b(data[at + lo : at + hi + length], digest_size=8, salt=(p - lo).to_bytes(4, "little")).digest()
+            reach = hashlib.blake2b(data[(at + lo) * width : (at + hi + length) * width], digest_size=8, salt=(p - lo).to_bytes(4, "little")).digest()
             name = int.from_bytes(reach, "little", signed=True)
             if run and run[:2] == [g, name]:
                 run[5:] = run[5] + 1, at + hi
@@ -104,15 +130,25 @@ def _keyed(docs: DataFrame) -> DataFrame:
                        _bytes(F.col("text")).alias("data"))
 
 
-def _sampled(keyed: DataFrame, length: int, q: int) -> DataFrame:
+def _sampled(keyed: DataFrame, length: int, q: int, words: bool) -> DataFrame:
+    """The columns of ``suffixes``, doc, mark; of words also the bytes of the reach, by
+    first byte and number."""
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        if words:
+            _identifiers().only()
         for frame in frames:
             for doc, mark, data in zip(frame["doc"], frame["mark"], frame["data"], strict=True):
-                if len(data) >= length:
-                    out = pd.DataFrame(list(suffixes(data, length, q)), columns=["bucket", "reach", "pos", "lo", "hi", "n", "till"])
+                signs = word_ids(data) if words else data
+                if len(signs) >= length * (8 if words else 1):
+                    out = pd.DataFrame(list(suffixes(signs, length, q, words)), columns=["bucket", "reach", "pos", "lo", "hi", "n", "till"])
+                    if words:
+                        starts, ends = word_bounds(data)
+                        out["byte"] = starts[out["lo"]]
+                        out["bytes"] = ends[out["hi"] + length - 1] - out["byte"]
                     yield out.assign(doc=doc, mark=mark)
 
-    return keyed.mapInPandas(_joined(run), "bucket long, reach long, pos int, lo int, hi int, n int, till int, doc long, mark int")
+    more = "byte int, bytes int, " if words else ""
+    return keyed.mapInPandas(_joined(run), f"bucket long, reach long, pos int, lo int, hi int, n int, till int, {more}doc long, mark int")
 
 
 def _joined(run, rows: int = 50_000):
@@ -131,26 +167,31 @@ def _joined(run, rows: int = 50_000):
     return whole
 
 
-def _reaches(members: DataFrame, keyed: DataFrame, length: int) -> DataFrame:
+def _reaches(members: DataFrame, keyed: DataFrame, length: int, words: bool) -> DataFrame:
     """member, bucket, one, doc, mark, pos, lo, hi and the bytes of the reach."""
-    wanted = members.groupBy("doc", "mark").agg(F.collect_list(F.struct("member", "bucket", "one", "pos", "lo", "hi")).alias("m"))
-    part = keyed.join(wanted, ["doc", "mark"]).select("doc", "mark", "data", F.explode("m").alias("m")).select("doc", "mark", "m.*", F.substring(
-        F.col("data"), F.col("m.lo") + 1, F.col("m.hi") - F.col("m.lo") + length).alias("data"))
+    names = [c for c in members.columns if c not in ("doc", "mark")]
+    wanted = members.groupBy("doc", "mark").agg(F.collect_list(F.struct(*names)).alias("m"))
+    first, number = (F.col("m.byte"), F.col("m.bytes")) if words else (F.col("m.lo"), F.col("m.hi") - F.col("m.lo") + length)
+    part = keyed.join(wanted, ["doc", "mark"]).select("doc", "mark", "data", F.explode("m").alias("m")).select(
+        "doc", "mark", *(f"m.{c}" for c in ("member", "bucket", "one", "pos", "lo", "hi")), F.substring(F.col("data"), first + 1, number).alias("data"))
     return part.dropDuplicates(["member"])
 
 
-def _blocks(size: int, length: int):
+def _blocks(size: int, length: int, words: bool):
     """Split the unsettled offsets of each member into blocks of *size* strings."""
+    width = 8 if words else 1
+
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
             out = []
             for member, bucket, one, pos, lo, hi, data, a, b in zip(
                     *(frame[c] for c in ("member", "bucket", "one", "pos", "lo", "hi", "data", "a", "b")), strict=True):
-                # a string starting d bytes ahead of the suffix is in block d // size
+                signs = word_ids(data) if words else data
+                # a string starting d signs ahead of the suffix is in block d // size
                 for k in range(a // size, b // size + 1):
                     d0, d1 = max(a, k * size), min(b, k * size + size - 1)
-                    core = data[pos - k * size - lo : pos - (k * size + size - 1) + length - lo] if size > 1 else b""
-                    whole = data[pos - d1 - lo : pos - d0 + length - lo]
+                    core = signs[(pos - k * size - lo) * width : (pos - (k * size + size - 1) + length - lo) * width] if size > 1 else b""
+                    whole = signs[(pos - d1 - lo) * width : (pos - d0 + length - lo) * width]
                     name = hashlib.blake2b(core or whole, digest_size=16, salt=k.to_bytes(4, "little")).digest()
                     same = name if size == 1 else hashlib.blake2b(
                         whole, digest_size=16, salt=d0.to_bytes(4, "little") + d1.to_bytes(4, "little")).digest()
@@ -160,13 +201,13 @@ def _blocks(size: int, length: int):
     return run
 
 
-def _refined(reaches: DataFrame, length: int, rounds: tuple[int, ...]) -> list[DataFrame]:
+def _refined(reaches: DataFrame, length: int, rounds: tuple[int, ...], words: bool) -> list[DataFrame]:
     """Ranges (doc, mark, lo, hi) of repeated strings, a table for each round."""
     open_ = reaches.select("member", (F.col("pos") - F.col("hi")).alias("a"), (F.col("pos") - F.col("lo")).alias("b"))
     done = []
     for size in rounds:
         cut = reaches.join(open_, "member").mapInPandas(
-            _blocks(size, length), "member long, bucket long, one boolean, core binary, whole binary, a int, b int")
+            _blocks(size, length, words), "member long, bucket long, one boolean, core binary, whole binary, a int, b int")
         blocks = settle(cut)
         equal = settle(blocks.groupBy("bucket", "core", "whole").agg(F.count("*").alias("n"), F.min("member").alias("first")))
         shared = equal.groupBy("bucket", "core").agg(F.count("*").alias("kinds"))
@@ -178,45 +219,48 @@ def _refined(reaches: DataFrame, length: int, rounds: tuple[int, ...]) -> list[D
     return done
 
 
-def repeated_spans(docs: DataFrame, length: int = LENGTH) -> DataFrame:
-    """doc, mark, spans: merged ranges [start, end) of bytes covered by a string of
-    *length* bytes which starts anywhere else too, in this text or another.
+def repeated_spans(docs: DataFrame, length: int = LENGTH, words: bool = False) -> DataFrame:
+    """doc, mark, spans: merged ranges [start, end) of bytes (of *words*) covered by a
+    string of *length* of them which starts anywhere else too, in this text or another.
 
     *docs*: doc_id, text (not NULL).  The key (doc, mark) is that of ``keyed_rows``.
     """
     q = max(1, length // 4)
     keyed = _keyed(docs)
-    sampled = settle(_sampled(keyed, length, q))
+    sampled = settle(_sampled(keyed, length, q, words))
     # written before it is joined: Spark splits hot keys between plain exchanges only
     often = settle(sampled.groupBy("bucket").agg(F.sum("n").alias("n")).filter("n > 1").select("bucket"))
     sampled = settle(sampled.join(often, "bucket", "left_semi"))
-    kinds = settle(sampled.groupBy("bucket", "reach").agg(F.sum("n").alias("n"), F.min(F.struct("doc", "mark", "pos", "lo", "hi")).alias("m")))
+    more = ["byte", "bytes"] if words else []
+    kinds = settle(sampled.groupBy("bucket", "reach").agg(F.sum("n").alias("n"), F.min(F.struct("doc", "mark", "pos", "lo", "hi", *more)).alias("m")))
     whole = sampled.join(kinds.filter("n > 1").select("bucket", "reach"), ["bucket", "reach"], "left_semi").select("doc", "mark", "lo", F.col("till").alias("hi"))
     several = settle(kinds.groupBy("bucket").agg(F.count("*").alias("k")).filter("k > 1").select("bucket"))
     members = settle(kinds.join(several, "bucket", "left_semi").select(
         F.monotonically_increasing_id().alias("member"), "bucket", (F.col("n") == 1).alias("one"), "m.*"))
-    reaches = settle(_reaches(members, keyed, length))
+    reaches = settle(_reaches(members, keyed, length, words))
     rounds = tuple(r for r in ROUNDS if r < length - q) or (1,)
     ranges = whole
-    for found in _refined(reaches, length, rounds):
+    for found in _refined(reaches, length, rounds, words):
         ranges = ranges.unionByName(found)
     # a row lists ranges of one text only
     listed = ranges.groupBy("doc", "mark").agg(F.collect_set(F.struct("lo", "hi")).alias("r"))
     return listed.mapInPandas(_merged(length), "doc long, mark int, spans array<struct<start:int,end:int>>")
 
 
+def union(ranges: Iterable[tuple[int, int]]) -> list[list[int]]:
+    out: list[list[int]] = []
+    for lo, hi in sorted(ranges):
+        if out and lo <= out[-1][1]:
+            out[-1][1] = max(out[-1][1], hi)
+        else:
+            out.append([lo, hi])
+    return out
+
+
 def _merged(length: int):
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
-            spans = []
-            for ranges in frame["r"]:
-                out: list[list[int]] = []
-                for lo, hi in sorted((r["lo"], r["hi"] + length) for r in ranges):
-                    if out and lo <= out[-1][1]:
-                        out[-1][1] = max(out[-1][1], hi)
-                    else:
-                        out.append([lo, hi])
-                spans.append([{"start": s, "end": e} for s, e in out])
+            spans = [[{"start": s, "end": e} for s, e in union((r["lo"], r["hi"] + length) for r in ranges)] for ranges in frame["r"]]
             yield pd.DataFrame({"doc": frame["doc"], "mark": frame["mark"], "spans": spans})
 
     return run
@@ -230,26 +274,47 @@ def with_spans(docs: DataFrame, length: int = LENGTH) -> DataFrame:
     which are equal in doc_id and text are texts of their own, so they repeat each
     other; rows without a doc_id are told apart by their texts.
     """
+    return _beside(docs, repeated_spans(docs.select("doc_id", whole_text()), length), "repeated_spans")
+
+
+def _beside(docs: DataFrame, spans: DataFrame, name: str) -> DataFrame:
     text = F.coalesce(F.col("text"), F.lit(""))
-    spans = repeated_spans(docs.select("doc_id", whole_text()), length)
     own = docs.withColumns({"_doc": F.coalesce(F.col("doc_id").cast("long"), F.lit(-(1 << 62))), "_mark": F.hash(text)})
-    spans = spans.select(F.col("doc").alias("_doc"), F.col("mark").alias("_mark"), F.col("spans").alias("repeated_spans"))
+    spans = spans.select(F.col("doc").alias("_doc"), F.col("mark").alias("_mark"), F.col("spans").alias(name))
     return own.join(spans, ["_doc", "_mark"], "left").drop("_doc", "_mark")
 
 
-def cut_texts(docs: DataFrame, length: int = LENGTH) -> DataFrame:
-    """All rows and columns of *docs*, their texts without the repeated bytes.  A
-    character of which only a part repeats stays.  A NULL text stays NULL."""
-    rows, names = with_spans(docs, length), docs.columns
+def _settled_spans(docs: DataFrame, length: int, words: bool) -> DataFrame:
+    """``repeated_spans``, without the tables written on the way."""
+    paths: list[str] = []
+    with recorded(paths):
+        spans = settle(repeated_spans(docs.select("doc_id", whole_text()), length, words))
+    forget(docs.sparkSession, paths[:-1])
+    return spans
+
+
+def cut_texts(docs: DataFrame, length: int = LENGTH, words: int | None = None) -> DataFrame:
+    """All rows and columns of *docs*, their texts without the repeated bytes: those in
+    strings of *length* bytes and, if *words* is given, in passages of so many words.
+
+    A character of which only a part repeats stays.  Words are equal by their bytes,
+    whatever white space is between them.  A NULL text stays NULL."""
+    rows, names = _beside(docs, _settled_spans(docs, length, False), "repeated_spans"), docs.columns
+    if words:
+        rows = _beside(rows, _settled_spans(docs, words, True), "repeated_words")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             texts = batch.column("text").to_pylist()
-            for i, spans in enumerate(batch.column("repeated_spans").to_pylist()):
-                if spans:
+            by_word = batch.column("repeated_words").to_pylist() if words else [None] * len(texts)
+            for i, (spans, passages) in enumerate(zip(batch.column("repeated_spans").to_pylist(), by_word, strict=True)):
+                if spans or passages:
                     data, at, kept = texts[i].encode(), 0, []
-                    for span in spans:
-                        start, end = span["start"], span["end"]
+                    ranges = [(s["start"], s["end"]) for s in spans or ()]
+                    if passages:
+                        starts, ends = word_bounds(data)
+                        ranges += [(int(starts[s["start"]]), int(ends[s["end"] - 1])) for s in passages]
+                    for start, end in union(ranges):
                         while start < end and data[start] & 0xC0 == 0x80:
                             start += 1
                         while end > start and end < len(data) and data[end] & 0xC0 == 0x80:

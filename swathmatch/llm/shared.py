@@ -56,7 +56,7 @@ def recorded(paths: list[str]) -> Iterator[None]:
     try:
         yield
     finally:
-        _RECORDING.remove(paths)
+        _RECORDING.pop()
 
 
 def forget(spark: SparkSession, paths: list[str]) -> None:

@@ -1,5 +1,6 @@
 import hashlib
 import random
+import re
 from collections import Counter
 
 import pytest
@@ -79,3 +80,46 @@ def test_query(spark, tmp_path):
     spark.createDataFrame(rows, SCHEMA).write.parquet(str(tmp_path / "documents.parquet"))
     got = QUERIES["op3_suffix_dedup"](spark, str(tmp_path)).select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
     assert sorted((tuple(r) for r in got.collect()), key=repr) == brute(rows, 400)
+
+
+def without_passages(texts, length):
+    """Each text without the words covered by a string of *length* words that occurs twice."""
+    found = [list(re.finditer(r"[^\x20\x09-\x0D]+", t)) for t in texts]
+    count = Counter(tuple(m[0] for m in w[s : s + length]) for w in found for s in range(len(w) - length + 1))
+    out = []
+    for t, w in zip(texts, found, strict=True):
+        gone, lost = bytearray(len(t)), bytearray(len(w))
+        for s in range(len(w) - length + 1):
+            if count[tuple(m[0] for m in w[s : s + length])] > 1:
+                lost[s : s + length] = b"\x01" * length
+        for k in (k for k, x in enumerate(lost) if x):
+            # and the white space between two such words
+            a, b = w[k - 1].end() if k and lost[k - 1] else w[k].start(), w[k].end()
+            gone[a:b] = b"\x01" * (b - a)
+        out.append("".join(c for c, g in zip(t, gone, strict=True) if not g))
+    return out
+
+
+@pytest.mark.parametrize(("seed", "length"), [(6, 51), (7, 20), (8, 5)])
+def test_passages_of_words_equal_counting_all(spark, seed, length):
+    ship(spark)
+    rng = random.Random(seed)
+    text = lambda k: "".join(rng.choice(["a", "bé", "c", "d", "ee", "日"]) + rng.choice([" ", " ", "\n", " \t"]) for _ in range(k))
+    passages = [text(rng.randint(length - 3, 3 * length)) for _ in range(6)]
+    texts = []
+    for _ in range(60):
+        parts = [rng.choice([text(rng.randint(0, 60)), rng.choice(passages), rng.choice(passages)[2 * rng.randint(0, 9) :]]) for _ in range(rng.randint(0, 4))]
+        texts.append("".join(parts).strip() if rng.random() < 0.5 else " ".join(parts))
+    texts += ["", " \n", "w " * 200, "v " * length, "u " * (length - 1), texts[0], texts[1] + " end"]
+    docs = spark.createDataFrame([*enumerate(texts), (900, None)], SCHEMA)
+    # no string of so many bytes repeats, so only words count
+    got = {r.doc_id: r.text for r in repeats.cut_texts(docs, 100_000, length).collect()}
+    assert got.pop(900) is None
+    assert [got[i] for i in range(len(texts))] == without_passages(texts, length)
+
+
+def test_word_bounds_and_identifiers_see_the_same_words():
+    for data in (b"", b" ", b"a", b" a\x0bb\x0c c\x1c\x85d\r\n", "é  ü\tß".encode()):
+        starts, ends = repeats.word_bounds(data)
+        assert [data[a:b] for a, b in zip(starts, ends, strict=True)] == data.split()
+        assert len(repeats.word_ids(data)) == 8 * len(starts)
