@@ -2,8 +2,9 @@
 
 Each document's shares of character classes and of common words are compared with
 the mean shares of every language's documents by Jensen-Shannon distance; a text
-far from all of them is not kept.  Short texts have too few signs for that and are
-judged by their counts alone.
+far from all of them is not kept.  The fewer words a text has, the farther chance
+takes its shares of common words, so short texts have a wider limit.  Texts below
+LEAST_WORDS fail by their counts.
 
 DataFrame functions only: nothing leaves the JVM.
 """
@@ -30,9 +31,12 @@ COMMON = {
     "fr": ("de", "la", "le", "et", "les", "des", "en", "un", "du", "une", "que", "est", "pour", "qui", "dans", "par"),
 }
 # words from which shares of character classes and of common words mean something
-CLASS_WORDS, COMMON_WORDS = 50, 200
+CLASS_WORDS, COMMON_WORDS = 50, 50
 # distances (0 to 1) beyond which a text is too far from every language
 CLASS_LIMIT, COMMON_LIMIT = 0.30, 0.27
+# words from which COMMON_LIMIT holds as it is; below, its square is wider by COMMON_SPREAD
+# times what 1 / words is more than there, as the squared distance of a sample grows
+SETTLED_WORDS, COMMON_SPREAD = 200, 1.4
 
 
 def _repeated_words(words: Column) -> Column:
@@ -118,6 +122,12 @@ def nearest(column: str) -> Column:
     return F.array_min(F.transform("refs", lambda r: distance(F.col(column), r[column])))
 
 
+def common_limit(n: Column) -> Column:
+    """Limit of the distance of common words for a text of *n* words."""
+    more = F.greatest(1 / F.greatest(n, F.lit(1)) - 1 / SETTLED_WORDS, F.lit(0.0))
+    return F.sqrt(COMMON_LIMIT**2 + COMMON_SPREAD * more)
+
+
 def judged(docs: DataFrame) -> DataFrame:
     """One row for each row of *docs*: doc_id, n_words, word_chars, n_symbols,
     n_dup_lines, n_repeat_words, base_failed, class_distance, common_distance, kept.
@@ -131,6 +141,6 @@ def judged(docs: DataFrame) -> DataFrame:
     found = settle(features(docs))
     rows = attach_single(found, references(found)).withColumns({"class_distance": nearest("classes"), "common_distance": nearest("common")})
     far = ((F.col("n_words") >= CLASS_WORDS) & (F.coalesce("class_distance", F.lit(0.0)) > CLASS_LIMIT)) | (
-        (F.col("n_words") >= COMMON_WORDS) & (F.coalesce("common_distance", F.lit(0.0)) > COMMON_LIMIT))
+        (F.col("n_words") >= COMMON_WORDS) & (F.coalesce("common_distance", F.lit(0.0)) > common_limit(F.col("n_words"))))
     return rows.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "class_distance",
                        "common_distance", (~F.col("base_failed") & ~far).alias("kept"))

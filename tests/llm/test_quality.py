@@ -72,5 +72,21 @@ def test_junk_goes_and_clean_texts_stay(spark):
     assert kept[1] > 0.998 and kept[0] < 0.5
 
 
+def test_junk_goes_in_each_class_of_length(spark):
+    folder = "/root/testdata/sf0.1"
+    labels = spark.read.parquet(f"{folder}/labels.parquet")
+    out = QUERIES["op9_quality"](spark, folder).filter("NOT base_failed").join(labels, "doc_id")
+    short = (F.col("n_words") < 200).alias("short")
+    r = out.groupBy(short, "quality").agg(F.avg(F.col("kept").cast("int")).alias("kept")).collect()
+    kept = {(x.short, x.quality): x.kept for x in r}
+    assert kept[True, 0] < 0.25 and kept[False, 0] < 0.03
+    assert kept[True, 1] > 0.995 and kept[False, 1] > 0.998
+
+
+def test_limit_of_common_words_widens_for_short_texts(spark):
+    got = [r[0] for r in spark.createDataFrame([(50,), (100,), (199,), (200,), (5000,)], "n long").select(quality.common_limit(F.col("n"))).collect()]
+    assert got == sorted(got, reverse=True) and abs(got[0] - 0.3065) < 1e-3 and abs(got[3] - 0.27) < 1e-9 and got[4] == got[3]
+
+
 def test_empty_table(spark):
     assert quality.judged(spark.createDataFrame([], SCHEMA)).count() == 0
