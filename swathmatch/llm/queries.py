@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from swathmatch.llm import bpe, chat, html_text, knn, ngram_join, packing, quality, repeats, secrets, toxicity
+from swathmatch.llm import bpe, chat, html_text, knn, ngram_join, packing, pieces, quality, repeats, secrets, toxicity
 from swathmatch.llm.shared import ship, table
 
 QUERIES = {}
@@ -89,3 +89,8 @@ def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op10_html(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_text.extract(table(spark, sf_dir, "pages"))
+
+
+@query
+def op12_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pieces.digests(table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
