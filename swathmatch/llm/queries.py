@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from swathmatch.llm import bpe, chat, html_text, knn, ngram_join, packing, pieces, quality, repeats, secrets, toxicity
+from swathmatch.llm import bpe, chat, html_text, knn, ngram_join, packing, pieces, quality, repeats, search, secrets, toxicity, trie
 from swathmatch.llm.shared import ship, table
 
 QUERIES = {}
@@ -94,3 +94,59 @@ def op10_html(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op12_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pieces.digests(table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
+
+
+@query
+def op11_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return search.search(search.build_index(table(spark, sf_dir, "documents")), table(spark, sf_dir, "benchmark"))
+
+
+SQL["op11_search"] = r"""
+    WITH d AS (SELECT doc_id, regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                                 '[0-9a-z\x{80}-\x{10FFFF}]+') AS words FROM documents WHERE text IS NOT NULL),
+    sized AS (SELECT doc_id, len(words) AS n FROM d WHERE len(words) > 0),
+    corpus AS (SELECT count(*) AS n_docs, sum(n) AS n_words FROM sized),
+    posting AS (SELECT doc_id, term, count(*) AS tf FROM (SELECT doc_id, unnest(words) AS term FROM d) GROUP BY ALL),
+    weight AS (SELECT term, CAST(floor(1000 * ln((2 * n_docs + 2) / CAST(2 * count(*) + 1 AS DOUBLE))) AS BIGINT) AS w
+               FROM posting, corpus GROUP BY term, n_docs),
+    asked AS (SELECT DISTINCT item_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                                                 '[0-9a-z\x{80}-\x{10FFFF}]+')) AS term FROM benchmark),
+    scored AS (SELECT item_id, doc_id, CAST(sum(w * ((1000000000 * tf) // (1000 * tf + 20 * (50 + (50 * n * n_docs) // n_words)))) AS BIGINT) AS score
+               FROM asked JOIN weight USING (term) JOIN posting USING (term) JOIN sized USING (doc_id), corpus GROUP BY item_id, doc_id),
+    ranked AS (SELECT *, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS rank FROM scored WHERE score > 0)
+    SELECT item_id, CAST(rank AS INTEGER) AS rank, doc_id, score FROM ranked WHERE rank <= 50"""
+
+
+@query
+def op13_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = trie.prefix_trie(*trie.with_openings(trie.turns(table(spark, sf_dir, "conversations"))))
+    return found.drop("node", "parent")
+
+
+SQL["op13_trie"] = """
+    WITH own AS (SELECT conv_id, struct_pack(said_by := coalesce(role, ''), said := coalesce(text, '')) AS t,
+                        row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST) - 1 AS pos
+                 FROM conversations WHERE conv_id IS NOT NULL),
+    conv AS (SELECT conv_id, count(*) AS n, conv_id - conv_id % 100 AS base,
+                    xor(list_reduce(list_prepend(CAST(4294967295 AS BIGINT), range(0, 8 * len(CAST(conv_id AS VARCHAR)))), lambda r, i:
+                        ((CASE WHEN i % 8 = 0 THEN xor(r, ascii(substr(CAST(conv_id AS VARCHAR), i // 8 + 1, 1))) ELSE r END) >> 1)
+                        .xor(3988292384 * ((CASE WHEN i % 8 = 0 THEN xor(r, ascii(substr(CAST(conv_id AS VARCHAR), i // 8 + 1, 1))) ELSE r END) & 1))),
+                        4294967295) % 6 AS h
+             FROM own GROUP BY conv_id),
+    said AS (SELECT c.conv_id, o.pos, o.t FROM conv AS c JOIN own AS o ON o.conv_id = c.base WHERE o.pos < c.h
+             UNION ALL SELECT c.conv_id, o.pos + 1000000, o.t FROM conv AS c JOIN own AS o ON o.conv_id = c.conv_id WHERE o.pos >= c.h),
+    whole AS (SELECT c.conv_id, coalesce(s.ts, []) AS ts
+              FROM conv AS c LEFT JOIN (SELECT conv_id, list(t ORDER BY pos) AS ts FROM said GROUP BY conv_id) AS s USING (conv_id)),
+    part AS (SELECT conv_id, ts, unnest(range(0, len(ts) + 1)) AS depth FROM whole),
+    node AS (SELECT ts[1:depth] AS prefix, depth, min(conv_id) AS conv_id, count(*) AS n_convs,
+                    sha256(coalesce(string_agg(CASE WHEN len(ts) = depth THEN CAST(conv_id AS VARCHAR) END, ',' ORDER BY conv_id), '')) AS ends_sha256
+             FROM part GROUP BY ts[1:depth], depth),
+    child AS (SELECT prefix[1:depth - 1] AS prefix, depth - 1 AS depth, count(*) AS n FROM node WHERE depth > 0 GROUP BY ALL),
+    full_node AS (SELECT node.*, coalesce(child.n, 0) AS n_children,
+                         CASE WHEN node.depth > 0 THEN (n_convs - 1) * length(node.prefix[node.depth].said) ELSE 0 END AS saved
+                  FROM node LEFT JOIN child ON child.depth = node.depth AND child.prefix = node.prefix),
+    subtree AS (SELECT v.prefix, v.depth, count(*) FILTER (WHERE u.n_children = 0) AS n_leaves, CAST(sum(u.saved) AS BIGINT) AS saved_tokens
+                FROM full_node AS v JOIN full_node AS u ON u.prefix[1:v.depth] = v.prefix GROUP BY v.prefix, v.depth)
+    SELECT v.conv_id, v.depth, up.conv_id AS parent_conv_id, v.n_convs, v.n_children, s.n_leaves, s.saved_tokens, v.ends_sha256
+    FROM full_node AS v JOIN subtree AS s ON s.depth = v.depth AND s.prefix = v.prefix
+    LEFT JOIN node AS up ON up.depth = v.depth - 1 AND up.prefix = v.prefix[1:v.depth - 1]"""
