@@ -19,12 +19,14 @@ from swathmatch.functions.geo import (
     bearing_deg, destination_point, haversine_km, in_box, point_in_polygon, segment_distance_km,
 )
 from swathmatch.operators.ordered import micros, run_numbers, with_neighbours
+from swathmatch.operators.overlap import Axis, overlap_counts, overlap_join
 from swathmatch.operators.skew import attach_single, salted_join
 from swathmatch.operators.spatial import MINUTE, radius_pairs
 
 TILE = 5.0
 BAND_DEG = 10.0
 DAY = 86_400_000_000
+_EVERYWHERE = 360.0
 
 
 def _tile(x: Column) -> Column:
@@ -71,31 +73,18 @@ def point_in_polygon_join(points: DataFrame, shapes: DataFrame, polygon: str = "
     return inside.unionByName(everywhere)
 
 
-def box_overlap_join(left: DataFrame, right: DataFrame, times: bool = False, slot: int = DAY) -> DataFrame:
+BOX = (Axis("min_lon", "max_lon", "r_min_lon", "r_max_lon"), Axis("min_lat", "max_lat", "r_min_lat", "r_max_lat"))
+WINDOW = Axis("start", "end", "r_start", "r_end", time=True)
+
+
+def box_overlap_join(left: DataFrame, right: DataFrame, times: bool = False) -> DataFrame:
     """J13 (and J22 with *times*): boxes that meet, edges included.
 
     Both sides carry ``min_lon ... max_lat``, the right one with prefix ``r_``.
-    With *times* also ``start, end`` / ``r_start, r_end`` must meet (J15), by time
-    slots of *slot* microseconds.  A pair
-    meeting in several tiles (and days) counts in the one of the lowest corner
-    of the intersection, so nothing has to be de-duplicated.
+    With *times* also ``start, end`` / ``r_start, r_end`` must meet (J15).  Boxes of
+    every size go through one join, each listed by its own size (``overlap_join``).
     """
-    lhs = _with_tiles(left, "min_lon", "max_lon", "min_lat", "max_lat")
-    rhs = _with_tiles(right, "r_min_lon", "r_max_lon", "r_min_lat", "r_max_lat")
-    keys = ["_tx", "_ty"]
-    home = (F.col("_tx") == _tile(F.greatest("min_lon", "r_min_lon"))) & (
-        F.col("_ty") == _tile(F.greatest("min_lat", "r_min_lat")))
-    meet = (
-        (F.col("max_lon") >= F.col("r_min_lon")) & (F.col("min_lon") <= F.col("r_max_lon"))
-        & (F.col("max_lat") >= F.col("r_min_lat")) & (F.col("min_lat") <= F.col("r_max_lat"))
-    )
-    if times:
-        lhs, rhs = _closed(lhs, rhs)
-        lhs, rhs = _with_days(lhs, "start", "end", slot), _with_days(rhs, "r_start", "r_end", slot)
-        keys.append("_day")
-        home = home & (F.col("_day") == _day(F.greatest("start", "r_start"), slot))
-        meet = meet & windows_overlap("start", "end", "r_start", "r_end")
-    return lhs.join(rhs, keys).filter(home & meet).drop(*keys)
+    return overlap_join(left, right, (WINDOW, *BOX) if times else BOX)
 
 
 def windows_overlap(a_start: str, a_end: str, b_start: str, b_end: str) -> Column:
@@ -103,43 +92,13 @@ def windows_overlap(a_start: str, a_end: str, b_start: str, b_end: str) -> Colum
     return (F.col(a_start) <= F.col(b_end)) & (F.col(b_start) <= F.col(a_end))
 
 
-def _day(t: Column, slot: int = DAY) -> Column:
-    return F.floor(F.unix_micros(t.cast("timestamp")) / F.lit(slot)).cast("bigint")
-
-
-def _with_days(df: DataFrame, lo: str, hi: str, slot: int = DAY) -> DataFrame:
-    forward = df.filter(F.col(lo) <= F.col(hi))
-    return forward.withColumn("_day", F.explode(F.sequence(_day(F.col(lo), slot), _day(F.col(hi), slot))))
-
-
-def _closed(left: DataFrame, right: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Both sides with the open (NULL) ends of their windows moved out to the first
-    start and the last end there is, so far that they cut nothing off."""
-    ends = left.select(F.col("start").alias("s"), F.col("end").alias("e")).unionByName(
-        right.select(F.col("r_start").alias("s"), F.col("r_end").alias("e")))
-    limits = ends.agg(F.min(F.least("s", "e")).alias("_first"), F.max(F.greatest("s", "e")).alias("_last"))
-
-    def close(df: DataFrame, lo: str, hi: str) -> DataFrame:
-        return attach_single(df, limits).withColumns({
-            lo: F.coalesce(lo, "_first"), hi: F.coalesce(hi, "_last")}).drop("_first", "_last")
-
-    return close(left, "start", "end"), close(right, "r_start", "r_end")
-
-
-def interval_overlap_join(left: DataFrame, right: DataFrame, by: Sequence[str] = (),
-                          slot: int = DAY) -> DataFrame:
-    """Windows that overlap; each pair counts in its first common time slot.
+def interval_overlap_join(left: DataFrame, right: DataFrame, by: Sequence[str] = ()) -> DataFrame:
+    """Windows that overlap, each pair once, whatever their lengths (``overlap_join``).
 
     A NULL start or end is open: it meets whatever there is on that side.  A window
-    that ends before it starts meets nothing.  *slot* should be near the length of
-    the longer windows: a window costs one row per slot it touches.
+    that ends before it starts meets nothing.
     """
-    left, right = _closed(left, right)
-    lhs, rhs = _with_days(left, "start", "end", slot), _with_days(right, "r_start", "r_end", slot)
-    return salted_join(lhs, rhs, [*by, "_day"]).filter(
-        windows_overlap("start", "end", "r_start", "r_end")
-        & (F.col("_day") == _day(F.greatest("start", "r_start"), slot))
-    ).drop("_day")
+    return overlap_join(left, right, (WINDOW,), by)
 
 
 def point_in_footprint_join(points: DataFrame, footprints: DataFrame,
@@ -181,21 +140,22 @@ def index_match(index: DataFrame, requests: DataFrame) -> DataFrame:
     """Platform files for requests: common parameter, time and box overlap.
 
     A file whose own box spans more than 180 degrees crossed the date line and
-    matches any longitude.  Platforms live for years, so time slots are 90 days.
-    Their boxes are as wide as oceans: tiles would list each under thousands, so
-    time slots and lanes are the keys.
+    matches any longitude; a request with ``r_min_lon > r_max_lon`` lies across it, as
+    two boxes.  Time and both sides of the boxes are keys, each by its own size, so
+    platforms that live for years in ocean-wide boxes are listed under few of them.
     """
-    rows = index.withColumnsRenamed({"time_start": "start", "time_end": "end"})
-    pairs = interval_overlap_join(rows, requests, slot=90 * DAY)
-    across = F.when(
-        F.col("r_min_lon") <= F.col("r_max_lon"),
-        (F.col("lon_max") >= F.col("r_min_lon")) & (F.col("lon_min") <= F.col("r_max_lon")),
-    ).otherwise((F.col("lon_max") >= F.col("r_min_lon")) | (F.col("lon_min") <= F.col("r_max_lon")))
-    return pairs.filter(
-        F.arrays_overlap("parameters", "wanted")
-        & (F.col("lat_max") >= F.col("r_min_lat")) & (F.col("lat_min") <= F.col("r_max_lat"))
-        & ((F.col("lon_max") - F.col("lon_min") > 180) | across)
-    )
+    around = F.col("lon_max") - F.col("lon_min") > 180
+    rows = index.withColumnsRenamed({"time_start": "start", "time_end": "end"}).withColumns({
+        "_w": F.when(around, -_EVERYWHERE).otherwise(F.col("lon_min")), "_e": F.when(around, _EVERYWHERE).otherwise(F.col("lon_max"))})
+    west, east = F.col("r_min_lon"), F.col("r_max_lon")
+    parts = F.when(west <= east, F.array(F.struct(F.lit(0).alias("part"), west.alias("w"), east.alias("e")))).otherwise(F.array(
+        F.struct(F.lit(0).alias("part"), west.alias("w"), F.lit(_EVERYWHERE).alias("e")),
+        F.struct(F.lit(1).alias("part"), F.lit(-_EVERYWHERE).alias("w"), east.alias("e"))))
+    asked = requests.select("*", F.explode(parts).alias("_p")).select(*requests.columns, F.col("_p.part").alias("_part"), F.col("_p.w").alias("_rw"), F.col("_p.e").alias("_re"))
+    axes = (WINDOW, Axis("_w", "_e", "_rw", "_re"), Axis("lat_min", "lat_max", "r_min_lat", "r_max_lat"))
+    # a file that meets both parts of a request counts with the first
+    once = (F.col("_part") == 0) | (F.col("_e") < west)
+    return overlap_join(rows, asked, axes).filter(F.arrays_overlap("parameters", "wanted") & once).drop("_w", "_e", "_part", "_rw", "_re")
 
 
 def station_window_match(stations: DataFrame, footprints: DataFrame, tolerance_minutes: float,
@@ -539,18 +499,13 @@ def combined_verdict(parts: DataFrame) -> DataFrame:
 def model_coverage(footprints: DataFrame, coverage: DataFrame) -> DataFrame:
     """A22 for models: only time coverage counts; an open end is no limit.
 
-    *coverage*: ``source_type, coverage_start, coverage_end`` (a few rows).
+    *coverage*: ``source_type, coverage_start, coverage_end``.  Footprints are counted by
+    running sums (``overlap_counts``), not by their pairs.
     """
-    # an open end reaches as far as any footprint does
-    limits = footprints.agg(F.min("sensing_start").alias("_first"), F.max("sensing_end").alias("_last"))
-    spans = attach_single(coverage, limits).select(
-        "source_type", F.coalesce("coverage_start", "_first").alias("r_start"),
-        F.coalesce("coverage_end", "_last").alias("r_end"))
-    seen = footprints.select(F.col("sensing_start").alias("start"), F.col("sensing_end").alias("end"))
-    inside = interval_overlap_join(seen, spans, slot=30 * DAY).groupBy("source_type").agg(
-        F.count("*").alias("n_footprints"))
-    rows = attach_single(coverage.join(inside, "source_type", "left"), footprints.agg(F.count("*").alias("_n")))
-    n = F.coalesce("n_footprints", F.lit(0))
+    spans = coverage.select("source_type", F.col("coverage_start").alias("start"), F.col("coverage_end").alias("end"))
+    seen = footprints.select(F.col("sensing_start").alias("start"), F.col("sensing_end").alias("end")).filter("start IS NOT NULL AND end IS NOT NULL")
+    rows = attach_single(overlap_counts(spans, seen, "n_footprints"), footprints.agg(F.count("*").alias("_n")))
+    n = F.col("n_footprints")
     return rows.select("source_type", F.when(F.coalesce("_n", F.lit(0)) == 0, "unknown")
                        .when(n > 0, "collocated").otherwise("none-predicted").alias("verdict"), n.alias("n_footprints"))
 
