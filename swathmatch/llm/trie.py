@@ -100,16 +100,16 @@ def _laid_out(frames: Iterator[pd.DataFrame], size: int) -> Iterator[pd.DataFram
     """Packed digests and lengths of segments, and the sum of their turns' marks."""
     for frame in frames:
         said = [np.frombuffer(bytes.fromhex(x), "<u8").reshape(-1, 2) for x in frame["said"]]
-        sums = [_marks(s, int(k) * size).sum(axis=0) & 0xFFFFFFFF for s, k in zip(said, frame["segment"], strict=True)]
+        sums = [_marks(s, int(k) * size + np.arange(len(s))).sum(axis=0) & 0xFFFFFFFF for s, k in zip(said, frame["segment"], strict=True)]
         yield pd.DataFrame({"conv": frame["conv"], "segment": frame["segment"], "n": [len(s) for s in said], "said": [s.tobytes() for s in said],
                             "chars": [np.asarray(c, "<i8").tobytes() for c in frame["chars"]],
                             **{c: [int(s[k]) for s in sums] for k, c in enumerate(LANES)}})
 
 
-def _marks(said: np.ndarray, first: int) -> np.ndarray:
+def _marks(said: np.ndarray, pos: np.ndarray) -> np.ndarray:
     """Four 32-bit numbers for each turn, from its digest and its place; their sums over
     a prefix, modulo 2^32, are the identity of that prefix."""
-    place = _mixed(np.arange(first + 1, first + 1 + len(said), dtype=np.uint64))
+    place = _mixed(pos.astype(np.uint64) + np.uint64(1))
     x, y = _mixed(said[:, 0] ^ place), _mixed(said[:, 1] + place)
     return np.stack([x >> np.uint64(32), x & np.uint64(0xFFFFFFFF), y >> np.uint64(32), y & np.uint64(0xFFFFFFFF)], axis=1).astype(np.int64)
 
@@ -156,10 +156,7 @@ def _matrix(frame: pd.DataFrame, size: int) -> _Matrix:
     chars[filled] = np.frombuffer(b"".join(frame["chars"]), "<i8")
     marks = np.zeros((rows, width + 1, 4), np.int64)
     marks[:, 0] = ahead
-    inner = marks[:, 1:]
-    bounds = np.concatenate([[0], np.cumsum(n)])
-    for r in range(rows):
-        inner[r, : n[r]] = _marks(said[bounds[r] : bounds[r + 1]], int(first[r]))
+    marks[:, 1:][filled] = _marks(said, (first[:, None] + np.arange(width))[filled])
     sums = np.cumsum(marks, axis=1) & 0xFFFFFFFF
     _, prefix = np.unique(np.column_stack([first, ahead]), axis=0, return_inverse=True)
     prefix = prefix.reshape(-1)
@@ -225,7 +222,9 @@ def _hanging(frames: Iterator[pd.DataFrame], size: int, most: int) -> Iterator[p
 
 def _dealt(segments: DataFrame) -> DataFrame:
     """Segments by ranges of their prefixes; equal ones are spread by their conversations."""
-    return segments.repartitionByRange("segment", *[f"{c}_ahead" for c in LANES], "said", "conv")
+    # a number given, as a matrix costs more than its few bytes tell
+    parts = int(segments.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return segments.repartitionByRange(parts, "segment", *[f"{c}_ahead" for c in LANES], "said", "conv")
 
 
 def _listed(ends: DataFrame, most: int) -> DataFrame:
