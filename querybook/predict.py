@@ -116,13 +116,16 @@ def _swept(side: str) -> str:
     return destination_sql("n.lat", "n.lon", f"(heading + {side})", "(off * i / steps)")
 
 
-def _track_sql() -> str:
+DIAMOND = ("lat0 + 5 AS qlat1, lon0 AS qlon1, lat0 AS qlat2, lon0 + 6 AS qlon2, lat0 - 5 AS qlat3, lon0 AS qlon3, lat0 AS qlat4, lon0 - 6 AS qlon4")
+
+
+def track_sql(ring: str = DIAMOND) -> str:
     (pla, plo), (mla, mlo) = _swept("90"), _swept("-90")
     return f"""WITH nb AS (SELECT *, lead(lat) OVER w AS nla, lead(lon) OVER w AS nlo, lag(lat) OVER w AS pla, lag(lon) OVER w AS plo, lead(t) OVER w AS nt, lag(t) OVER w AS pt
          FROM samples WINDOW w AS (PARTITION BY satellite ORDER BY t)),
     n AS (SELECT *, coalesce({bearing_sql('lat', 'lon', 'nla', 'nlo')}, {bearing_sql('pla', 'plo', 'lat', 'lon')}) AS heading FROM nb),
     tg AS (SELECT target_id, satellite, shape, "start" AS ts, "end" AS te, lat0, lon0, min_lon AS tmin_lon, max_lon AS tmax_lon, min_lat AS tmin_lat, max_lat AS tmax_lat,
-                  lat0 + 5 AS qlat1, lon0 AS qlon1, lat0 AS qlat2, lon0 + 6 AS qlon2, lat0 - 5 AS qlat3, lon0 AS qlon3, lat0 AS qlat4, lon0 - 6 AS qlon4 FROM targets),
+                  {ring} FROM targets),
     known AS (SELECT tg.*, length(satellite) * 10e0 + {_MARGIN}e0 AS off FROM tg WHERE satellite IN (SELECT satellite FROM samples)),
     j AS (SELECT k.*, n.t, n.pt, n.lat, n.lon, n.nla, n.nlo, n.pla, n.plo, n.heading, greatest(1, ceil(k.off / 50e0)) AS steps
           FROM known AS k JOIN n ON n.satellite = k.satellite AND n.t BETWEEN k.ts AND k.te),
@@ -143,12 +146,12 @@ def _track_sql() -> str:
               UNION ALL SELECT target_id, epoch_us(ts), epoch_us(te) FROM cnt WHERE c < 2)"""
 
 
-@query("j17_track_match", "target_id:i from_us:i to_us:i", _track_sql() + "\n--select\nSELECT * FROM track", "samples targets")
+@query("j17_track_match", "target_id:i from_us:i to_us:i", track_sql() + "\n--select\nSELECT * FROM track", "samples targets")
 def j17(t):
     return predict.track_match(t.samples, _shapes(t), _swaths(t), _MARGIN)
 
 
-@query("j23_track_prefilter", "file_name:i", _track_sql() + """
+@query("j23_track_prefilter", "file_name:i", track_sql() + """
 --select
 SELECT DISTINCT target_id AS file_name FROM track WHERE target_id % 7 <> 0 UNION ALL SELECT target_id FROM tg WHERE target_id % 7 = 0""", "samples targets")
 def j23(t):

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from querybook import query
 from querybook.joins import EQUAL_25, radius_sql
-from querybook.statistics import CIRCULAR_LAST, LAND_QA_SQL, _RESCALED, circular_steps, linear_sql
+from querybook.statistics import CIRCULAR_LAST, LAND_QA_SQL, RESCALED, circular_steps, linear_sql
 from querybook.tables import mod
 from swathmatch.operators import predict, report, spatial, stats
 from swathmatch.operators.ordered import keep_first, micros, with_neighbours
@@ -219,7 +219,7 @@ def t15(t):
     return report.density_class(t.pairs)
 
 
-@query("t16_report_sections", "section:s g:s n:i s:d", f"""WITH {_RESCALED}
+@query("t16_report_sections", "section:s g:s n:i s:d", f"""WITH {RESCALED}
 --select
 SELECT 'matched' AS section, g, count(*) AS n, avg(s) AS s FROM resc WHERE g <> 'cds_ssm' GROUP BY g
 UNION ALL SELECT 'native', val_source, count(*), avg(sar_sarSSM) FROM soil WHERE val_source = 'ascat_ssm' GROUP BY val_source

@@ -7,6 +7,9 @@ from pyspark.sql import functions as F
 from querybook import query
 from querybook.tables import mod
 from swathmatch.operators import stats
+from swathmatch.session import scratch_folder
+from swathmatch.sources.readers import read_field_map
+from swathmatch.sources.sinks import sink_field_map
 
 METRICS = "source:s N:i bias:d std:d rmse:d correlation:d scatter_index:d"
 
@@ -110,10 +113,10 @@ def mapped(x: str, k: str) -> str:
     return f"{k}.av + ({k}.bv - {k}.av) * ({x} - {k}.a) / ({k}.b - {k}.a)"
 
 
-_SOIL = "soil_rows AS (SELECT val_source AS g, sar_sarSSM AS s, val_SOIL_MOISTURE AS v FROM soil)"
+SOIL = "soil_rows AS (SELECT val_source AS g, sar_sarSSM AS s, val_SOIL_MOISTURE AS v FROM soil)"
 
 
-@query("a7_cdf_match", "g:s s:d v:d m:d", f"""WITH {_SOIL}, {knots_sql('soil_rows')}
+@query("a7_cdf_match", "g:s s:d v:d m:d", f"""WITH {SOIL}, {knots_sql('soil_rows')}
 --select
 SELECT r.g, s, v, {mapped('s', 'k')} AS m FROM soil_rows AS r LEFT JOIN knots AS k ON k.g = r.g AND {piece('s', 'k')} WHERE s IS NOT NULL AND v IS NOT NULL""",
        "soil")
@@ -125,6 +128,22 @@ def a7(t):
                       stats.cdf_apply(F.col("sar_sarSSM"), F.col("knots")).alias("m"))
 
 
+POOLED_MAP = f"""ref AS (SELECT * FROM soil_rows WHERE g = 'ismn'), {knots_sql('ref', 'rk')},
+    pool AS (SELECT 0 AS g, r.s, CASE WHEN r.g <> 'ascat_ssm' THEN r.v WHEN r.s IS NOT NULL THEN {mapped('r.v', 'k')} END AS v
+             FROM soil_rows AS r LEFT JOIN rk AS k ON r.g = 'ascat_ssm' AND {piece('r.v', 'k')}), {knots_sql('pool', 'pk')}"""
+
+
+@query("a7_pooled_field_map", "scene:s y:i x:i raw:d mapped:d", f"""WITH {SOIL}, {POOLED_MAP}, field AS (SELECT scene, y, x, owiWindSpeed * 1.5e0 AS raw FROM cells)
+--select
+SELECT scene, y, x, raw, {mapped('raw', 'k')} AS mapped FROM field LEFT JOIN pk AS k ON {piece('raw', 'k')}""", "soil cells")
+def a7_field(t):
+    """One map of all harmonised pairs, written, read back and laid over a scene field."""
+    path = scratch_folder(t.spark)
+    sink_field_map(stats.fit_field_map(t.soil, "sar_sarSSM", "val_SOIL_MOISTURE", "%"), path)
+    field = t.cells.select("scene", "y", "x", (F.col("owiWindSpeed") * 1.5).alias("raw"))
+    return stats.apply_field_map(field, read_field_map(t.spark, path), "raw", "mapped")
+
+
 @query("a8_soil_metrics", METRICS + " ubrmsd:d",
        linear_sql("SELECT val_source AS g, sar_sarSSM / 100e0 AS s, val_SOIL_MOISTURE AS v FROM soil", "g",
                   ", CASE WHEN count(*) > 1 THEN stddev_pop(s - v) END AS ubrmsd"), "soil")
@@ -133,7 +152,7 @@ def a8(t):
     return stats.linear_metrics(rows, "s", "val_SOIL_MOISTURE", ubrmsd=True)
 
 
-_HARMONIZED = f"""{_SOIL}, ref AS (SELECT * FROM soil_rows WHERE g = 'ismn'), {knots_sql('ref', 'rk')},
+_HARMONIZED = f"""{SOIL}, ref AS (SELECT * FROM soil_rows WHERE g = 'ismn'), {knots_sql('ref', 'rk')},
     harm AS (SELECT r.g, CASE WHEN r.g <> 'ascat_ssm' THEN r.s WHEN r.v IS NOT NULL THEN {mapped('r.s', 'k1')} END AS s,
                     CASE WHEN r.g <> 'ascat_ssm' THEN r.v WHEN r.s IS NOT NULL THEN {mapped('r.v', 'k2')} END AS v
              FROM soil_rows AS r LEFT JOIN rk AS k1 ON r.g = 'ascat_ssm' AND {piece('r.s', 'k1')}
@@ -148,18 +167,18 @@ def a9(t):
     return out.select(F.col("val_source").alias("g"), F.col("sar_sarSSM").alias("s"), F.col("val_SOIL_MOISTURE").alias("v"), "harmonized")
 
 
-_RESCALED = f"""{_HARMONIZED}, own AS (SELECT * FROM harm WHERE g <> 'ascat_ssm'), {knots_sql('own', 'ok')},
+RESCALED = f"""{_HARMONIZED}, own AS (SELECT * FROM harm WHERE g <> 'ascat_ssm'), {knots_sql('own', 'ok')},
     resc AS (SELECT h.g, CASE WHEN h.s IS NULL OR h.v IS NULL THEN NULL WHEN h.g = 'ascat_ssm' THEN h.s ELSE {mapped('h.s', 'k')} END AS s, h.v
              FROM harm AS h LEFT JOIN ok AS k ON k.g = h.g AND {piece('h.s', 'k')})"""
 
 
-@query("a11_rescaled_sar_column", "g:s s:d v:d", f"WITH {_RESCALED}\n--select\nSELECT g, s, v FROM resc", "soil")
+@query("a11_rescaled_sar_column", "g:s s:d v:d", f"WITH {RESCALED}\n--select\nSELECT g, s, v FROM resc", "soil")
 def a11(t):
     out = stats.rescaled_pairs(t.soil, "sar_sarSSM", "val_SOIL_MOISTURE", "%")
     return out.select(F.col("val_source").alias("g"), F.col("sar_sarSSM").alias("s"), F.col("val_SOIL_MOISTURE").alias("v"))
 
 
-@query("a10_soil_statistics", METRICS + " ubrmsd:d", f"WITH {_RESCALED}\n--select\n"
+@query("a10_soil_statistics", METRICS + " ubrmsd:d", f"WITH {RESCALED}\n--select\n"
        + linear_sql("SELECT * FROM resc", "g", ", CASE WHEN count(*) > 1 THEN stddev_pop(s - v) END AS ubrmsd") + " HAVING count(*) >= 2", "soil")
 def a10(t):
     return stats.soil_statistics(t.soil, "sar_sarSSM", "val_SOIL_MOISTURE", "%")

@@ -1,15 +1,17 @@
 """Joins of intervals and boxes of every size, over nested cells.
 
-An axis is cut into cells of rising width, each four times the one below.  An
-interval belongs to the level whose cells are just as wide as it is, where it touches
-two of them at most; it is also listed on the wider levels which the other side has
-intervals of.  Two intervals that meet do so on the level of the longer one, in the
-cell of the first point they share, so no pair has to be de-duplicated, and neither
-short nor long ones need a width chosen for them.
-
-The widest level is set by the data: cells of about a 256th of all there is, over all
-axes together.  What is longer is listed under several of those, so that not even
-the intervals without an end gather under one key.
+Time, and the plane of longitude and latitude, are cut into cells of rising width, each
+four times the one below.  An interval or a box belongs to the level whose cells are
+just as wide as it is, where it touches two of them at most along each axis; it is
+also listed on the wider levels which the other side has members of.  Two that meet do
+so on the level of the larger one, in the cell of the first place they share, so no
+pair has to be de-duplicated, and neither short nor long ones need a width chosen for
+them.
+
+The levels are set by the data.  The widest has cells of about a 256th of all there
+is, over all axes together: what is larger is listed under several of those, so that
+not even the intervals without an end gather under one key.  The narrowest has a few
+cells for each row of the smaller side: finer ones would only be more to list.
 """
 
 from __future__ import annotations
@@ -19,11 +21,13 @@ from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from swathmatch.operators.skew import attach_single, salted_join
+from swathmatch.operators.skew import LANES, attach_single
 
-# the widest cells: so many halvings of the whole extent, shared out among the axes
-HALVINGS = 8
+# the widest cells: so many halvings of the whole extent, shared out among the axes;
+# the narrowest: so many more than the smaller side has rows, in powers of two
+HALVINGS, FINER = 8, 3
 HOUR = 3_600_000_000
 _WHOLE = 62
 
@@ -55,6 +59,9 @@ class Axis(NamedTuple):
         return F.floor(F.col(c).cast("double") * (1 << 20)).cast("bigint")
 
 
+Spaces = Sequence[Sequence[Axis]]
+
+
 def _down(x: Column, bits: Column) -> Column:
     """The cell of *x* among cells of 2^bits steps."""
     return F.call_function("shiftright", x, bits)
@@ -66,73 +73,140 @@ def _bits(lo: Column, hi: Column) -> Column:
     return F.coalesce((2 * F.ceil(F.log2(size) / 2)).cast("int"), F.lit(_WHOLE))
 
 
-def _extent(df: DataFrame, axes: Sequence[Axis], side: str) -> DataFrame:
-    """One row: where the intervals of each axis begin and end, and their sizes (at most 32)."""
-    out = []
-    for i, a in enumerate(axes):
-        lo, hi = (a.steps(c) for c in ((a.lo, a.hi) if side == "l" else (a.r_lo, a.r_hi)))
-        out += [F.min(F.least(lo, hi)).alias(f"_{side}first{i}"), F.max(F.greatest(lo, hi)).alias(f"_{side}last{i}"),
-                F.collect_set(_bits(lo, hi)).alias(f"_{side}sizes{i}")]
+def _sides(axis: Axis, side: str) -> tuple[Column, Column]:
+    lo, hi = (axis.lo, axis.hi) if side == "l" else (axis.r_lo, axis.r_hi)
+    return axis.steps(lo), axis.steps(hi)
+
+
+def _numbered(spaces: Spaces) -> list[list[tuple[int, Axis]]]:
+    """The axes of each space with their numbers."""
+    at = iter(range(sum(map(len, spaces))))
+    return [[(next(at), a) for a in axes] for axes in spaces]
+
+
+def _extent(df: DataFrame, spaces: Spaces, side: str) -> DataFrame:
+    """One row: how many rows there are, where each axis begins and ends, and the sizes in
+    each space (at most 32)."""
+    out = [F.count("*").alias(f"{side}rows")]
+    for k, axes in enumerate(_numbered(spaces)):
+        for i, a in axes:
+            lo, hi = _sides(a, side)
+            out += [F.min(F.least(lo, hi)).alias(f"{side}first{i}"), F.max(F.greatest(lo, hi)).alias(f"{side}last{i}")]
+        out.append(F.collect_set(_widest_bits([_bits(*_sides(a, side)) for _, a in axes])).alias(f"{side}sizes{k}"))
     return df.agg(*out)
 
 
-def _under(begin: Column, end: Column, own: Column, others: Column) -> Column:
-    """Level and cell of all cells of an interval, on its own level and the wider ones among *others*."""
-    def cells(level: Column) -> Column:
-        return F.transform(F.sequence(_down(begin, level), _down(end, level)), lambda c: F.struct(level.alias("level"), c.alias("cell")))
+def _widest_bits(bits: list[Column]) -> Column:
+    return F.greatest(*bits) if len(bits) > 1 else bits[0]
 
-    levels = F.array_distinct(F.concat(F.array(own), F.filter(others, lambda level: level > own)))
-    return F.explode(F.flatten(F.transform(levels, cells)))
 
+def cells_in_use(left: DataFrame, right: DataFrame, spaces: Spaces, sizes: Sequence[Sequence[int]] | None = None) -> DataFrame:
+    """One row: where each axis begins and ends, the narrowest and the widest level of each
+    space, and the levels either side has there.
 
-def _listed(df: DataFrame, extents: DataFrame, axes: Sequence[Axis], side: str) -> DataFrame:
-    """Rows under all their cells: ``_level<i>, _cell<i>`` and the interval in steps."""
+    With *sizes*, the bits the left side's intervals may need in each space, that side is
+    not read, and the right one alone says where the axes begin and end.
+    """
+    both = _extent(right, spaces, "r")
+    known = "r"
+    if sizes is None:
+        both, known = attach_single(both, _extent(left, spaces, "l")), "lr"
+    n_axes = sum(map(len, spaces))
+    fewest = _least([F.col(f"{s}rows") for s in known])
+    finest = F.greatest(F.ceil(F.log2(fewest + 1)).cast("int") + FINER, F.lit(HALVINGS))
+    # levels are even
+    coarse, fine = F.lit(HALVINGS // n_axes // 2 * 2), F.floor(finest / n_axes / 2).cast("int") * 2
+    ends, scales, levels = {}, {}, []
+    for k, axes in enumerate(_numbered(spaces)):
+        for i, _ in axes:
+            ends |= {f"_first{i}": _least([F.col(f"{s}first{i}") for s in known]), f"_last{i}": -_least([-F.col(f"{s}last{i}") for s in known])}
+        whole = _widest_bits([_bits(F.col(f"_first{i}"), F.col(f"_last{i}")) for i, _ in axes])
+        least = F.lit(axes[0][1].narrowest)
+        scales |= {f"_widest{k}": F.greatest(least, whole - coarse), f"_narrowest{k}": F.greatest(least, whole - fine)}
+        for s in "lr":
+            given = F.col(f"{s}sizes{k}") if s in known else F.array(*[F.lit(int(b)) for b in sizes[k]])
+            levels.append(_held(given, k).alias(f"_{s}levels{k}"))
+    return both.withColumns(ends).withColumns(scales).select(*ends, *scales, *levels)
+
+
+def _least(columns: list[Column]) -> Column:
+    return F.least(*columns) if len(columns) > 1 else columns[0]
+
+
+def _held(sizes: Column, space: int) -> Column:
+    """The levels that intervals of some sizes belong to."""
+    return F.array_distinct(F.transform(sizes, lambda bits: _level(bits, space)))
+
+
+def _level(bits: Column, space: int) -> Column:
+    return F.least(F.greatest(bits, F.col(f"_narrowest{space}")), F.col(f"_widest{space}"))
+
+
+def listed(df: DataFrame, in_use: DataFrame, spaces: Spaces, side: str) -> DataFrame:
+    """Rows under all their cells: ``_level<space>, _cell<axis>``; the interval in steps and
+    its own level as ``_<side>a<axis>, _<side>b<axis>, _<side>own<space>``.
+
+    An interval is listed on the wider levels of the other side, and on its own one if
+    something as small as it is waits there; what lies beyond the axes is left out.
+    """
     other = "r" if side == "l" else "l"
-    share, rest = divmod(HALVINGS, len(axes))
-    rows = attach_single(df, extents)
-    for i, a in enumerate(axes):
-        first, last = F.least(f"_lfirst{i}", f"_rfirst{i}"), F.greatest(f"_llast{i}", f"_rlast{i}")
-        # levels are even
-        halvings = (share + (rest if i == 0 else 0)) // 2 * 2
-        rows = rows.withColumn("_widest", F.greatest(F.lit(a.narrowest), _bits(first, last) - halvings))
-        begin, end = (a.steps(c) for c in ((a.lo, a.hi) if side == "l" else (a.r_lo, a.r_hi)))
-        if a.time:
-            begin, end = F.coalesce(begin, first), F.coalesce(end, last)
-        else:
-            begin, end = F.least(begin, end), F.when(begin.isNotNull() & end.isNotNull(), F.greatest(begin, end))
-        rows = rows.withColumns({f"_{side}a{i}": begin, f"_{side}b{i}": end})
-        begin, end = F.col(f"_{side}a{i}"), F.col(f"_{side}b{i}")
-
-        def held(bits: Column) -> Column:
-            return F.least(F.greatest(bits, F.lit(a.narrowest)), F.col("_widest"))
-
-        rows = rows.filter(begin <= end).withColumn(f"_{side}own{i}", held(_bits(begin, end)))
-        at = _under(begin, end, F.col(f"_{side}own{i}"), F.transform(f"_{other}sizes{i}", held))
-        rows = rows.withColumn("_at", at).withColumns({f"_level{i}": F.col("_at.level"), f"_cell{i}": F.col("_at.cell")})
-    return rows.drop("_at", "_widest", *[f"_{s}{n}{i}" for s in "lr" for n in ("first", "last", "sizes") for i in range(len(axes))])
-
-
-def overlap_join(left: DataFrame, right: DataFrame, axes: Sequence[Axis], by: Sequence[str] = ()) -> DataFrame:
+    rows = attach_single(df, in_use)
+    for k, axes in enumerate(_numbered(spaces)):
+        for i, a in axes:
+            first, last = F.col(f"_first{i}"), F.col(f"_last{i}")
+            begin, end = _sides(a, side)
+            if a.time:
+                begin, end = F.coalesce(begin, first), F.coalesce(end, last)
+            else:
+                begin, end = F.least(begin, end), F.when(begin.isNotNull() & end.isNotNull(), F.greatest(begin, end))
+            rows = rows.withColumns({f"_{side}a{i}": F.greatest(begin, first), f"_{side}b{i}": F.least(end, last)})
+            rows = rows.filter((begin <= end) & (F.col(f"_{side}a{i}") <= F.col(f"_{side}b{i}")))
+        ends = [(F.col(f"_{side}a{i}"), F.col(f"_{side}b{i}")) for i, _ in axes]
+        rows = rows.withColumn("_own", _level(_widest_bits([_bits(*x) for x in ends]), k))
+        levels = F.col(f"_{other}levels{k}")
+        wider = F.filter(levels, lambda level: level > F.col("_own"))
+        level = F.col(f"_level{k}")
+        rows = rows.withColumn(f"_level{k}", F.explode(F.when(F.array_min(levels) <= F.col("_own"), F.concat(F.array("_own"), wider)).otherwise(wider)))
+        for (i, _), (begin, end) in zip(axes, ends, strict=True):
+            rows = rows.withColumn(f"_cell{i}", F.explode(F.sequence(_down(begin, level), _down(end, level))))
+        rows = rows.withColumnRenamed("_own", f"_{side}own{k}")
+    return rows.drop(*in_use.columns)
+
+
+def overlap_join(left: DataFrame, right: DataFrame, spaces: Spaces, by: Sequence[str] = (),
+                 sizes: Sequence[Sequence[int]] | None = None) -> DataFrame:
     """Pairs of rows that overlap on every axis and agree on *by*, each once.
 
-    Ends count as inside.  All columns of both sides come back as they are; they must not share names but *by*.
+    *spaces* are groups of axes with one scale: ``((WINDOW,), (LON, LAT))``.  Ends count as
+    inside.  All columns of both sides come back as they are; they must not share names
+    but *by*.  Both sides are read once ahead of the join, for their extents; where the
+    left one is dear to compute, *sizes* spares it that (``cells_in_use``).
     """
-    extents = attach_single(_extent(left, axes, "l"), _extent(right, axes, "r"))
-    keys = [f"_{k}{i}" for i in range(len(axes)) for k in ("level", "cell")]
-    pairs = salted_join(_listed(left, extents, axes, "l"), _listed(right, extents, axes, "r"), [*by, *keys])
-    for i, a in enumerate(axes):
-        level = F.col(f"_level{i}")
-        home = (level == F.greatest(f"_lown{i}", f"_rown{i}")) & (F.col(f"_cell{i}") == _down(F.greatest(f"_la{i}", f"_ra{i}"), level))
-        if a.time:
-            meet = (F.col(f"_la{i}") <= F.col(f"_rb{i}")) & (F.col(f"_ra{i}") <= F.col(f"_lb{i}"))
-        else:
-            meet = (F.col(a.lo) <= F.col(a.r_hi)) & (F.col(a.r_lo) <= F.col(a.hi))
-        pairs = pairs.filter(meet & home)
+    in_use = cells_in_use(left, right, spaces, sizes)
+    n_axes = sum(map(len, spaces))
+    keys = [*[f"_level{k}" for k in range(len(spaces))], *[f"_cell{i}" for i in range(n_axes)]]
+    # a hot cell is spread over lanes, by what tells rows apart at little cost
+    plain = [f.name for f in left.schema.fields if not isinstance(f.dataType, (T.ArrayType, T.StructType, T.MapType))]
+    lane = F.pmod(F.xxhash64(*plain, F.spark_partition_id()), F.lit(LANES)).cast("int")
+    lhs = listed(left, in_use, spaces, "l").withColumn("_lane", lane)
+    rhs = listed(right, in_use, spaces, "r").withColumn("_lane", F.explode(F.sequence(F.lit(0), F.lit(LANES - 1))))
+    pairs = lhs.join(rhs, [*by, *keys, "_lane"])
+    for k, axes in enumerate(_numbered(spaces)):
+        level = F.col(f"_level{k}")
+        home = level == F.greatest(f"_lown{k}", f"_rown{k}")
+        for i, a in axes:
+            home = home & (F.col(f"_cell{i}") == _down(F.greatest(f"_la{i}", f"_ra{i}"), level))
+            if a.time:
+                meet = (F.col(f"_la{i}") <= F.col(f"_rb{i}")) & (F.col(f"_ra{i}") <= F.col(f"_lb{i}"))
+            else:
+                meet = (F.col(a.lo) <= F.col(a.r_hi)) & (F.col(a.r_lo) <= F.col(a.hi))
+            pairs = pairs.filter(meet)
+        pairs = pairs.filter(home)
     return pairs.select(*left.columns, *[c for c in right.columns if c not in by])
 
 
-def overlap_counts(asked: DataFrame, windows: DataFrame, name: str = "n") -> DataFrame:
-    """*asked* with the number of *windows* that each of its windows meets, in column *name*.
+def overlap_counts(asked: DataFrame, windows: DataFrame, name: str = "n", by: Sequence[str] = ()) -> DataFrame:
+    """*asked* with the number of *windows* (of the same *by*) that each of its windows meets, in column *name*.
 
     Both have ``start, end`` (ends included; NULL is open).  What begins by the end of a
     window and has not ended ahead of it meets it, so two running counts are enough: no
@@ -142,26 +216,25 @@ def overlap_counts(asked: DataFrame, windows: DataFrame, name: str = "n") -> Dat
     def us(c: str) -> Column:
         return F.unix_micros(F.col(c).cast("timestamp"))
 
+    by = list(by)
     none, far = F.lit(0).cast("long"), 1 << 62
     # an open start lies ahead of all that ends, an open end behind all that begins
     keyed = asked.withColumns({"_a": F.coalesce(us("start"), F.lit(-far)), "_b": F.coalesce(us("end"), F.lit(far))})
-    ask = keyed.select("_a", "_b").distinct()
-    real = windows.select(F.coalesce(us("start"), F.lit(-far)).alias("a"), F.coalesce(us("end"), F.lit(far)).alias("b")).filter("a <= b")
+    ask = keyed.select(*by, "_a", "_b").distinct()
+    real = windows.select(*by, F.coalesce(us("start"), F.lit(-far)).alias("a"), F.coalesce(us("end"), F.lit(far)).alias("b")).filter("a <= b")
     # at one time ends are asked for first, then things happen, then starts are asked for
-    parts = [real.groupBy(F.col("a").alias("t")).agg(F.count("*").alias("begun")).withColumn("ended", none).withColumn("turn", F.lit(1)),
-             real.groupBy(F.col("b").alias("t")).agg(F.count("*").alias("ended")).withColumn("begun", none).withColumn("turn", F.lit(1))]
-    parts += [ask.select(F.col(c).alias("t"), F.lit(turn).alias("turn"), none.alias("begun"), none.alias("ended"), "_a", "_b")
-              for c, turn in (("_a", 0), ("_b", 2))]
-    rows = parts[0]
-    for more in parts[1:]:
-        rows = rows.unionByName(more, allowMissingColumns=True)
-    rows = rows.withColumn("_hour", F.floor(F.col("t") / HOUR))
-    inside = Window.partitionBy("_hour").orderBy("t", "turn").rowsBetween(Window.unboundedPreceding, 0)
-    before = Window.orderBy("_hour").rowsBetween(Window.unboundedPreceding, -1)
-    hours = rows.groupBy("_hour").agg(F.sum("begun").alias("_begun"), F.sum("ended").alias("_ended"))
-    hours = hours.select("_hour", *[F.coalesce(F.sum(c).over(before), none).alias(c) for c in ("_begun", "_ended")])
+    marks = real.select(*by, F.explode(F.array(F.struct(F.col("a").alias("t"), F.lit(1).alias("begun"), F.lit(0).alias("ended")),
+                                               F.struct(F.col("b").alias("t"), F.lit(0).alias("begun"), F.lit(1).alias("ended")))).alias("m"))
+    marks = marks.groupBy(*by, "m.t").agg(F.sum("m.begun").alias("begun"), F.sum("m.ended").alias("ended")).withColumn("turn", F.lit(1))
+    ends = F.explode(F.array(F.struct(F.col("_a").alias("t"), F.lit(0).alias("turn")), F.struct(F.col("_b").alias("t"), F.lit(2).alias("turn"))))
+    asks = ask.select("*", ends.alias("m")).select(*by, "_a", "_b", "m.t", "m.turn", none.alias("begun"), none.alias("ended"))
+    rows = asks.unionByName(marks, allowMissingColumns=True).withColumn("_hour", F.floor(F.col("t") / HOUR))
+    inside = Window.partitionBy(*by, "_hour").orderBy("t", "turn").rowsBetween(Window.unboundedPreceding, 0)
+    before = Window.partitionBy(*by).orderBy("_hour").rowsBetween(Window.unboundedPreceding, -1)
+    hours = rows.groupBy(*by, "_hour").agg(F.sum("begun").alias("_begun"), F.sum("ended").alias("_ended"))
+    hours = hours.select(*by, "_hour", *[F.coalesce(F.sum(c).over(before), none).alias(c) for c in ("_begun", "_ended")])
     sums = rows.withColumns({"begun": F.sum("begun").over(inside), "ended": F.sum("ended").over(inside)}).filter("turn <> 1")
-    counted = sums.join(hours, "_hour").groupBy("_a", "_b").agg(
+    counted = sums.join(hours, [*by, "_hour"]).groupBy(*by, "_a", "_b").agg(
         (F.max(F.when(F.col("turn") == 2, F.col("begun") + F.col("_begun"))) - F.max(F.when(F.col("turn") == 0, F.col("ended") + F.col("_ended")))).alias("_n"))
-    out = keyed.join(counted, ["_a", "_b"])
+    out = keyed.join(counted, [*by, "_a", "_b"])
     return out.withColumn(name, F.when(F.col("_a") <= F.col("_b"), F.col("_n")).otherwise(none)).select(*asked.columns, name)

@@ -24,9 +24,9 @@ from swathmatch.operators.skew import attach_single, salted_join
 from swathmatch.operators.spatial import MINUTE, radius_pairs
 
 TILE = 5.0
-BAND_DEG = 10.0
 DAY = 86_400_000_000
-_EVERYWHERE = 360.0
+SLOT, CELL_DEG = 30 * MINUTE, 15.0
+_EVERYWHERE, _ANYWHERE = 360.0, 99
 
 
 def _tile(x: Column) -> Column:
@@ -84,7 +84,7 @@ def box_overlap_join(left: DataFrame, right: DataFrame, times: bool = False) ->
     With *times* also ``start, end`` / ``r_start, r_end`` must meet (J15).  Boxes of
     every size go through one join, each listed by its own size (``overlap_join``).
     """
-    return overlap_join(left, right, (WINDOW, *BOX) if times else BOX)
+    return overlap_join(left, right, ((WINDOW,), BOX) if times else (BOX,))
 
 
 def windows_overlap(a_start: str, a_end: str, b_start: str, b_end: str) -> Column:
@@ -98,7 +98,7 @@ def interval_overlap_join(left: DataFrame, right: DataFrame, by: Sequence[str] =
     A NULL start or end is open: it meets whatever there is on that side.  A window
     that ends before it starts meets nothing.
     """
-    return overlap_join(left, right, (WINDOW,), by)
+    return overlap_join(left, right, ((WINDOW,),), by)
 
 
 def point_in_footprint_join(points: DataFrame, footprints: DataFrame,
@@ -152,10 +152,10 @@ def index_match(index: DataFrame, requests: DataFrame) -> DataFrame:
         F.struct(F.lit(0).alias("part"), west.alias("w"), F.lit(_EVERYWHERE).alias("e")),
         F.struct(F.lit(1).alias("part"), F.lit(-_EVERYWHERE).alias("w"), east.alias("e"))))
     asked = requests.select("*", F.explode(parts).alias("_p")).select(*requests.columns, F.col("_p.part").alias("_part"), F.col("_p.w").alias("_rw"), F.col("_p.e").alias("_re"))
-    axes = (WINDOW, Axis("_w", "_e", "_rw", "_re"), Axis("lat_min", "lat_max", "r_min_lat", "r_max_lat"))
+    plane = (Axis("_w", "_e", "_rw", "_re"), Axis("lat_min", "lat_max", "r_min_lat", "r_max_lat"))
     # a file that meets both parts of a request counts with the first
     once = (F.col("_part") == 0) | (F.col("_e") < west)
-    return overlap_join(rows, asked, axes).filter(F.arrays_overlap("parameters", "wanted") & once).drop("_w", "_e", "_part", "_rw", "_re")
+    return overlap_join(rows, asked, ((WINDOW,), plane)).filter(F.arrays_overlap("parameters", "wanted") & once).drop("_w", "_e", "_part", "_rw", "_re")
 
 
 def station_window_match(stations: DataFrame, footprints: DataFrame, tolerance_minutes: float,
@@ -233,44 +233,64 @@ def track_match(samples: DataFrame, targets: DataFrame, swaths: DataFrame, margi
     to swath half width plus margin; points by distance to the sample or to the
     track between two samples.  Unknown satellites, and windows with fewer than
     two samples (neighbours included), keep their whole window.
+
+    A sample lies in one cell of latitude and longitude; an area is listed under the
+    cells from which the sweep may reach it, in the half hours of its window.
     """
-    track = track_neighbours(samples)
-    known = targets.join(swaths, "satellite")
-    asked = known.withColumn("offset_km", F.col("swath_half_width_km") + margin_km)
-    joined = _in_window(track, asked, bands=True)
-    hits = joined.withColumn("matched", _sees(F.col("offset_km")))
-    runs = hits.filter("matched")
-    order = Window.partitionBy("target_id").orderBy("t_us")
-    fresh = F.coalesce(F.lag("t_us").over(order) != F.col("prev_t_us"), F.lit(True))
-    runs = runs.withColumn("fresh", fresh).withColumn("run", F.sum(F.col("fresh").cast("int")).over(order))
+    track = track_neighbours(samples).withColumnRenamed("prev_t_us", "before_us")
+    known = targets.join(swaths, "satellite").withColumns({
+        "offset_km": F.col("swath_half_width_km") + margin_km, "start_us": micros("start"), "end_us": micros("end")})
+    hits = _in_reach(track, known).filter(_sees(F.col("offset_km"))).select("target_id", "t_us", "before_us", "start_us", "end_us")
+    # a run goes on where the sample ahead on the track was seen too: within a day first,
+    # then over the days, of which a run is one row each
+    inside = Window.partitionBy("target_id", "_day").orderBy("t_us")
+    days = hits.withColumn("_day", F.floor(F.col("t_us") / DAY))
+    days = days.withColumn("_new", F.coalesce(F.lag("t_us").over(inside) != F.col("before_us"), F.lit(True)).cast("int"))
+    parts = days.withColumn("_part", F.sum("_new").over(inside)).groupBy("target_id", "_day", "_part").agg(
+        F.min("t_us").alias("lo"), F.max("t_us").alias("hi"), F.min_by("before_us", "t_us").alias("before_us"),
+        F.min("start_us").alias("start_us"), F.max("end_us").alias("end_us"))
+    across = Window.partitionBy("target_id").orderBy("lo")
+    parts = parts.withColumn("_new", F.coalesce(F.lag("hi").over(across) != F.col("before_us"), F.lit(True)).cast("int"))
+    runs = parts.withColumn("run", F.sum("_new").over(across))
     step = int(interval_s * 1e6)
     windows = runs.groupBy("target_id", "run").agg(
-        F.greatest(F.first("start_us"), F.min("t_us") - step).alias("from_us"),
-        F.least(F.first("end_us"), F.max("t_us") + step).alias("to_us"),
+        F.greatest(F.min("start_us"), F.min("lo") - step).alias("from_us"),
+        F.least(F.max("end_us"), F.max("hi") + step).alias("to_us"),
     ).select("target_id", "from_us", "to_us")
-    return windows.unionByName(_unjudged(track, targets, swaths))
-
-
-def _in_window(track: DataFrame, targets: DataFrame, bands: bool = False) -> DataFrame:
-    """Samples of a target's satellite inside its window, by half hour; with *bands* only
-    those in the latitude bands which an area can be seen from (a point may be met
-    between two samples, so it is listed under all)."""
-    spans = targets.withColumns({"start_us": micros("start"), "end_us": micros("end")})
-    spans = spans.withColumn("_slot", F.explode(F.sequence(
-        F.floor(F.col("start_us") / MINUTE / 30).cast("bigint"), F.floor(F.col("end_us") / MINUTE / 30).cast("bigint"))))
-    rows = track.withColumn("_slot", F.floor(F.col("t_us") / MINUTE / 30).cast("bigint"))
-    keys = ["satellite", "_slot"]
-    if bands:
-        keys.append("_band")
-        reach = F.col("offset_km") / F.lit(111.0)
-        lo, hi = (F.when(F.col("shape") != "point", x) for x in (F.col("min_lat") - reach, F.col("max_lat") + reach))
-        spans = spans.withColumn("_band", F.explode(F.sequence(_band(F.coalesce(lo, F.lit(-90.0))), _band(F.coalesce(hi, F.lit(90.0))))))
-        rows = rows.filter(F.col("lat").isNotNull()).withColumn("_band", _band(F.col("lat")))
-    return rows.join(spans, keys).filter(F.col("t_us").between(F.col("start_us"), F.col("end_us"))).drop("_slot", "_band")
-
-
-def _band(lat: Column) -> Column:
-    return F.floor(lat / F.lit(BAND_DEG)).cast("bigint")
+    return windows.unionByName(_unjudged(samples, targets, swaths))
+
+
+def _in_reach(track: DataFrame, targets: DataFrame) -> DataFrame:
+    """Samples of a target's satellite inside its window, for areas only those in cells which the
+    sweep reaches it from (a point may be met between two samples far off, so it is asked everywhere)."""
+    def slots(us: Column) -> Column:
+        return F.floor(us / F.lit(SLOT)).cast("bigint")
+
+    def cell(x: Column) -> Column:
+        return F.floor(x / F.lit(CELL_DEG)).cast("int")
+
+    spans = targets.filter("start_us <= end_us").withColumn("_slot", F.explode(F.sequence(slots(F.col("start_us")), slots(F.col("end_us")))))
+    reach = F.least(F.col("offset_km") / 111.0, F.lit(180.0))
+    areas = spans.filter(F.col("shape") != "point").withColumn("_y", F.explode(F.sequence(
+        cell(F.greatest(F.col("min_lat") - reach, F.lit(-90.0))), cell(F.least(F.col("max_lat") + reach, F.lit(90.0))))))
+    # how far a circle reaches in longitude, on the side of the row where it reaches furthest;
+    # one that comes near a pole, and a box across the date line, may be seen from everywhere
+    side = F.greatest(F.abs(F.col("_y") * CELL_DEG), F.abs((F.col("_y") + 1) * CELL_DEG))
+    ratio = F.sin(F.radians(F.least(reach, F.lit(90.0)))) / F.cos(F.radians(F.least(side, F.lit(89.9))))
+    half = F.when((side + reach < 90) & (ratio < 1) & (F.col("min_lon") <= F.col("max_lon")), F.degrees(F.asin(F.least(ratio, F.lit(1.0)))) + 1e-6)
+    west, east = cell(F.col("min_lon") - half), cell(F.col("max_lon") + half)
+    n = int(360 / CELL_DEG)
+    xs = F.when(half.isNotNull() & (east - west < n - 1), F.transform(F.sequence(west, east), lambda x: F.pmod(x + n // 2, F.lit(n)) - n // 2)).otherwise(
+        F.sequence(F.lit(-n // 2), F.lit(n // 2 - 1)))
+    areas = areas.withColumn("_x", F.explode(xs))
+    dots = spans.filter(F.col("shape") == "point").withColumns({"_y": F.lit(_ANYWHERE), "_x": F.lit(_ANYWHERE)})
+    around = F.pmod(cell(F.col("lon")) + n // 2, F.lit(n)) - n // 2
+    own = F.struct(cell(F.col("lat")).alias("y"), around.cast("int").alias("x"))
+    any_ = F.struct(F.lit(_ANYWHERE).alias("y"), F.lit(_ANYWHERE).alias("x"))
+    rows = track.filter(F.col("lat").isNotNull() & F.col("lon").isNotNull()).withColumn("_slot", slots(F.col("t_us")))
+    rows = rows.withColumn("_c", F.explode(F.array(own, any_))).withColumns({"_y": F.col("_c.y"), "_x": F.col("_c.x")}).drop("_c")
+    pairs = rows.join(areas.unionByName(dots), ["satellite", "_slot", "_y", "_x"])
+    return pairs.filter(F.col("t_us").between(F.col("start_us"), F.col("end_us"))).drop("_slot", "_y", "_x")
 
 
 def _sees(offset: Column) -> Column:
@@ -301,25 +321,18 @@ def _sees(offset: Column) -> Column:
     return F.coalesce(F.when(F.col("shape") == "point", near).otherwise(area), F.lit(False))
 
 
-def _unjudged(track: DataFrame, targets: DataFrame, swaths: DataFrame) -> DataFrame:
-    """Targets whose satellite is unknown, or whose window holds too few samples."""
+def _unjudged(samples: DataFrame, targets: DataFrame, swaths: DataFrame) -> DataFrame:
+    """Targets whose satellite is unknown, or whose window holds too few samples.
+
+    Two samples or more lie around or inside every window that meets the time from the
+    first sample of a satellite to its last; all other windows have too few."""
     whole = ["target_id", micros("start").alias("from_us"), micros("end").alias("to_us")]
     unknown = targets.join(swaths, "satellite", "left_anti").select(*whole)
-    known = targets.join(swaths.select("satellite"), "satellite")
-    # a sample inside the window with a neighbour makes two; so does a pair around it
-    seen = _in_window(track, known).filter(
-        F.col("prev_t_us").isNotNull() | F.col("next_t_us").isNotNull()).select("target_id").distinct()
-    rest = known.join(seen, "target_id", "left_anti")
-    around = _in_gap(track, rest)
-    return unknown.unionByName(rest.join(around, "target_id", "left_anti").select(*whole))
-
-
-def _in_gap(track: DataFrame, targets: DataFrame) -> DataFrame:
-    """Targets whose whole window lies between two samples."""
-    gaps = track.filter(F.col("next_t_us").isNotNull()).select(
-        "satellite", F.timestamp_micros("t_us").alias("r_start"), F.timestamp_micros("next_t_us").alias("r_end"))
-    return interval_overlap_join(targets.select("target_id", "satellite", "start", "end"), gaps, by=["satellite"]).select(
-        "target_id").distinct()
+    spans = samples.filter("t IS NOT NULL").groupBy("satellite").agg(
+        F.min("t").alias("_first"), F.max("t").alias("_last"), F.count("*").alias("_n")).filter("_n > 1")
+    known = targets.join(swaths.select("satellite"), "satellite").join(spans, "satellite", "left")
+    judged = F.coalesce((F.col("start") <= F.col("_last")) & (F.col("end") >= F.col("_first")) & (F.col("start") <= F.col("end")), F.lit(False))
+    return unknown.unionByName(known.filter(~judged).select(*whole))
 
 
 def islands(rows: DataFrame, by: Sequence[str], matched: Column, axis: str, tie: str,

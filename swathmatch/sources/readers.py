@@ -149,6 +149,11 @@ def platform_ranges(obs: DataFrame) -> DataFrame:
         F.min("time").alias("first_time"), F.max("time").alias("last_time"))
 
 
+def read_field_map(spark: SparkSession, path: str) -> DataFrame:
+    """A map written by ``sinks.sink_field_map``."""
+    return spark.read.schema("n bigint, knots array<struct<qs:double,qv:double>>").parquet(path)
+
+
 def read_partition_window(df: DataFrame, start: str, end: str, min_lon: float, max_lon: float,
                           min_lat: float, max_lat: float, min_depth: float, max_depth: float) -> DataFrame:
     """The time window first, then box and depth; all reach the Parquet scan."""

@@ -93,11 +93,11 @@ def test_no_key_gathers_the_rows(spark):
     rng = random.Random(4)
     lhs = spark.createDataFrame(windows(rng, 4000), TIMES)
     rhs = spark.createDataFrame(windows(rng, 4000), R_TIMES).drop("k")
-    axes = (predict.WINDOW,)
-    extents = overlap.attach_single(overlap._extent(lhs, axes, "l"), overlap._extent(rhs, axes, "r"))
+    axes = ((predict.WINDOW,),)
+    in_use = overlap.cells_in_use(lhs, rhs, axes)
     for side, df in (("l", lhs), ("r", rhs)):
-        listed = overlap._listed(df, extents, axes, side)
-        total, most = listed.groupBy("_level0", "_cell0").count().agg(F.sum("count"), F.max("count")).first()
+        rows = overlap.listed(df, in_use, axes, side)
+        total, most = rows.groupBy("_level0", "_cell0").count().agg(F.sum("count"), F.max("count")).first()
         assert most < total / 100
 
 
@@ -105,9 +105,9 @@ def test_short_windows_are_listed_seldom(spark):
     """A window touches two cells of its own level; long partners add a level each."""
     lhs = spark.createDataFrame([(i, T0 + dt.timedelta(hours=i), T0 + dt.timedelta(hours=i, minutes=5), 0) for i in range(500)], TIMES)
     rhs = spark.createDataFrame([(0, T0, T0 + dt.timedelta(days=20), 0), (1, T0, T0 + dt.timedelta(minutes=7), 0)], R_TIMES)
-    axes = (predict.WINDOW,)
-    extents = overlap.attach_single(overlap._extent(lhs, axes, "l"), overlap._extent(rhs, axes, "r"))
-    assert overlap._listed(lhs, extents, axes, "l").groupBy("id").count().agg(F.max("count")).first()[0] <= 6
+    axes = ((predict.WINDOW,),)
+    in_use = overlap.cells_in_use(lhs, rhs, axes)
+    assert overlap.listed(lhs, in_use, axes, "l").groupBy("id").count().agg(F.max("count")).first()[0] <= 6
 
 
 @pytest.mark.parametrize("seed", [5, 6])
@@ -134,5 +134,5 @@ def test_counts_make_no_pairs(spark):
 def test_axis_of_numbers_alone(spark):
     lhs = spark.createDataFrame([(1, 0.0, 1.0), (2, 5.0, 5.0), (3, None, 2.0)], "id int, a double, b double")
     rhs = spark.createDataFrame([(1, 1.0, 5.0), (2, 6.0, 7.0)], "rid int, c double, d double")
-    got = overlap_join(lhs, rhs, [Axis("a", "b", "c", "d")]).select("id", "rid").collect()
+    got = overlap_join(lhs, rhs, [[Axis("a", "b", "c", "d")]]).select("id", "rid").collect()
     assert sorted(map(tuple, got)) == [(1, 1), (2, 1)]
