@@ -112,12 +112,12 @@ def _grams_of(rows: DataFrame, n: int) -> DataFrame:
 
 
 def _by_band(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """A row for each band of a class."""
+    """A row for each band of a class; most meet nothing, so they carry no more than names."""
     for frame in frames:
         if len(frame):
             each = np.frombuffer(b"".join(frame["bands"]), np.int64)
-            rows = frame.loc[frame.index.repeat(len(each) // len(frame)), ["key", "doc_id", "copies", "size", "bands"]].reset_index(drop=True)
-            yield rows.assign(bucket=each)[["bucket", "key", "doc_id", "copies", "size", "bands"]]
+            rows = frame.loc[frame.index.repeat(len(each) // len(frame)), ["key", "size"]].reset_index(drop=True)
+            yield rows.assign(bucket=each)[["bucket", "key", "size"]]
 
 
 def _first_shared(bands_a: np.ndarray, bands_b: np.ndarray, bucket: np.uint64) -> np.ndarray:
@@ -241,11 +241,12 @@ def near_duplicates(docs: DataFrame, n: int = NGRAM, similarity: float = SIMILAR
     classes = settle(filled.groupBy("key").agg(F.min("doc_id").alias("doc_id"), F.count("*").alias("copies"),
                                                F.first("size").alias("size"), F.first("bands").alias("bands")))
     # buckets of two classes or more, each member in its block
-    members = classes.mapInPandas(_by_band, "bucket long, key binary, doc_id long, copies long, size int, bands binary")
+    members = classes.mapInPandas(_by_band, "bucket long, key binary, size int")
     # blocks hold few members and few n-grams: long texts meet in smaller ones
     blocks = F.ceil(F.greatest(F.count("*") / BLOCK, F.sum("size") / GRAMS))
-    buckets = members.groupBy("bucket").agg(F.count("*").alias("m"), blocks.alias("nb")).filter("m > 1")
-    members = members.join(buckets, "bucket")
+    buckets = settle(members.groupBy("bucket").agg(F.count("*").alias("m"), blocks.alias("nb")).filter("m > 1").select("bucket", "nb"))
+    # the signature, many times a name, goes to the members of shared buckets only
+    members = members.join(buckets, "bucket").join(classes.select("key", "doc_id", "copies", "bands"), "key")
     members = members.withColumn("block", F.pmod(F.xxhash64("key"), F.col("nb")))
     # block b meets every block: as the first of a pair or as the second
     other = F.explode(F.sequence(F.lit(0).cast("long"), F.col("nb") - 1)).alias("o")
