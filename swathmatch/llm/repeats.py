@@ -125,9 +125,13 @@ def _bytes(text: Column) -> Column:
 
 def _keyed(docs: DataFrame) -> DataFrame:
     """doc, mark, data: rows with the same id and text have the same key, and the
-    same result; rows without an id are told apart by their texts."""
-    return docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(-(1 << 62))).alias("doc"), F.hash("text").alias("mark"),
-                       _bytes(F.col("text")).alias("data"))
+    same result."""
+    return docs.select(*_key(F.col("text")), _bytes(F.col("text")).alias("data"))
+
+
+def _key(text: Column) -> tuple[Column, Column]:
+    """doc, mark: the id and 64 bits of the text; rows without an id are told apart by 128."""
+    return F.coalesce(F.col("doc_id").cast("long"), F.xxhash64(F.lit("nameless"), text)).alias("doc"), F.xxhash64(text).alias("mark")
 
 
 def _sampled(keyed: DataFrame, length: int, q: int, words: bool) -> DataFrame:
@@ -148,7 +152,7 @@ def _sampled(keyed: DataFrame, length: int, q: int, words: bool) -> DataFrame:
                     yield out.assign(doc=doc, mark=mark)
 
     more = "byte int, bytes int, " if words else ""
-    return keyed.mapInPandas(_joined(run), f"bucket long, reach long, pos int, lo int, hi int, n int, till int, {more}doc long, mark int")
+    return keyed.mapInPandas(_joined(run), f"bucket long, reach long, pos int, lo int, hi int, n int, till int, {more}doc long, mark long")
 
 
 def _joined(run, rows: int = 50_000):
@@ -244,7 +248,7 @@ def repeated_spans(docs: DataFrame, length: int = LENGTH, words: bool = False) -
         ranges = ranges.unionByName(found)
     # a row lists ranges of one text only
     listed = ranges.groupBy("doc", "mark").agg(F.collect_set(F.struct("lo", "hi")).alias("r"))
-    return listed.mapInPandas(_merged(length), "doc long, mark int, spans array<struct<start:int,end:int>>")
+    return listed.mapInPandas(_merged(length), "doc long, mark long, spans array<struct<start:int,end:int>>")
 
 
 def union(ranges: Iterable[tuple[int, int]]) -> list[list[int]]:
@@ -279,7 +283,8 @@ def with_spans(docs: DataFrame, length: int = LENGTH) -> DataFrame:
 
 def _beside(docs: DataFrame, spans: DataFrame, name: str) -> DataFrame:
     text = F.coalesce(F.col("text"), F.lit(""))
-    own = docs.withColumns({"_doc": F.coalesce(F.col("doc_id").cast("long"), F.lit(-(1 << 62))), "_mark": F.hash(text)})
+    doc, mark = _key(text)
+    own = docs.withColumns({"_doc": doc, "_mark": mark})
     spans = spans.select(F.col("doc").alias("_doc"), F.col("mark").alias("_mark"), F.col("spans").alias(name))
     return own.join(spans, ["_doc", "_mark"], "left").drop("_doc", "_mark")
 

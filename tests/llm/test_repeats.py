@@ -123,3 +123,24 @@ def test_word_bounds_and_identifiers_see_the_same_words():
         starts, ends = repeats.word_bounds(data)
         assert [data[a:b] for a, b in zip(starts, ends, strict=True)] == data.split()
         assert len(repeats.word_ids(data)) == 8 * len(starts)
+
+
+def test_texts_of_equal_hash_and_no_id_are_told_apart(spark):
+    """Two texts without an id whose 32-bit hashes agree; only one of them repeats."""
+    import random as r
+
+    from pyspark.sql import functions as F
+    rng = r.Random(32)
+    filler = "".join(rng.choices("abcdefghij ", k=200))
+    many = spark.range(250_000).select(F.concat(F.col("id").cast("string"), F.lit(" "), F.repeat(F.sha2(F.col("id").cast("string"), 256), 8), F.lit(filler)).alias("text"))
+    same = many.groupBy(F.hash("text").alias("h")).agg(F.collect_list("text").alias("t")).filter("size(t) = 2").select("t").first()
+    assert same, "no two of so many texts have the same hash"
+    twice, once = same["t"]
+    once = once[: -len(filler)]
+    found = many.filter(F.hash("text") == F.hash(F.lit(twice))).count()
+    assert found == 2
+    rows = [(None, twice), (None, same["t"][1]), (7, twice)]
+    got = {x.text: x.repeated_spans for x in repeats.with_spans(spark.createDataFrame(rows, "doc_id long, text string"), length=400).collect()}
+    assert [(s.start, s.end) for s in got[twice]] == [(0, len(twice))]
+    own = got[same["t"][1]] or []
+    assert sum(s.end - s.start for s in own) < len(same["t"][1]) - 100
