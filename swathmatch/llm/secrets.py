@@ -83,29 +83,40 @@ def _at_least(z: Column) -> Column:
     return 1 / (1 + F.exp(F.greatest(F.lit(-700.0), F.least(F.lit(700.0), 1.5976 * z + 0.07056 * z * z * z))))
 
 
+def _chars(token: Column) -> Column:
+    return F.regexp_extract_all(token, F.lit("(?s)."), F.lit(0))
+
+
 def battery(token: Column, alphabet: Column) -> Column:
     """p-value of the three tests together, were the token drawn at random.
 
     The squares of the three standardised statistics add up to about chi-squared
-    with three degrees of freedom (Wilson-Hilferty)."""
+    with three degrees of freedom (Wilson-Hilferty).  One fold over the characters
+    gives all sums, so a token costs its length, however long it is.
+    """
     n, size = F.length(token).cast("double"), F.length(alphabet).cast("double")
-    places = F.sequence(F.lit(1), F.length(token))
-    values = F.transform(places, lambda i: (F.instr(alphabet, F.substring(token, i, F.lit(1))) - 1).cast("double"))
-    squares = F.aggregate(F.sequence(F.lit(1), F.length(alphabet)), F.lit(0.0), lambda acc, k: acc + F.pow(
-        n - F.length(F.replace(token, F.substring(alphabet, k, F.lit(1)), F.lit(""))), 2))
+    values = F.transform(_chars(token), lambda c: (F.instr(alphabet, c) - 1).cast("double"))
+    squares = F.aggregate(_chars(alphabet), F.lit(0.0), lambda acc, c: acc + F.pow(n - F.length(F.replace(token, c, F.lit(""))), 2))
     uniform = (size / n * squares - n - (size - 1)) / F.sqrt(2 * (size - 1))
-    high = F.transform(values, lambda v: (v >= size / 2).cast("int"))
-    ones = F.aggregate(high, F.lit(0), lambda acc, b: acc + b).cast("double")
-    pairs = F.sequence(F.lit(1), F.length(token) - 1)
-    runs = 1 + F.aggregate(pairs, F.lit(0), lambda acc, i: acc + (F.get(high, i) != F.get(high, i - 1)).cast("int"))
-    expected = 2 * ones * (n - ones) / n + 1
-    spread = F.sqrt(F.greatest((expected - 1) * (expected - 2) / (n - 1), F.lit(1e-9)))
-    run_test = (runs - expected) / spread
-    mean = F.aggregate(values, F.lit(0.0), lambda acc, v: acc + v) / n
-    variance = F.aggregate(values, F.lit(0.0), lambda acc, v: acc + (v - mean) * (v - mean))
-    lagged = F.aggregate(pairs, F.lit(0.0), lambda acc, i: acc + (F.get(values, i) - mean) * (F.get(values, i - 1) - mean))
-    serial = lagged / F.greatest(variance, F.lit(1e-9)) * F.sqrt(n)
-    total = uniform * uniform + run_test * run_test + serial * serial
+    none = F.lit(None).cast("double")
+    zero = F.struct(none.alias("first"), none.alias("last"), *[F.lit(0.0).alias(c) for c in ("sum", "squares", "lagged", "ones", "runs")])
+
+    def add(acc: Column, v: Column) -> Column:
+        turned = F.when(acc["last"].isNull() | ((acc["last"] >= size / 2) != (v >= size / 2)), 1.0).otherwise(0.0)
+        return F.struct(F.coalesce(acc["first"], v).alias("first"), v.alias("last"), (acc["sum"] + v).alias("sum"), (acc["squares"] + v * v).alias("squares"),
+                        (acc["lagged"] + v * F.coalesce(acc["last"], F.lit(0.0))).alias("lagged"),
+                        (acc["ones"] + F.when(v >= size / 2, 1.0).otherwise(0.0)).alias("ones"), (acc["runs"] + turned).alias("runs"))
+
+    def ended(acc: Column) -> Column:
+        expected = 2 * acc["ones"] * (n - acc["ones"]) / n + 1
+        run_test = (acc["runs"] - expected) / F.sqrt(F.greatest((expected - 1) * (expected - 2) / (n - 1), F.lit(1e-9)))
+        mean = acc["sum"] / n
+        variance = acc["squares"] - n * mean * mean
+        lagged = acc["lagged"] - mean * (2 * acc["sum"] - acc["first"] - acc["last"]) + (n - 1) * mean * mean
+        serial = lagged / F.greatest(variance, F.lit(1e-9)) * F.sqrt(n)
+        return run_test * run_test + serial * serial
+
+    total = F.aggregate(values, zero, add, ended) + uniform * uniform
     return _at_least((F.pow(total / 3, F.lit(1.0 / 3)) - (1 - 2.0 / 27)) / F.sqrt(F.lit(2.0 / 27)))
 
 
@@ -114,18 +125,14 @@ def surprise(token: Column, alphabet: Column) -> Column:
 
     The likelihood ratio of a random draw to an identifier which mostly goes on in
     the same class of signs exceeds 1/p with probability p at most (Markov)."""
-    chars = F.transform(F.sequence(F.lit(1), F.length(token)), lambda i: _class(F.substring(token, i, F.lit(1))))
-    sizes = {0: 10.0, 1: 26.0, 2: 26.0, 3: 4.0}
-
-    def size(c: Column) -> Column:
-        return F.when(c == 0, sizes[0]).when(c == 3, sizes[3]).otherwise(sizes[1])
+    classes = F.transform(_chars(token), _class)
 
-    def step(acc: Column, i: Column) -> Column:
-        same = F.get(chars, i) == F.get(chars, i - 1)
-        return acc + F.log(size(F.get(chars, i))) - F.when(same, F.log(F.lit(STAYS))).otherwise(F.log(F.lit((1 - STAYS) / 3)))
+    def step(acc: Column, c: Column) -> Column:
+        size = F.when(c == 0, 10.0).when(c == 3, 4.0).otherwise(26.0)
+        turn = F.when(acc["last"].isNull(), F.log(F.lit(4.0))).when(acc["last"] == c, -F.log(F.lit(STAYS))).otherwise(-F.log(F.lit((1 - STAYS) / 3)))
+        return F.struct(c.alias("last"), (acc["sum"] + F.log(size) + turn).alias("sum"))
 
-    start = F.log(size(F.get(chars, F.lit(0)))) + F.log(F.lit(4.0))
-    ordinary = F.aggregate(F.sequence(F.lit(1), F.length(token) - 1), start, step)
+    ordinary = F.aggregate(classes, F.struct(F.lit(None).cast("int").alias("last"), F.lit(0.0).alias("sum")), step, lambda acc: acc["sum"])
     return F.greatest(ordinary - F.length(token) * F.log(F.length(alphabet).cast("double")), F.lit(0.0))
 
 

@@ -79,3 +79,16 @@ def test_query_keeps_base_spans(spark, folder):
         base = listed(brute(rows[r.doc_id].text)[3])
         assert r.base_sha256 == hashlib.sha256(base.encode()).hexdigest()
         assert set(filter(None, base.split(","))) <= set(r.spans.split(","))
+
+
+def test_a_long_token_costs_its_length(spark):
+    """A token of 100 KB, tested in seconds; the whole of it is random."""
+    import time
+    rng = random.Random(9)
+    tokens = [base64.b64encode(rng.randbytes(k)).decode() for k in (30, 75_000)]
+    rows = [(i, f"data {t} end") for i, t in enumerate(tokens)]
+    secrets.scan(spark.createDataFrame(rows[:1], SCHEMA)).collect()
+    began = time.perf_counter()
+    got = {r.doc_id: [tuple(s) for s in r.spans] for r in secrets.scan(spark.createDataFrame(rows, SCHEMA)).collect()}
+    assert time.perf_counter() - began < 30
+    assert got[1] == [(5, 3, 100_005)]
