@@ -8,6 +8,7 @@ from querybook import query
 from swathmatch.operators import reshape, stats
 from swathmatch.session import scratch_folder
 from swathmatch.sources import readers, sinks
+from swathmatch.sources.store import read_store, write_store
 
 TYPES = ("click", "view", "error", "signup", "purchase")
 
@@ -224,6 +225,29 @@ def s9(t):
     return readers.read_partition_window(t.obs, "2024-01-04", "2024-01-18", -10, -3, 49, 54, -1, 8)
 
 
+@query("s9_store_window", "obs_id:i WSPD:d timeless:b",
+       """SELECT obs_id, WSPD, t IS NULL AS timeless FROM (SELECT *, CASE WHEN obs_id % 17 <> 0 THEN time END AS t FROM obs)
+          WHERE (t IS NULL OR t BETWEEN TIMESTAMP '2024-01-04' AND TIMESTAMP '2024-01-18') AND lon BETWEEN -10 AND -3 AND lat BETWEEN 49 AND 54""", "obs")
+def s9_store(t):
+    """Observations written by month and place, then read by window and box."""
+    path = scratch_folder(t.spark)
+    write_store(t.obs.withColumn("time", F.when(F.col("obs_id") % 17 != 0, F.col("time"))), path)
+    rows = read_store(t.spark, path, "2024-01-04", "2024-01-18", (-10, -3, 49, 54), timeless=True)
+    return rows.withColumn("timeless", F.col("time").isNull())
+
+
+@query("s12_pairs_store", "method:s val_source:s n:i wind:d",
+       """SELECT m.method, val_source, count(*) AS n, avg(val_WSPD) AS wind FROM pairs, (VALUES ('cell-averaging'), ('individual')) AS m(method)
+          WHERE val_time BETWEEN TIMESTAMP '1994-03-01' AND TIMESTAMP '1996-08-15' AND sar_lon BETWEEN -9 AND -4 AND sar_lat BETWEEN 50 AND 53 GROUP BY ALL""", "pairs")
+def s12_store(t):
+    """Matches of two methods side by side, one of them written twice."""
+    path = scratch_folder(t.spark)
+    for method in ("cell-averaging", "individual", "cell-averaging"):
+        write_store(t.pairs.withColumn("method", F.lit(method)), path, "val_time", "sar_lon", "sar_lat", ["method"])
+    rows = read_store(t.spark, path, "1994-03-01", "1996-08-15", (-9, -4, 50, 53), "val_time", "sar_lon", "sar_lat")
+    return rows.groupBy("method", "val_source").agg(F.count("*").alias("n"), F.avg("val_WSPD").alias("wind"))
+
+
 @query("s11_union_segments", "source:s n:i u10:d", "SELECT source, count(*) AS n, avg(u10) AS u10 FROM model GROUP BY source", "model")
 def s11(t):
     early = t.model.filter(F.col("time") < F.lit("2024-01-15").cast("timestamp"))

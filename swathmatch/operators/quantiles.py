@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -36,8 +36,9 @@ def value_bins(df: DataFrame, by: Sequence[str], value: str, bins: int = BINS) -
 def exact_quantiles(df: DataFrame, by: Sequence[str], value: str, probs, bins: int = BINS) -> DataFrame:
     """Linearly interpolated quantiles per group, as an array column ``q``.
 
-    *probs* is a list of numbers, or the name of an ``ARRAY<DOUBLE>`` column
-    which is constant within a group.  Also returns ``n``, the rows used.
+    *probs* is a list of numbers, the name of an ``ARRAY<DOUBLE>`` column which is
+    constant within a group, or such an array made from the columns of *by* and ``n``.
+    Also returns ``n``, the rows used.
 
     Spark's own exact percentile gathers all distinct values of a group in one
     task.  Here a group is cut into *bins* (see ``value_bins``); counting them tells
@@ -50,7 +51,9 @@ def exact_quantiles(df: DataFrame, by: Sequence[str], value: str, probs, bins: i
         return exact_quantiles(everything, ["_all"], value, probs, bins).drop("_all")
     wanted = probs if isinstance(probs, str) else None
     binned, stats = value_bins(df, by, value, bins)
-    if wanted:
+    if isinstance(probs, Column):
+        stats = stats.withColumn("_probs", probs)
+    elif wanted:
         stats = stats.join(df.filter(F.col(value).isNotNull()).groupBy(*by).agg(F.first(wanted).alias("_probs")), by)
     else:
         stats = stats.withColumn("_probs", F.array(*[F.lit(float(p)) for p in probs]))
@@ -85,3 +88,18 @@ def exact_quantiles(df: DataFrame, by: Sequence[str], value: str, probs, bins: i
         F.transform(F.array_sort(F.collect_list(F.struct("_i", "_q"))), lambda s: s["_q"]).alias("q")
     )
     return arrays.join(stats.select(*by, "n"), by)
+
+
+def several_quantiles(df: DataFrame, by: Sequence[str], wanted: Mapping[str, tuple[Column, float]]) -> DataFrame:
+    """One row per group: for each name in *wanted* the quantile of a column.
+
+    All columns go through one pass: each row gives a value for every column, and equal
+    values of a column are counted before anything is shuffled.  NULLs do not count; a
+    group without a value for a name has NULL there, one without any value has no row.
+    """
+    by = list(by)
+    sides = F.array(*[F.struct(F.lit(i).alias("side"), c.cast("double").alias("x")) for i, (c, _) in enumerate(wanted.values())])
+    rows = df.select(*by, F.explode(sides).alias("_p")).select(*by, F.col("_p.side").alias("_side"), F.col("_p.x").alias("_x")).filter("_x IS NOT NULL")
+    prob = F.element_at(F.array(*[F.lit(float(p)) for _, p in wanted.values()]), F.col("_side") + 1)
+    q = exact_quantiles(rows, [*by, "_side"], "_x", F.array(prob))
+    return q.groupBy(*by).agg(*[F.max(F.when(F.col("_side") == i, F.col("q")[0])).alias(name) for i, name in enumerate(wanted)])

@@ -11,7 +11,7 @@ from swathmatch import constants as K
 from swathmatch.functions.geo import circular_diff_deg
 from swathmatch.operators import stats
 from swathmatch.operators.predict import category
-from swathmatch.operators.quantiles import exact_quantiles
+from swathmatch.operators.quantiles import exact_quantiles, several_quantiles
 from swathmatch.operators.skew import attach_single, salted_join
 
 OBSERVATION = ("val_source", "val_id", "val_time", "val_lat", "val_lon")
@@ -121,13 +121,9 @@ def difference_grid(pairs: DataFrame, sar: str, val: str) -> tuple[DataFrame, Da
     ).select("val_source", "sar_lon", "sar_lat", residual(sar, val).alias("diff"),
              "aggregation_window_km", "sar_pixel_spacing_km")
 
-    def median(df: DataFrame, c: str, name: str) -> DataFrame:
-        return exact_quantiles(df, ["val_source"], c, [0.5]).select("val_source", F.col("q")[0].alias(name))
-
-    window = median(rows.filter("aggregation_window_km > 0"), "aggregation_window_km", "_win")
-    pixel = median(rows, "sar_pixel_spacing_km", "_px")
-    top = exact_quantiles(rows.withColumn("_abs", F.abs("diff")), ["val_source"], "_abs", [0.98]).select(
-        "val_source", F.col("q")[0].alias("vmax"))
+    middles = several_quantiles(rows, ["val_source"], {
+        "_win": (F.when(F.col("aggregation_window_km") > 0, F.col("aggregation_window_km")), 0.5),
+        "_px": (F.col("sar_pixel_spacing_km"), 0.5), "vmax": (F.abs("diff"), 0.98)})
     shifted = F.pmod(F.col("sar_lon"), F.lit(360.0)) - 180.0
     frame = rows.groupBy("val_source").agg(
         F.avg("sar_lat").alias("mean_lat"), F.min("sar_lat").alias("lat0"),
@@ -135,7 +131,7 @@ def difference_grid(pairs: DataFrame, sar: str, val: str) -> tuple[DataFrame, Da
         (F.max("sar_lon") - F.min("sar_lon") > 180.0).alias("wraps"))
     km = F.coalesce(2 * F.col("_win"), F.col("_px"), F.lit(0.0))
     scales = (
-        frame.join(window, "val_source", "left").join(pixel, "val_source", "left").join(top, "val_source")
+        frame.join(middles, "val_source")
         .withColumn("cell_km", km)
         .select("val_source", "cell_km", "wraps", "lat0",
                 F.when(F.col("wraps"), F.col("_slon0")).otherwise(F.col("_lon0")).alias("lon0"),

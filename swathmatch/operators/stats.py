@@ -134,11 +134,10 @@ def cdf_fit(pairs: DataFrame, sar: str, val: str, by: Sequence[str]) -> DataFram
         F.struct(F.lit("s").alias("side"), F.col(sar).cast("double").alias("x")),
         F.struct(F.lit("v").alias("side"), F.col(val).cast("double").alias("x")))).alias("p")
     ).select(*by, "p.side", "p.x")
-    n = rows.groupBy(*by).agg(F.count("*").alias("_n"))
+    # both sides of a group have its number of rows, which the quantiles know as n
     bins = F.greatest(F.lit(K.CDF_MIN_BINS),
-                      F.least(F.lit(K.CDF_MAX_BINS), F.floor(F.col("_n") / K.CDF_ROWS_PER_BIN).cast("int")))
-    probs = n.select(*by, F.transform(F.sequence(F.lit(0), bins), lambda i: i / bins).alias("_p"))
-    q = exact_quantiles(salted_join(sides, probs, by, salts=None), [*by, "side"], "x", "_p")
+                      F.least(F.lit(K.CDF_MAX_BINS), F.floor(F.col("n") / K.CDF_ROWS_PER_BIN).cast("int")))
+    q = exact_quantiles(sides, [*by, "side"], "x", F.transform(F.sequence(F.lit(0), bins), lambda i: i / bins))
     both = q.groupBy(*by).agg(
         F.max(F.when(F.col("side") == "s", F.col("n"))).alias("n"),
         F.min_by("q", F.when(F.col("side") == "s", 0)).alias("qs"),
