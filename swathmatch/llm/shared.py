@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 import uuid
 import zipfile
@@ -23,11 +24,13 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def scratch(spark: SparkSession) -> str:
     """A new path in the folder that driver and executors share.
 
-    The cluster names it in ``spark.checkpoint.dir``; only where that is unset
-    (tests, a laptop) a local one is made.
+    The cluster names it in ``spark.checkpoint.dir``; only where that is unset and
+    all runs on one machine (tests, a laptop) a local one is made.
     """
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if not folder:
+        if not re.fullmatch(r"local(\[[^]]*\])?", spark.sparkContext.master):
+            raise ValueError("name a folder that all executors share in spark.checkpoint.dir")
         folder = "file://" + tempfile.mkdtemp(prefix="swathmatch-llm-")
         spark.conf.set("spark.checkpoint.dir", folder)
     return f"{folder.rstrip('/')}/{uuid.uuid4().hex}"
