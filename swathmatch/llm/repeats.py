@@ -231,10 +231,14 @@ def repeated_spans(docs: DataFrame, length: int = LENGTH, words: bool = False) -
     """
     q = max(1, length // 4)
     keyed = _keyed(docs)
-    sampled = settle(_sampled(keyed, length, q, words))
-    # written before it is joined: Spark splits hot keys between plain exchanges only
-    often = settle(sampled.groupBy("bucket").agg(F.sum("n").alias("n")).filter("n > 1").select("bucket"))
-    sampled = settle(sampled.join(often, "bucket", "left_semi"))
+    paths: list[str] = []
+    with recorded(paths):
+        every = settle(_sampled(keyed, length, q, words))
+        # written before it is joined: Spark splits hot keys between plain exchanges only
+        often = settle(every.groupBy("bucket").agg(F.sum("n").alias("n")).filter("n > 1").select("bucket"))
+    sampled = settle(every.join(often, "bucket", "left_semi"))
+    # most suffixes have a bucket of their own; the rest is written, so they can go
+    forget(docs.sparkSession, paths)
     more = ["byte", "bytes"] if words else []
     kinds = settle(sampled.groupBy("bucket", "reach").agg(F.sum("n").alias("n"), F.min(F.struct("doc", "mark", "pos", "lo", "hi", *more)).alias("m")))
     whole = sampled.join(kinds.filter("n > 1").select("bucket", "reach"), ["bucket", "reach"], "left_semi").select("doc", "mark", "lo", F.col("till").alias("hi"))
