@@ -48,13 +48,64 @@ def test_every_id_once_and_no_padding(spark, targets):
     check(packing.pack(df, PATH, 1024, targets).collect(), docs, 1024)
 
 
-def test_windows_hold_the_target_shares(spark):
+def variations(pieces, window, shares):
+    """Total variation between the mixture of each full window and *shares*."""
+    held = defaultdict(lambda: defaultdict(int))
+    for p in pieces:
+        held[p.sequence_id][p.source] += p.length
+    return {q: sum(abs(by.get(s, 0) / window - x) for s, x in shares.items()) / 2
+            for q, by in held.items() if sum(by.values()) == window}
+
+
+def mixed(rng, n, sources, longest):
+    """Documents of very uneven length, a third of them of one source."""
+    return [(i, "hot" if rng.random() < 0.33 else f"s{rng.randrange(sources)}", "word " * int(longest ** rng.random())) for i in range(n)]
+
+
+def test_every_window_holds_the_target_shares(spark):
+    ship(spark)
+    docs = mixed(random.Random(7), 1300, 9, 3000)
+    out = packing.pack(spark.createDataFrame(docs, "doc_id long, source string, text string"), PATH).collect()
+    check(out, docs, 4096)
+    tokens = defaultdict(int)
+    for p in out:
+        tokens[p.source] += p.length
+    found = variations(out, 4096, {s: n / sum(tokens.values()) for s, n in tokens.items()})
+    assert len(found) == sum(tokens.values()) // 4096 > 100
+    assert max(found.values()) < 0.05
+
+
+def test_given_targets_while_all_sources_last(spark):
+    ship(spark)
+    docs = [(i, "ab"[i % 4 == 0], "word " * (900 if i % 10 == 0 else 20)) for i in range(4000)]
+    df = spark.createDataFrame(docs, "doc_id long, source string, text string")
+    out = packing.pack(df, PATH, 1024, {"a": 1, "b": 1}).collect()
+    check(out, docs, 1024)
+    last = {s: max(p.sequence_id for p in out if p.source == s) for s in "ab"}
+    found = variations(out, 1024, {"a": 0.5, "b": 0.5})
+    until = min(last.values())
+    assert until > 50 and max(x for q, x in found.items() if q < until) < 0.01
+
+
+def test_small_sources_save_up_and_come_in_turn(spark):
+    """A source whose share is below the least number of tokens is not cut into crumbs."""
     ship(spark)
-    docs = [(i, "ab"[i % 4 == 0], "word " * 20) for i in range(4000)]
-    out = packing.pack(spark.createDataFrame(docs, "doc_id long, source string, text string"), PATH, 1024)
-    shares = out.filter("sequence_id < 70").groupBy("sequence_id").agg(F.sum(F.when(F.col("source") == "b", F.col("length"))).alias("b"))
-    for r in shares.collect():
-        assert abs(r.b / 1024 - 0.25) <= 2 * 21 / 1024
+    docs = [(i, f"s{i % 300}" if i % 2 else "hot", "word " * 150) for i in range(1800)]
+    out = packing.pack(spark.createDataFrame(docs, "doc_id long, source string, text string"), PATH, 1024, least=64).collect()
+    check(out, docs, 1024)
+    sizes = sorted(p.length for p in out if p.source != "hot")
+    assert np.median(sizes) >= 40
+    hot = defaultdict(int)
+    for p in out:
+        hot[p.sequence_id] += p.length * (p.source == "hot")
+    full = [hot[q] / 1024 for q in range(sum(p.length for p in out) // 1024)]
+    assert abs(np.mean(full) - 0.5) < 0.02 and np.percentile(full, 95) < 0.8
+
+
+def test_targets_above_zero(spark):
+    df = spark.createDataFrame(docs_of(3), "doc_id long, source string, text string")
+    with pytest.raises(ValueError):
+        packing.pack(df, PATH, 1024, {"hot": 0.0, "s1": 1.0})
 
 
 def test_empty_table(spark):
