@@ -376,28 +376,45 @@ def matched_unmatched(obs: DataFrame, pairs: DataFrame, windows: DataFrame) -> D
     decimals, is among the matched ones of its category.  Unmatched ones count
     only where some scene was within their tolerance; an unknown time is eligible,
     and every time is where no scene has one.
+
+    The observations are read once: a row looks up its position, then the day in
+    which its tolerance ends.
     """
     def place(lon: str, lat: str) -> list[Column]:
         return [F.round(lon, 6).alias("_lon"), F.round(lat, 6).alias("_lat")]
 
     rows = obs.withColumn("category", category("platform_type")).select("*", *place("lon", "lat"))
     done = pairs.select(category("val_source").alias("category"), *place("val_lon", "val_lat")).distinct()
-    keys = ["category", "_lon", "_lat"]
-    matched = rows.join(done, keys, "left_semi").withColumn("matched", F.lit(True))
-    rest = rows.join(done, keys, "left_anti").withColumn("t_us", micros("time"))
+    found = salted_join(rows, done.withColumn("_hit", F.lit(True)), ["category", "_lon", "_lat"], "left")
     known = windows.filter(F.col("start").isNotNull() & F.col("end").isNotNull())
-    rest = attach_single(rest, known.agg((F.count("*") > 0).alias("_timed")))
-    timed = rest.filter(F.col("t_us").isNotNull() & F.col("_timed"))
-    # the merged spans of a day do not overlap: few of them can meet one reading
-    from_us, to_us = F.col("t_us") - F.col("tolerance_us"), F.col("t_us") + F.col("tolerance_us")
-    days = timed.select("obs_id", from_us.alias("from_us"), to_us.alias("to_us"), F.explode(F.sequence(
-        F.floor(from_us / F.lit(DAY)), F.floor(to_us / F.lit(DAY)))).alias("_day"))
-    meets = salted_join(days, merged_windows(known), ["_day"]).filter(
-        (F.col("from_us") <= F.col("w_to")) & (F.col("to_us") >= F.col("w_from")))
-    eligible = timed.join(meets.select("obs_id").distinct(), "obs_id", "left_semi").unionByName(
-        rest.filter(F.col("t_us").isNull() | ~F.col("_timed")))
-    cols = ["obs_id", "category", "lon", "lat", "platform_type", "matched"]
-    return matched.select(*cols).unionByName(eligible.withColumn("matched", F.lit(False)).select(*cols))
+    ends = F.when(F.col("start") <= F.col("end"), micros("end"))
+    found = attach_single(found, known.agg((F.count("*") > 0).alias("_timed"), (F.floor(F.max(ends) / F.lit(DAY)) + 1).alias("_beyond")))
+    from_us, to_us = micros("time") - F.col("tolerance_us"), micros("time") + F.col("tolerance_us")
+    # rows without a time meet no day; they are kept apart, so as not to share one key
+    nowhere = F.lit(-(1 << 40)) - F.pmod(F.xxhash64("obs_id", "lon", "lat"), F.lit(1 << 16))
+    found = found.withColumns({"_from": from_us, "_to": to_us}).withColumn("_day", F.when(
+        F.col("_to").isNull(), nowhere).otherwise(F.least(F.floor(F.col("_to") / F.lit(DAY)), F.col("_beyond"))))
+    seen = salted_join(found, _scene_days(known), ["_day"], "left")
+    near = F.exists("_spans", lambda s: (s["w_from"] <= F.col("_to")) & (s["w_to"] >= F.col("_from")))
+    eligible = F.col("time").isNull() | ~F.col("_timed") | F.coalesce(F.col("_earlier") >= F.col("_from"), F.lit(False)) | F.coalesce(near, F.lit(False))
+    matched = F.coalesce("_hit", F.lit(False))
+    return seen.filter(matched | eligible).select("obs_id", "category", "lon", "lat", "platform_type", matched.alias("matched"))
+
+
+def _scene_days(windows: DataFrame) -> DataFrame:
+    """``_day, _spans, _earlier`` of every day from the first window to the day behind the
+    last: the merged windows of the day, and the end of the last one of the days before.
+
+    The days are a calendar: their number depends on the time covered only.
+    """
+    merged = merged_windows(windows)
+    spans = merged.groupBy("_day").agg(F.collect_list(F.struct("w_from", "w_to")).alias("_spans"))
+    days = Window.partitionBy().orderBy("_day")
+    lasts = merged.groupBy("_day").agg(F.max("w_to").alias("_last")).select(
+        "_day", "_last", F.lag("_last").over(days).alias("_before"), F.coalesce(F.lead("_day").over(days) - 1, F.col("_day") + 1).alias("_until"))
+    calendar = lasts.withColumn("_at", F.explode(F.sequence("_day", "_until"))).select(
+        F.col("_at").alias("_day"), F.when(F.col("_at") == F.col("_day"), F.col("_before")).otherwise(F.col("_last")).alias("_earlier"))
+    return calendar.join(spans, "_day", "left")
 
 
 def merged_windows(windows: DataFrame, slot: int = DAY) -> DataFrame:
