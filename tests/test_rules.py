@@ -235,3 +235,11 @@ def test_index_and_station_files_are_read_from_disk(spark, tmp_path):
     assert lines.count() == 5
     got = {r.dir_prefix.rstrip("/").split("/")[-1]: r for r in readers.station_date_ranges(lines).collect()}
     assert [str(v)[:10] for v in list(got["s1"].asDict().values())[1:3]] == ["2024-01-02", "2024-01-05"]
+
+
+def test_epoch_time_is_exact_far_from_its_epoch(spark):
+    rows = spark.createDataFrame([(9_000_001 * 86413, 0.25), (-3, -1.5)], "s bigint, d double")
+    at = rows.select(F.unix_micros(D.epoch_time("1970-01-01", seconds=F.col("s"))).alias("s"),
+                     F.unix_micros(D.epoch_time("1970-01-01", days=F.col("d"))).alias("d")).collect()
+    assert [r.s for r in at] == [9_000_001 * 86413 * 1_000_000, -3_000_000]
+    assert [r.d for r in at] == [21_600_000_000, -129_600_000_000]
