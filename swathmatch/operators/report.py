@@ -126,8 +126,9 @@ def difference_grid(pairs: DataFrame, sar: str, val: str) -> tuple[DataFrame, Da
         "_px": (F.col("sar_pixel_spacing_km"), 0.5), "vmax": (F.abs("diff"), 0.98)})
     shifted = F.pmod(F.col("sar_lon"), F.lit(360.0)) - 180.0
     frame = rows.groupBy("val_source").agg(
-        F.avg("sar_lat").alias("mean_lat"), F.min("sar_lat").alias("lat0"),
-        F.min("sar_lon").alias("_lon0"), F.min(shifted).alias("_slon0"),
+        # an exact sum: the width of a cell must not depend on the order of the rows
+        (F.sum(F.col("sar_lat").cast("decimal(20,15)")).cast("double") / F.count("sar_lat")).alias("mean_lat"),
+        F.min("sar_lat").alias("lat0"), F.min("sar_lon").alias("_lon0"), F.min(shifted).alias("_slon0"),
         (F.max("sar_lon") - F.min("sar_lon") > 180.0).alias("wraps"))
     km = F.coalesce(2 * F.col("_win"), F.col("_px"), F.lit(0.0))
     scales = (

@@ -243,3 +243,16 @@ def test_epoch_time_is_exact_far_from_its_epoch(spark):
                      F.unix_micros(D.epoch_time("1970-01-01", days=F.col("d"))).alias("d")).collect()
     assert [r.s for r in at] == [9_000_001 * 86413 * 1_000_000, -3_000_000]
     assert [r.d for r in at] == [21_600_000_000, -129_600_000_000]
+
+
+def test_difference_grid_does_not_depend_on_row_order(spark):
+    rnd = random.Random(5)
+    rows = [("buoy", "layer_vs_layer", 5.0, 4.0, -12 + rnd.randrange(2400) / 200, 48 + rnd.randrange(1600) / 200, 15.5, None) for _ in range(400)]
+    schema = ("val_source string, collocation_type string, sar_v double, val_v double, sar_lon double, sar_lat double, "
+              "aggregation_window_km double, sar_pixel_spacing_km double")
+    seen = set()
+    for i in range(12):
+        rnd.shuffle(rows)
+        df = spark.createDataFrame(rows, schema).coalesce(1 + i % 3)
+        seen.add(tuple(sorted(map(tuple, report.difference_grid(df, "sar_v", "val_v")[0].collect()))))
+    assert len(seen) == 1
