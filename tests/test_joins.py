@@ -276,3 +276,68 @@ def test_hot_keys_and_equal_rows_spread_over_lanes(spark):
     small = spark.createDataFrame([("hot", 5), ("cold", 6)], "k string, y int")
     out = salted_join(big, small, ["k"], salts=None)
     assert out.count() == 4000 and {r.y for r in out.distinct().collect()} == {5}
+
+
+def shuffled_rows(spark, df):
+    """Most rows any stage writes to the shuffle while *df* is computed."""
+    gateway, store = spark.sparkContext._gateway, spark.sparkContext._jsc.sc().statusStore()
+
+    def stages():
+        found = store.stageList(gateway.jvm.java.util.ArrayList(), False, False, gateway.new_array(gateway.jvm.double, 0),
+                                gateway.jvm.java.util.ArrayList())
+        return {(s.stageId(), s.attemptId()): s.shuffleWriteRecords() for s in (found.apply(i) for i in range(found.size()))}
+
+    before = stages()
+    df.write.format("noop").mode("overwrite").save()
+    spark.sparkContext._jsc.sc().listenerBus().waitUntilEmpty()
+    return max(n for k, n in stages().items() if k not in before)
+
+
+def many_scenes(spark, scenes):
+    return grid(spark).filter("y < 2").drop("scene").crossJoin(spark.range(scenes).select(F.col("id").cast("string").alias("scene")))
+
+
+def readings_at_noon(spark, n):
+    return spark.range(n).select(
+        F.col("id").alias("obs_id"), F.col("id").cast("string").alias("platform_id"), F.lit("mooring").alias("platform_type"),
+        F.timestamp_micros(F.lit(1767268800000000) + F.col("id") * 1000).alias("time"), F.lit(0.1).alias("lon"), F.lit(51.1).alias("lat"),
+        F.when(F.col("id") % 11 != 0, F.col("id").cast("double")).alias("WSPD"))
+
+
+def test_pairs_of_reading_and_scene_are_not_shuffled(spark):
+    cells, obs = many_scenes(spark, 60), readings_at_noon(spark, 600)
+    pairs = spatial.radius_join(cells, obs, SAR, ["WSPD"], MatchSpec(30, 25, 60, "equal"))
+    assert pairs.count() == 60 * (600 - 55)
+    assert shuffled_rows(spark, pairs) < 10_000
+    nearest = spatial.nearest_join(cells, obs, SAR, ["WSPD"], MatchSpec(30, 60, 60, "equal"), "x")
+    assert shuffled_rows(spark, nearest) < 25_000
+
+
+@pytest.mark.parametrize("platform", ["a", None])
+def test_gap_is_filled_from_a_candidate_of_the_scene(spark, platform):
+    # seven valid readings beside the scene come ahead of the one inside, more than an observation carries
+    at = [NOON + dt.timedelta(minutes=m) for m in range(12)]
+    rows = [(0, platform, "m", at[0], 0.1, 52.1, None)]
+    rows += [(i, platform, "m", at[i], 40.0, 52.1, 100.0 + i) for i in range(1, 8)]
+    rows += [(9, platform, "m", at[9], 0.1, 52.1, 9.0), (8, platform, "m", at[9], 0.1, 52.1, 8.0)]
+    obs = observations(spark, rows)
+    spec = MatchSpec(30, 25, 60, "equal")
+    r = spatial.radius_join(grid(spark), obs if platform else obs.drop("platform_id"), SAR, ["WSPD"], spec).collect()
+    assert sorted(x.val_WSPD for x in r) == [8.0, 8.0, 9.0]
+    # a row without a platform keeps its gap
+    if platform is None:
+        assert sorted(x.val_WSPD for x in spatial.radius_join(grid(spark), obs, SAR, ["WSPD"], spec).collect()) == [8.0, 9.0]
+
+
+def test_gaps_agree_with_a_fill_inside_each_scene(spark):
+    rnd = random.Random(3)
+    rows = [(i, rnd.choice("ab"), "m", NOON + dt.timedelta(minutes=rnd.randrange(-35, 36)), rnd.uniform(-2.5, 2.5), 52.1,
+             float(i) if rnd.random() < 0.4 else None) for i in range(150)]
+    obs, cells = observations(spark, rows), grid(spark)
+    spec = MatchSpec(30, 25, 60, "equal")
+    pool = spatial.candidates(obs, spatial.scene_extents(cells), 25 / spatial.K.KM_PER_DEG_RADIUS_BUFFER, spec.tolerance_us)
+    want = next_valid(pool, ["scene"], "obs_us", "obs_id", ["WSPD"], spec.tolerance_us)
+    near = {(round(x.val_lon, 9), round(x.val_lat, 9)) for x in spatial.radius_join(cells, obs.fillna(1.0, ["WSPD"]), SAR, ["WSPD"], spec).collect()}
+    r = spatial.radius_join(cells, obs, SAR, ["WSPD"], spec).collect()
+    assert sorted((round(x.val_lon, 9), x.val_WSPD) for x in r) == sorted(
+        (round(x.lon, 9), x.WSPD) for x in want.collect() if x.WSPD is not None and (round(x.lon, 9), round(x.lat, 9)) in near)
