@@ -9,6 +9,7 @@ Column contract
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
@@ -16,7 +17,7 @@ from pyspark.sql import functions as F
 
 from swathmatch import constants as K
 from swathmatch.functions.geo import (
-    bearing_deg, destination_point, haversine_km, in_box, inside_edges, point_in_polygon, polygon_edges, segment_distance_km,
+    bearing_deg, destination_point, haversine_km, in_box, inside_edges, point_in_polygon, polygon_edges, segment_distance_km, unit_xyz,
 )
 from swathmatch.operators.ordered import micros, run_numbers, with_neighbours
 from swathmatch.operators.overlap import Axis, overlap_counts, overlap_join
@@ -277,15 +278,16 @@ def track_match(samples: DataFrame, targets: DataFrame, swaths: DataFrame, margi
     A sample lies in one cell of latitude and longitude; an area is listed under the
     cells from which the sweep may reach it, in the half hours of its window.
     """
-    track = track_neighbours(samples).withColumnRenamed("prev_t_us", "before_us")
     known = targets.join(swaths, "satellite").withColumns({
         "offset_km": F.col("swath_half_width_km") + margin_km, "start_us": micros("start"), "end_us": micros("end")})
-    hits = _in_reach(track, known).filter(_sees(F.col("offset_km"))).select("target_id", "t_us", "before_us", "start_us", "end_us")
+    near = _in_strip(_in_reach(_placed(track_neighbours(samples)), _capped(known)))
+    hits = near.filter(_sees(F.col("offset_km"))).select("target_id", "t_us", "before_us", "start_us", "end_us")
     # a run goes on where the sample ahead on the track was seen too: within a day first,
     # then over the days, of which a run is one row each
     inside = Window.partitionBy("target_id", "_day").orderBy("t_us")
     days = hits.withColumn("_day", F.floor(F.col("t_us") / DAY))
-    days = days.withColumn("_new", F.coalesce(F.lag("t_us").over(inside) != F.col("before_us"), F.lit(True)).cast("int"))
+    ahead = F.lag("t_us").over(inside)
+    days = days.withColumn("_new", F.coalesce((ahead != F.col("before_us")) & (ahead != F.col("t_us")), ahead.isNull() | (ahead != F.col("t_us"))).cast("int"))
     parts = days.withColumn("_part", F.sum("_new").over(inside)).groupBy("target_id", "_day", "_part").agg(
         F.min("t_us").alias("lo"), F.max("t_us").alias("hi"), F.min_by("before_us", "t_us").alias("before_us"),
         F.min("start_us").alias("start_us"), F.max("end_us").alias("end_us"))
@@ -333,21 +335,87 @@ def _in_reach(track: DataFrame, targets: DataFrame) -> DataFrame:
     return pairs.filter(F.col("t_us").between(F.col("start_us"), F.col("end_us"))).drop("_slot", "_y", "_x")
 
 
+def _placed(track: DataFrame) -> DataFrame:
+    """Samples of a track once each, with what ``_in_strip`` asks: their place and heading
+    as unit vectors, the longest way to a neighbour in radians, and the time ahead of their own.
+
+    Samples repeated at one time and place differ in their neighbours only, so a few rows are left of them.
+    """
+    same = Window.partitionBy("satellite", "t_us")
+    before = F.min(F.when(F.col("prev_t_us") < F.col("t_us"), F.col("prev_t_us"))).over(same)
+    rows = track.withColumn("before_us", before).select(
+        "satellite", "t_us", "before_us", "lat", "lon", "heading", "prev_lat", "prev_lon", "next_lat", "next_lon").distinct()
+    lat, lon, turn = F.radians("lat"), F.radians("lon"), F.radians("heading")
+    north = (-F.sin(lat) * F.cos(lon), -F.sin(lat) * F.sin(lon), F.cos(lat))
+    east = (-F.sin(lon), F.cos(lon), F.lit(0.0))
+    steps = [F.coalesce(haversine_km("lon", "lat", f"{k}_lon", f"{k}_lat"), F.lit(0.0)) / K.EARTH_RADIUS_KM for k in ("prev", "next")]
+    return rows.withColumns({
+        **{f"_p{k}": x for k, x in zip("xyz", unit_xyz("lon", "lat"), strict=True)},
+        **{f"_h{k}": n * F.cos(turn) + e * F.sin(turn) for k, n, e in zip("xyz", north, east, strict=True)}, "_step": F.greatest(*steps)})
+
+
+def _capped(targets: DataFrame) -> DataFrame:
+    """Targets with a circle around each, for ``_in_strip``: its centre as a unit vector, its radius in radians
+    (NULL where a box wraps, spans more than half the globe or has no sides)."""
+    point = F.col("shape") == "point"
+    south, north = F.greatest(F.col("min_lat"), F.lit(-90.0)), F.least(F.col("max_lat"), F.lit(90.0))
+    half = (F.col("max_lon") - F.col("min_lon")) / 2
+    lon, lat = (F.col("min_lon") + F.col("max_lon")) / 2, (south + north) / 2
+    # the corners are what lies furthest from the middle of a box up to 180 degrees wide
+    corner = F.greatest(*[haversine_km(lon, lat, F.col("max_lon"), edge) for edge in (south, north)]) / K.EARTH_RADIUS_KM
+    framed = half.between(0, 90) & (south <= north)
+    centre = unit_xyz(F.when(point, F.col("lon0")).otherwise(lon), F.when(point, F.col("lat0")).otherwise(lat))
+    return targets.withColumns({**{f"_c{k}": x for k, x in zip("xyz", centre, strict=True)},
+                                "_cap": F.when(point, F.lit(0.0)).when(framed, corner)})
+
+
+def _in_strip(pairs: DataFrame) -> DataFrame:
+    """Pairs that ``_sees`` may accept, told by two products of vectors; the sweep's steps worth looking at as ``_w``.
+
+    A sweep lies on the great circle across the heading, so the target's circle must meet
+    that one, no further off than the sweep is long; a point must lie within the offset
+    and the way to the next sample.  Where that cannot be told, the pair stays.
+    """
+    def dot(a: str, b: str) -> Column:
+        return sum((F.col(f"_{a}{k}") * F.col(f"_{b}{k}") for k in "yz"), F.col(f"_{a}x") * F.col(f"_{b}x"))
+
+    slack, half_turn = 1e-6, math.pi
+    point, cap, long = F.col("shape") == "point", F.col("_cap"), F.col("offset_km") / K.EARTH_RADIUS_KM
+    far = F.when(point, long + F.col("_step")).otherwise(long + cap) + slack
+    reached = (far >= half_turn) | (dot("c", "p") >= F.cos(far))
+    met = point | (cap + slack >= half_turn / 2) | (F.abs(dot("c", "h")) <= F.sin(cap + slack))
+    known = F.abs(F.col("lat")) <= 90
+    rows = pairs.filter(F.coalesce(~known | (reached & met), F.lit(True)))
+    # how far the target lies along the sweep, to the right of the heading
+    c, h, p = ([F.col(f"_{v}{k}") for k in "xyz"] for v in "chp")
+    right = sum((c[i] * (h[(i + 1) % 3] * p[(i + 2) % 3] - h[(i + 2) % 3] * p[(i + 1) % 3]) for i in (1, 2)), c[0] * (h[1] * p[2] - h[2] * p[1]))
+    at, steps = F.atan2(right, dot("c", "p")), _steps(F.col("offset_km"))
+    told = F.coalesce(known & (long + cap + slack < half_turn) & (cap + slack < half_turn / 2), F.lit(False))
+    least = F.when(told, F.greatest(-steps, F.floor((at - cap - slack) / long * steps).cast("int"))).otherwise(-steps)
+    most = F.when(told, F.least(steps, F.ceil((at + cap + slack) / long * steps).cast("int"))).otherwise(steps)
+    # a row of its own keeps the costly test behind the cheap one
+    return rows.withColumn("_w", F.explode(F.array(F.struct(least.alias("least"), most.alias("most")))))
+
+
+def _steps(offset: Column) -> Column:
+    return F.greatest(F.lit(1), F.ceil(offset / K.CROSS_TRACK_STEP_KM).cast("int"))
+
+
 def _sees(offset: Column) -> Column:
+    """Whether a sample sees the target; of the sweep, only the steps ``_w`` are tried (to the left below 0)."""
     lat, lon = F.col("lat"), F.col("lon")
 
     def holds(y: Column, x: Column) -> Column:
         box = in_box(x, y, "min_lon", "max_lon", "min_lat", "max_lat")
         return F.when(F.col("shape") == "polygon", box & point_in_polygon(y, x, "polygon")).otherwise(box)
 
-    steps = F.greatest(F.lit(1), F.ceil(offset / K.CROSS_TRACK_STEP_KM).cast("int"))
-    places = F.flatten(F.transform(F.sequence(F.lit(1), steps), lambda i: F.array(
-        F.struct(F.lit(90.0).alias("side"), (offset * i / steps).alias("km")),
-        F.struct(F.lit(-90.0).alias("side"), (offset * i / steps).alias("km")))))
+    steps = _steps(offset)
+    least, most = F.col("_w.least"), F.col("_w.most")
+    places = F.when(least <= most, F.sequence(least, most)).otherwise(F.array().cast("array<int>"))
 
-    def swept(p: Column) -> Column:
-        y, x = destination_point(lat, lon, F.col("heading") + p["side"], p["km"])
-        return holds(y, x)
+    def swept(i: Column) -> Column:
+        y, x = destination_point(lat, lon, F.col("heading") + F.when(i > 0, 90.0).otherwise(-90.0), offset * F.abs(i) / steps)
+        return (i != 0) & holds(y, x)
 
     # nothing the sweep reaches is further off in latitude than its length
     reach = offset / F.lit(111.0)
