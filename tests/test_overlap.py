@@ -136,3 +136,18 @@ def test_axis_of_numbers_alone(spark):
     rhs = spark.createDataFrame([(1, 1.0, 5.0), (2, 6.0, 7.0)], "rid int, c double, d double")
     got = overlap_join(lhs, rhs, [[Axis("a", "b", "c", "d")]]).select("id", "rid").collect()
     assert sorted(map(tuple, got)) == [(1, 1), (2, 1)]
+
+
+@pytest.mark.parametrize("swapped", [False, True])
+def test_the_smaller_side_waits_in_the_lanes(spark, swapped):
+    """A row of the larger side goes through the shuffle once per cell, whichever side it is on."""
+    many = [(i, T0 + dt.timedelta(hours=i), T0 + dt.timedelta(hours=i, minutes=5), 0) for i in range(400)]
+    few = many[:40]
+    left, right = (many, few) if swapped else (few, many)
+    lhs, rhs = spark.createDataFrame(left, TIMES), spark.createDataFrame(right, R_TIMES).drop("k")
+    axes = ((predict.WINDOW,),)
+    in_use = overlap.cells_in_use(lhs, rhs, axes)
+    for side, df, large in (("l", lhs, swapped), ("r", rhs, not swapped)):
+        rows = overlap._laned(df, in_use, axes, side, F.lit(0)).count()
+        assert rows == overlap.listed(df, in_use, axes, side).count() * (1 if large else overlap.LANES)
+    assert predict.interval_overlap_join(lhs, rhs).count() == 40
