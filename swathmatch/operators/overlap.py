@@ -216,6 +216,91 @@ def overlap_join(left: DataFrame, right: DataFrame, spaces: Spaces, by: Sequence
     return pairs.select(*left.columns, *[c for c in right.columns if c not in by])
 
 
+# rows of one side that a group of ``overlap_pair_counts`` holds before it is cut
+GROUP_ROWS = 20_000
+
+
+def overlap_pair_counts(left: DataFrame, right: DataFrame, spaces: Spaces, key: str, group: str, name: str = "n") -> DataFrame:
+    """``key, group, n``: pairs of ``overlap_join`` counted by a column of either side, none of them made.
+
+    The rows of a cell meet as arrays of numbers, so a pair is a few comparisons and never
+    a row; what leaves a cell is a number for each left row and group.  Parts of one key may
+    come in several rows.  A cell with many rows is cut on both sides, and every
+    piece of one meets every piece of the other.
+    """
+    in_use = cells_in_use(left, right, spaces)
+    axes = [(i, a, k) for k, some in enumerate(_numbered(spaces)) for i, a in some]
+    at = [*[f"_level{k}" for k in range(len(spaces))], *[f"_cell{i}" for i, _, _ in axes]]
+    every = (1 << len(axes) + len(spaces)) - 1
+
+    def side(df: DataFrame, s: str, column: str) -> DataFrame:
+        rows = listed(df.withColumn("_what", F.col(column)), in_use, spaces, s)
+        # a pair counts where, on every axis, one of the two begins in the cell, and one is of the level
+        bits = [_down(F.col(f"_{s}a{i}"), F.col(f"_level{k}")) == F.col(f"_cell{i}") for i, _, k in axes]
+        bits += [F.col(f"_{s}own{k}") == F.col(f"_level{k}") for k in range(len(spaces))]
+        flags = sum((F.when(b, F.lit(1 << n).cast("short")).otherwise(F.lit(0).cast("short")) for n, b in enumerate(bits)), F.lit(0).cast("short"))
+        ends = []
+        for i, a, _ in axes:
+            lo, hi = (f"_{s}a{i}", f"_{s}b{i}") if a.time else ((a.lo, a.hi) if s == "l" else (a.r_lo, a.r_hi))
+            kind = "bigint" if a.time else "double"
+            ends += [F.col(lo).cast(kind).alias(f"lo{i}"), F.col(hi).cast(kind).alias(f"hi{i}")]
+        return rows.select(*at, "_what", flags.alias("flags"), *ends)
+
+    lhs, rhs = side(left, "l", key), side(right, "r", group)
+    # cells to be cut: no more than a GROUP_ROWS-th of the rows, so they may be broadcast
+    full = [df.groupBy(*at).agg(F.ceil(F.count("*") / GROUP_ROWS).cast("int").alias("_pieces")).filter("_pieces > 1") for df in (lhs, rhs)]
+
+    def cut(df: DataFrame, own: int) -> DataFrame:
+        pieces = df
+        for i in (0, 1):
+            pieces = pieces.join(F.broadcast(full[i].withColumnRenamed("_pieces", f"_n{i}")), at, "left")
+        mine, other = (F.coalesce(f"_n{i}", F.lit(1)) for i in (own, 1 - own))
+        return pieces.withColumn(f"_piece{own}", F.pmod(F.xxhash64(*df.columns, F.spark_partition_id()), mine).cast("int")).withColumn(
+            f"_piece{1 - own}", F.explode(F.sequence(F.lit(0), other - 1))).drop("_n0", "_n1")
+
+    numbers, by = [i for i, _, _ in axes], [*at, "_piece0", "_piece1"]
+    schema = f"`{key}` {left.schema[key].dataType.simpleString()}, `{group}` {right.schema[group].dataType.simpleString()}, `{name}` bigint"
+
+    def counted(l, r):
+        import numpy as np
+        import pandas as pd
+
+        def framed(*columns):
+            # as objects texts stay plain arrays
+            return pd.DataFrame({c: pd.Series(x, dtype=x.dtype) for c, x in zip((key, group, name), columns, strict=True)})
+
+        if not len(l) or not len(r):
+            return framed(l["_what"].to_numpy()[:0], np.empty(0, object), np.zeros(0, np.int64))
+        # both sides along the first axis: a block of left rows meets a stretch of the right ones
+        l, r = l.sort_values(f"lo{numbers[0]}"), r.sort_values(f"lo{numbers[0]}")
+        codes, names = pd.factorize(r["_what"], use_na_sentinel=False)
+        l_ends = [(l[f"lo{i}"].to_numpy(), l[f"hi{i}"].to_numpy()) for i in numbers]
+        r_ends = [(r[f"lo{i}"].to_numpy(), r[f"hi{i}"].to_numpy()) for i in numbers]
+        l_flags, r_flags = l["flags"].to_numpy(), r["flags"].to_numpy()
+        begin = r_ends[0][0]
+        longest = (r_ends[0][1] - begin).max()
+        longest += abs(longest) * 1e-9 + 1e-6
+        parts = []
+        for start in range(0, len(l), 128):
+            block = slice(start, start + 128)
+            first = np.searchsorted(begin, l_ends[0][0][block].min() - longest)
+            last = np.searchsorted(begin, l_ends[0][1][block].max(), "right")
+            if first >= last:
+                continue
+            hit = (l_flags[block, None] | r_flags[None, first:last]) == every
+            for (a, b), (c, d) in zip(l_ends, r_ends, strict=True):
+                hit &= a[block, None] <= d[None, first:last]
+                hit &= c[None, first:last] <= b[block, None]
+            row, col = np.nonzero(hit)
+            found = np.bincount(row * len(names) + codes[first:last][col])
+            some = np.flatnonzero(found)
+            parts.append((start + some // len(names), some % len(names), found[some]))
+        row, code, n = (np.concatenate(x) for x in zip(*parts)) if parts else [np.zeros(0, int)] * 3
+        return framed(l["_what"].to_numpy()[row], np.asarray(names, dtype=object)[code], n)
+
+    return cut(lhs, 0).groupBy(*by).cogroup(cut(rhs, 1).groupBy(*by)).applyInPandas(lambda l, r: counted(l, r), schema)
+
+
 def overlap_counts(asked: DataFrame, windows: DataFrame, name: str = "n", by: Sequence[str] = ()) -> DataFrame:
     """*asked* with the number of *windows* (of the same *by*) that each of its windows meets, in column *name*.
 

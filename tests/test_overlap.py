@@ -151,3 +151,35 @@ def test_the_smaller_side_waits_in_the_lanes(spark, swapped):
         rows = overlap._laned(df, in_use, axes, side, F.lit(0)).count()
         assert rows == overlap.listed(df, in_use, axes, side).count() * (1 if large else overlap.LANES)
     assert predict.interval_overlap_join(lhs, rhs).count() == 40
+
+
+def test_pair_counts_equal_the_pairs(spark, monkeypatch):
+    """Counts by group equal those of the joined pairs, with cells cut into pieces, and make no pair."""
+    rng = random.Random(5)
+    left, right = [], []
+    for i in range(160):
+        a = T0 + dt.timedelta(minutes=rng.choice((0, 7, rng.randint(0, 40_000))))
+        x, y, size = rng.uniform(-180, 180), rng.uniform(-80, 80), rng.choice((0.0, 0.01, 3.0, 40.0))
+        box = (x, x + size, y, y + size) if i % 9 else rng.choice([(x, None, y, y), (x + 1, x, y, y + 2), (-180.0, 180.0, -90.0, 90.0)])
+        start, end = rng.choice([(a, a + dt.timedelta(minutes=rng.choice((0, 90, 1500))))] * 9 + [(None, a), (a, None)])
+        left.append((i // 2, start, end, *box))
+        right.append((rng.choice(("a", "b", None)), start, end, *box))
+    kind = "start timestamp, end timestamp, min_lon double, max_lon double, min_lat double, max_lat double"
+    lhs = spark.createDataFrame(left, "fp_id long, " + kind)
+    rhs = spark.createDataFrame(right, "source string, " + ", ".join("r_" + c for c in kind.split(", ")))
+    spaces = ((predict.WINDOW,), predict.BOX)
+    want = overlap_join(lhs, rhs, spaces).groupBy("fp_id", "source").count()
+    want = {(r[0], r[1]): r[2] for r in want.collect()}
+    for rows in (20_000, 20):
+        monkeypatch.setattr(overlap, "GROUP_ROWS", rows)
+        parts = overlap.overlap_pair_counts(lhs, rhs, spaces, "fp_id", "source")
+        got = {(r[0], r[1]): r[2] for r in parts.groupBy("fp_id", "source").agg(F.sum("n")).collect()}
+        assert got == want
+
+
+def test_verdict_takes_counts_for_windows(spark):
+    """A verdict sums the numbers of windows instead of counting rows."""
+    sources = spark.createDataFrame([("s", "catalog-precise", False), ("t", "catalog-precise", False)], "source_type string, bucket string, listing_failed boolean")
+    found = spark.createDataFrame([("s", 1, 5), ("s", 1, 2), ("s", 4, 1)], "source_type string, fp_id long, n_windows long")
+    rows = predict.verdict(sources, found, spark.createDataFrame([(9,)], "n long")).orderBy("source_type").collect()
+    assert [tuple(r) for r in rows] == [("s", "catalog-precise", "collocated", 2, 8), ("t", "catalog-precise", "none-predicted", 0, 0)]
