@@ -216,8 +216,26 @@ def overlap_join(left: DataFrame, right: DataFrame, spaces: Spaces, by: Sequence
     return pairs.select(*left.columns, *[c for c in right.columns if c not in by])
 
 
-# rows of one side that a group of ``overlap_pair_counts`` holds before it is cut
+# rows of one side that a group held as arrays may have before it is cut
 GROUP_ROWS = 20_000
+PIECES = ("_piece0", "_piece1")
+
+
+def cut_groups(lhs: DataFrame, rhs: DataFrame, at: Sequence[str]) -> tuple[DataFrame, DataFrame]:
+    """Both sides of a cogroup by *at* with ``PIECES``: a group of many rows is cut on both
+    sides, and every piece of one meets every piece of the other."""
+    # groups to be cut: no more than a GROUP_ROWS-th of the rows, so they may be broadcast
+    full = [df.groupBy(*at).agg(F.ceil(F.count("*") / GROUP_ROWS).cast("int").alias("_pieces")).filter("_pieces > 1") for df in (lhs, rhs)]
+
+    def cut(df: DataFrame, own: int) -> DataFrame:
+        pieces = df
+        for i in (0, 1):
+            pieces = pieces.join(F.broadcast(full[i].withColumnRenamed("_pieces", f"_n{i}")), list(at), "left")
+        mine, other = (F.coalesce(f"_n{i}", F.lit(1)) for i in (own, 1 - own))
+        return pieces.withColumn(PIECES[own], F.pmod(F.xxhash64(*df.columns, F.spark_partition_id()), mine).cast("int")).withColumn(
+            PIECES[1 - own], F.explode(F.sequence(F.lit(0), other - 1))).drop("_n0", "_n1")
+
+    return cut(lhs, 0), cut(rhs, 1)
 
 
 def overlap_pair_counts(left: DataFrame, right: DataFrame, spaces: Spaces, key: str, group: str, name: str = "n") -> DataFrame:
@@ -247,18 +265,7 @@ def overlap_pair_counts(left: DataFrame, right: DataFrame, spaces: Spaces, key:
         return rows.select(*at, "_what", flags.alias("flags"), *ends)
 
     lhs, rhs = side(left, "l", key), side(right, "r", group)
-    # cells to be cut: no more than a GROUP_ROWS-th of the rows, so they may be broadcast
-    full = [df.groupBy(*at).agg(F.ceil(F.count("*") / GROUP_ROWS).cast("int").alias("_pieces")).filter("_pieces > 1") for df in (lhs, rhs)]
-
-    def cut(df: DataFrame, own: int) -> DataFrame:
-        pieces = df
-        for i in (0, 1):
-            pieces = pieces.join(F.broadcast(full[i].withColumnRenamed("_pieces", f"_n{i}")), at, "left")
-        mine, other = (F.coalesce(f"_n{i}", F.lit(1)) for i in (own, 1 - own))
-        return pieces.withColumn(f"_piece{own}", F.pmod(F.xxhash64(*df.columns, F.spark_partition_id()), mine).cast("int")).withColumn(
-            f"_piece{1 - own}", F.explode(F.sequence(F.lit(0), other - 1))).drop("_n0", "_n1")
-
-    numbers, by = [i for i, _, _ in axes], [*at, "_piece0", "_piece1"]
+    numbers, by = [i for i, _, _ in axes], [*at, *PIECES]
     schema = f"`{key}` {left.schema[key].dataType.simpleString()}, `{group}` {right.schema[group].dataType.simpleString()}, `{name}` bigint"
 
     def counted(l, r):
@@ -298,7 +305,8 @@ def overlap_pair_counts(left: DataFrame, right: DataFrame, spaces: Spaces, key:
         row, code, n = (np.concatenate(x) for x in zip(*parts)) if parts else [np.zeros(0, int)] * 3
         return framed(l["_what"].to_numpy()[row], np.asarray(names, dtype=object)[code], n)
 
-    return cut(lhs, 0).groupBy(*by).cogroup(cut(rhs, 1).groupBy(*by)).applyInPandas(lambda l, r: counted(l, r), schema)
+    lhs, rhs = cut_groups(lhs, rhs, at)
+    return lhs.groupBy(*by).cogroup(rhs.groupBy(*by)).applyInPandas(lambda l, r: counted(l, r), schema)
 
 
 def overlap_counts(asked: DataFrame, windows: DataFrame, name: str = "n", by: Sequence[str] = ()) -> DataFrame:

@@ -19,8 +19,9 @@ from pyspark.sql import functions as F
 
 from swathmatch import constants as K
 from swathmatch.functions.geo import RadiusBins, haversine_km, project_radial
-from swathmatch.functions.weights import distance_weight
+from swathmatch.functions.weights import array_weight, distance_weight
 from swathmatch.operators.ordered import keep_first, micros, next_valid
+from swathmatch.operators.overlap import PIECES, cut_groups
 from swathmatch.operators.skew import salted_join
 
 MINUTE = 60_000_000
@@ -507,6 +508,105 @@ def native_spacing(cells: DataFrame, km_per_deg: float, row: str = "y", col: str
 
 # --- J4 ----------------------------------------------------------------------------
 
+def _footprint_parts(anchors: DataFrame, readings: DataFrame, val_vars: Sequence[str], radius_km: float, tol: int, weight) -> DataFrame:
+    """Rows to be put together per ``scene, point_idx``: least ``dist_km`` and ``dt``, the nearest
+    reading (``mm, obs_id``), and for variable i the weighted sum and weights ``s, w`` and the
+    plain sum and count ``p, c``.
+
+    Readings of a place are sorted by time, so an anchor meets each place once and takes
+    the stretch of its window from there: no pair of anchor and reading is a row.
+    """
+    # a long slot costs nothing, as windows are found by search
+    slot = max(8 * tol, 24 * 60 * MINUTE)
+    bins, at = RadiusBins(radius_km), ["_slot", "_lat_bin", "_lon_bin"]
+    lhs = bins.spread_anchors(anchors.dropna(subset=["a_lon", "a_lat"]), "a_lon", "a_lat").withColumn(
+        "_slot", F.explode(_span(F.col("a_us") - tol, F.col("a_us") + tol, slot)))
+    rhs = bins.place_targets(readings.dropna(subset=["t_lon", "t_lat"]), "t_lon", "t_lat").withColumn("_slot", _cell(F.col("t_us"), slot))
+    numbers = range(len(val_vars))
+    lhs = lhs.select(*at, "scene", "point_idx", F.col("a_lon").cast("double").alias("a_lon"), F.col("a_lat").cast("double").alias("a_lat"), "a_us")
+    # a missing value is 0 in no reading; a missing id never is the nearest
+    none = (1 << 63) - 1
+    rhs = rhs.select(*at, F.col("t_lon").cast("double").alias("t_lon"), F.col("t_lat").cast("double").alias("t_lat"), "t_us",
+                     F.coalesce(F.col("obs_id").cast("bigint"), F.lit(none)).alias("obs_id"),
+                     *[F.coalesce(F.col(v).cast("double"), F.lit(0.0)).alias(f"v{i}") for i, v in enumerate(val_vars)],
+                     *[F.col(v).isNotNull().cast("bigint").alias(f"n{i}") for i, v in enumerate(val_vars)])
+    half, diameter = bins.half, 2 * K.EARTH_RADIUS_KM
+
+    def summed(l, r):
+        import numpy as np
+        import pyarrow as pa
+
+        n = l.num_rows
+        least, soonest, mm, ids = np.full(n, np.inf), np.full(n, none), np.full(n, none), np.full(n, none)
+        sums = {f"{part}{i}": np.zeros(n, np.int64 if part == "c" else np.float64) for i in numbers for part in "swpc"}
+        if n and r.num_rows:
+            a_lon, a_lat, a_us = (l[c].to_numpy() for c in ("a_lon", "a_lat", "a_us"))
+            t_lon, t_lat, t_us, obs = (r[c].to_numpy() for c in ("t_lon", "t_lat", "t_us", "obs_id"))
+            order = np.lexsort((t_us, t_lat, t_lon))
+            t_lon, t_lat, t_us = t_lon[order], t_lat[order], t_us[order]
+            # one more, as a stretch may end with the last
+            obs = np.append(obs[order], none)
+            values = [np.append(r[f"v{i}"].to_numpy()[order], 0.0) for i in numbers]
+            counts = [np.append(r[f"n{i}"].to_numpy()[order], 0) for i in numbers]
+            new = np.concatenate([[True], (t_lon[1:] != t_lon[:-1]) | (t_lat[1:] != t_lat[:-1])])
+            starts = np.flatnonzero(new)
+            p_lon, p_lat, p_first, p_last = t_lon[starts], t_lat[starts], t_us[starts], t_us[np.append(starts[1:], len(t_us)) - 1]
+            base, width = t_us.min(), t_us.max() - t_us.min() + 1
+            keys = (np.cumsum(new) - 1) * width + (t_us - base)
+            block = max(1, (1 << 20) // len(starts))
+            for begin in range(0, n, block):
+                some = slice(begin, begin + block)
+                lat, us = a_lat[some, None], a_us[some, None]
+                i, p = np.nonzero((np.abs(lat - p_lat) <= half) & (p_first <= us + tol) & (p_last >= us - tol))
+                i += begin
+                dlat, dlon = (np.sin(np.radians(x) / 2) for x in (p_lat[p] - a_lat[i], p_lon[p] - a_lon[i]))
+                h = dlat * dlat + np.cos(np.radians(a_lat[i])) * np.cos(np.radians(p_lat[p])) * dlon * dlon
+                dist = diameter * np.arcsin(np.sqrt(np.clip(h, 0.0, 1.0)))
+                near = dist <= radius_km
+                i, p, dist = i[near], p[near], dist[near]
+                us = a_us[i] - base
+                lo = np.searchsorted(keys, p * width + np.clip(us - tol, 0, width))
+                hi = np.searchsorted(keys, p * width + np.clip(us + tol, -1, width - 1), "right")
+                # stretches from the last to the first: what reduceat sums between two is one element then
+                kept = np.flatnonzero(lo < hi)
+                if not len(kept):
+                    continue
+                kept = kept[np.argsort(-lo[kept], kind="stable")]
+                i, p, dist, us, lo, hi = (x[kept] for x in (i, p, dist, us, lo, hi))
+                ends = np.stack([lo, hi], axis=1).ravel()
+                w = weight(dist)
+                for k in numbers:
+                    total, count = np.add.reduceat(values[k], ends)[::2], np.add.reduceat(counts[k], ends)[::2]
+                    # a place without a value adds nothing, however it is weighted
+                    for part, x in (("s", np.where(count > 0, w * total, 0.0)), ("w", np.where(count > 0, w * count, 0.0)), ("p", total), ("c", count)):
+                        np.add.at(sums[f"{part}{k}"], i, x)
+                after = np.clip(np.searchsorted(keys, p * width + np.clip(us, 0, width)), lo, hi)
+                far = np.int64(none)
+                ahead = np.where(after > lo, us - (t_us[np.maximum(after - 1, 0)] - base), far)
+                behind = np.where(after < hi, t_us[np.minimum(after, len(t_us) - 1)] - base - us, far)
+                np.minimum.at(soonest, i, np.minimum(ahead, behind))
+                np.minimum.at(least, i, dist)
+                named = np.minimum.reduceat(obs, ends)[::2]
+                rounded = np.where(named < none, np.rint(dist * 1e6).astype(np.int64), none)
+                before = mm[i]
+                np.minimum.at(mm, i, rounded)
+                ids[i[mm[i] < before]] = none
+                first = rounded == mm[i]
+                np.minimum.at(ids, i[first], named[first])
+        hit = np.flatnonzero(soonest < none)
+        lost = mm[hit] == none
+        out = {"scene": l["scene"].take(hit), "point_idx": l["point_idx"].take(hit), "dist_km": least[hit], "dt": soonest[hit],
+               "mm": pa.array(mm[hit], mask=lost), "obs_id": pa.array(ids[hit], mask=lost)}
+        return pa.table(out | {c: x[hit] for c, x in sums.items()})
+
+    names = ", ".join(f"{part}{i} {'bigint' if part == 'c' else 'double'}" for i in numbers for part in "swpc")
+    kinds = [f"{c} {anchors.schema[c].dataType.simpleString()}" for c in ("scene", "point_idx")]
+    schema = f"{', '.join(kinds)}, dist_km double, dt bigint, mm bigint, obs_id bigint" + (f", {names}" if names else "")
+    lhs, rhs = cut_groups(lhs, rhs, at)
+    by = [*at, *PIECES]
+    return lhs.groupBy(*by).cogroup(rhs.groupBy(*by)).applyInArrow(lambda l, r: summed(l, r), schema)
+
+
 def footprint_join(points: DataFrame, obs: DataFrame, sar_vars: Sequence[str], val_vars: Sequence[str],
                    radius_km: float, tolerance_minutes: float, weighting: str = "equal",
                    sigma_km: float = 5.0, label: str = "insitu",
@@ -517,32 +617,21 @@ def footprint_join(points: DataFrame, obs: DataFrame, sar_vars: Sequence[str], v
     distance is the smallest among the contributors.
     """
     tol = int(round(tolerance_minutes * MINUTE))
-    slot = max(2 * tol, 3600 * 1_000_000)
     measured = measurements(sar_vars)
-    anchors = (
-        points.filter(_any_present(measured) & F.col("time").isNotNull())
-        .select("scene", "point_idx", F.col("lon").alias("a_lon"), F.col("lat").alias("a_lat"),
-                micros("time").alias("a_us"))
-        .withColumn("_slot", F.explode(_span(F.col("a_us") - tol, F.col("a_us") + tol, slot)))
-    )
+    anchors = points.filter(_any_present(measured) & F.col("time").isNotNull()).select(
+        "scene", "point_idx", F.col("lon").alias("a_lon"), F.col("lat").alias("a_lat"), micros("time").alias("a_us"))
     readings = obs.filter(F.col("time").isNotNull()).select(
-        F.col("lon").alias("t_lon"), F.col("lat").alias("t_lat"), "obs_id",
-        micros("time").alias("t_us"), *val_vars,
-    ).withColumn("_slot", _cell(F.col("t_us"), slot))
-    pairs = radius_pairs(anchors, readings, radius_km, by=["_slot"]).withColumn(
-        "_dt", F.abs(F.col("t_us") - F.col("a_us"))
-    ).filter(F.col("_dt") <= tol)
-    pairs = pairs.withColumn(
-        "_w", distance_weight(F.col("dist_km"), weighting, sigma_km, radius_km)
-    ).withColumn("_rank", _rank(F.col("dist_km"), F.col("obs_id")))
-    grouped = pairs.groupBy("scene", "point_idx").agg(
-        *_weighted(val_vars, "_w"),
-        *[F.avg(v).alias(f"_m_{v}") for v in val_vars],
-        F.min("dist_km").alias("dist_km"), F.min("_dt").alias("dt"), F.min("_rank").alias("_rank"),
+        F.col("lon").alias("t_lon"), F.col("lat").alias("t_lat"), "obs_id", micros("time").alias("t_us"), *val_vars)
+    parts = _footprint_parts(anchors, readings, val_vars, radius_km, tol, array_weight(weighting, sigma_km, float(radius_km)))
+    rank = F.col("mm").cast("decimal(18,0)") * F.lit("10000000000000000000").cast("decimal(20,0)") + F.col("obs_id").cast("decimal(19,0)")
+    sums = [f"{part}{i}" for i in range(len(val_vars)) for part in "swpc"]
+    grouped = parts.withColumn("_rank", rank.cast("decimal(38,0)")).groupBy("scene", "point_idx").agg(
+        *[F.sum(c).alias(c) for c in sums], F.min("dist_km").alias("dist_km"), F.min("dt").alias("dt"), F.min("_rank").alias("_rank"),
     ).withColumn("obs_id", (F.col("_rank") % F.lit("10000000000000000000").cast("decimal(20,0)"))
                  .cast("bigint"))
     # zero weight everywhere falls back to the plain mean
-    means = {v: F.coalesce(_mean(v), F.col(f"_m_{v}")) for v in val_vars}
+    means = {v: F.coalesce(F.col(f"s{i}") / F.nullif(F.col(f"w{i}"), F.lit(0.0)), F.col(f"p{i}") / F.nullif(F.col(f"c{i}"), F.lit(0)))
+             for i, v in enumerate(val_vars)}
     grouped = grouped.select("scene", "point_idx", "dist_km", "dt", "obs_id",
                              *[m.alias(f"val_{v}") for v, m in means.items()])
     grouped = grouped.filter(_any_present([f"val_{v}" for v in val_vars]))
