@@ -144,3 +144,11 @@ def test_texts_of_equal_hash_and_no_id_are_told_apart(spark):
     assert [(s.start, s.end) for s in got[twice]] == [(0, len(twice))]
     own = got[same["t"][1]] or []
     assert sum(s.end - s.start for s in own) < len(same["t"][1]) - 100
+
+
+def test_texts_are_shuffled_once_for_bytes_and_words(spark):
+    rows = [(i, f"alpha beta gamma delta {i} " * 3) for i in range(20)]
+    cut = repeats.cut_texts(spark.createDataFrame(rows, SCHEMA), 12, 3)
+    # the two tables of spans meet each other, then the texts meet both
+    assert cut._jdf.queryExecution().optimizedPlan().toString().count("Join LeftOuter") == 1
+    assert cut.count() == 20
